@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+Intentionally empty: the analyses this library re-expresses are batch
+queries over a finished sales table; none reads an unbounded source,
+keeps state across micro-batches or handles late data, so there is no
+Structured Streaming operator to provide.
+"""
