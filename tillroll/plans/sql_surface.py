@@ -58,10 +58,12 @@ GROUP BY country, year(invoice_date), month(invoice_date)
 ORDER BY revenue DESC, country, year, month"""
 
 SQL_Q04 = """
-SELECT stock_code, description, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(quantity) AS BIGINT) AS units_sold
-FROM sales
-GROUP BY stock_code, description
-ORDER BY sum(revenue) DESC, stock_code, description
+SELECT stock_code, description, CAST(rev AS DOUBLE) AS revenue, units_sold
+FROM (
+    SELECT stock_code, description, sum(revenue) AS rev, CAST(sum(quantity) AS BIGINT) AS units_sold
+    FROM sales GROUP BY stock_code, description
+)
+ORDER BY rev DESC, stock_code, description
 LIMIT 10"""
 
 SQL_Q05 = """
