@@ -225,6 +225,7 @@ def queries() -> dict[str, str]:
         "q08_region_default_label": Q08_DEFAULT,
         "q09_month_over_month": Q09,
         "q10_rfm_segments": Q10,
+        "q10_rfm_segments_distributed": Q10,
         "q10_segment_summary": Q10_SUMMARY,
         "q10_segment_sizes": Q10_SIZES,
         "q10_top_per_segment": Q10_TOP,

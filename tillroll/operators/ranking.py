@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import col, tile_of_rank
+from tillroll.functions.columns import col
+from tillroll.sources import files
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
@@ -36,9 +37,26 @@ def top_n_per_group(
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)
 
 
-def _ordered(c: Column, ascending: bool) -> Column:
-    # SQL default null placement: first when ascending, last when descending.
-    return c.asc_nulls_first() if ascending else c.desc_nulls_last()
+def _below(v: Column):
+    return lambda b: b < v
+
+
+def _above(v: Column):
+    return lambda b: b > v
+
+
+def _equal(v: Column):
+    return lambda b: b == v
+
+
+def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
+    """Predicate on a cut struct (bk, k, t): the cut row sorts before this row."""
+
+    def before(c: Column) -> Column:
+        key_first = (c["k"] < key) if ascending else (c["k"] > key)
+        return (c["bk"] < bk) | ((c["bk"] == bk) & (key_first | (c["k"].eqNullSafe(key) & (c["t"] < tie))))
+
+    return before
 
 
 def global_ntile(
@@ -50,31 +68,76 @@ def global_ntile(
     out: str = "tile",
     buckets: int | None = None,
     accuracy: int | None = None,
+    single_task_rows: int = 1_000_000,
+) -> DataFrame:
+    """``ntile(k) over (order by key [asc|desc], tiebreak asc)`` over all
+    rows; see ``global_ntiles``."""
+    return global_ntiles(
+        df, k, tiebreak, [(out, key, ascending)], buckets, accuracy, single_task_rows=single_task_rows
+    )
+
+
+def ntiles_one_task(df: DataFrame, k: int, tiebreak: str, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """Built-in unpartitioned ``ntile``: every row goes to one task.  Only
+    for inputs whose size has been checked to be small."""
+    out = df
+    for name, key, asc in specs:
+        order = F.col(key).asc_nulls_first() if asc else F.col(key).desc_nulls_last()
+        out = out.withColumn(name, F.ntile(k).over(Window.orderBy(order, F.col(tiebreak).asc())))
+    return out
+
+
+def global_ntiles(
+    df: DataFrame,
+    k: int,
+    tiebreak: str,
+    specs: Sequence[tuple[str, str, bool]],
+    buckets: int | None = None,
+    accuracy: int | None = None,
+    materialize: bool = True,
+    single_task_rows: int = 1_000_000,
 ) -> DataFrame:
-    """``ntile(k) over (order by key [asc|desc], tiebreak asc)`` over *all*
-    rows, without moving them into one partition.
-
-    The built-in unpartitioned window sorts every row in a single task.
-    Here each row's exact global rank is assembled from pieces that are
-    each bounded in size:
-
-    1. one pass: ``m-1`` approximate quantiles of ``key`` and the row count
-       ``n`` (a one-row frame, joined to every row by broadcast);
-    2. bucket ``2*(#boundaries before key) + (key is a boundary)``; the
-       buckets follow the sort order, and rows strictly between two
-       boundaries are at most about ``n/m``.  A value frequent enough to
-       overload a task is itself a boundary, i.e. a bucket of equal keys,
-       which is split again by quantiles of ``tiebreak`` computed inside
-       that bucket (``ceil(size*m/n)`` pieces, so the split tables stay
-       O(m) in total);
-    3. row counts per (bucket, piece) -- at most about ``3m`` rows -- give
-       running offsets;
-    4. rank = offset + ``row_number`` inside the piece; tile from rank and
-       ``n`` (first ``n mod k`` tiles one row larger, as SQL NTILE).
-
-    The result is exact whatever the quality of the quantiles; they only
-    steer the balance.  ``tiebreak`` should make the order unique and be
-    non-NULL.  ``m`` defaults to four times the shuffle partitions.
+    """Exact ``ntile(k)`` over all rows for several orderings at once, with
+    no single-partition window and no full sort.
+
+    ``specs`` lists ``(out, key, ascending)``; every ordering is ``key``
+    (SQL null placement: first ascending, last descending) then
+    ``tiebreak`` ascending, which should make the order unique.
+
+    The built-in unpartitioned ``ntile`` sorts every row in one task.  Here
+    tile = 1 + (number of tile-ending rows before the row), and only those
+    ``k-1`` "cut" rows per ordering are located exactly:
+
+    1. one aggregate: ``m-1`` approximate quantiles of each key and the row
+       count ``n`` (one row, broadcast);
+    2. bucket ``2*(#quantiles before key) + (key is a quantile)``: buckets
+       follow the order, and the rows strictly between two quantiles are
+       about ``n/m``.  A value frequent enough to overload a task is itself
+       a quantile, i.e. a bucket of equal keys, which is split again into
+       ``ceil(size*m/n)`` pieces by quantiles of ``tiebreak`` inside that
+       bucket (so the split tables stay O(m) rows);
+    3. row counts per (bucket, piece) -- partial aggregates, O(m) rows --
+       give running offsets, hence the piece holding each cut rank;
+    4. only the rows of those <= k-1 pieces are numbered by a window (each
+       piece about ``n/m`` rows), which yields the cut rows;
+    5. every row compares itself with the <= k-1 cut rows (broadcast):
+       a projection, no shuffle of the rows themselves.
+
+    Exact whatever the quality of the quantiles (they only steer balance).
+    The passes read ``df`` several times, so by default (``materialize``)
+    ``df`` is written once to the session's shared checkpoint folder
+    as Parquet (reliable storage: cuts the lineage, survives executor loss;
+    one job, no recomputation) and each small side table (quantiles, split points, cut targets, cut rows; all
+    O(m) rows or fewer) is written the same way as it is computed.  The returned
+    frame is then one scan of ``df`` with broadcast joins of small tables.
+    With ``materialize=False`` everything stays one lazy plan (Spark reuses
+    the exchanges, but the plan grows large).
+
+    Size check: once written, ``df`` is counted (Parquet metadata); when it
+    has at most ``single_task_rows`` rows, one task sorting it is cheaper
+    than the extra passes, and the built-in window is used.  Beyond the
+    bound the distributed path runs; ``0`` always takes it.  ``m`` defaults to four times
+    the shuffle partitions, at least 16.
     """
     spark = df.sparkSession
     if buckets is None:
@@ -82,81 +145,151 @@ def global_ntile(
     m = int(buckets)
     acc = int(accuracy or max(10000, 8 * m))
     fractions = [j / m for j in range(1, m)]
-    kcol, tcol = F.col(key), F.col(tiebreak)
+    tcol = F.col(tiebreak)
+    specs = list(specs)
+    idx = range(len(specs))
+    if materialize:
+        df = files.materialize(df, "ntile-input")
+        if single_task_rows > 0 and df.count() <= single_task_rows:
+            return ntiles_one_task(df, k, tiebreak, specs)
 
-    stats = df.agg(
-        F.coalesce(
-            F.array_sort(F.array_distinct(F.percentile_approx(kcol, fractions, acc))),
-            F.array(),
-        ).alias("_kb"),
+    def keep(small: DataFrame, name: str) -> DataFrame:
+        # Side tables are O(m) rows by construction: one file each.
+        return files.materialize(small, name, single_file=True) if materialize else small
+
+    # 1. quantiles of every key and the row count: one aggregate, one row.
+    stats = keep(df.agg(
         F.count(F.lit(1)).alias("_n"),
-    )
-    x = df.crossJoin(F.broadcast(stats))
-
-    if ascending:
-        before = F.size(F.filter(F.col("_kb"), lambda b: b < kcol))
-        null_bucket = F.lit(-1)
-    else:
-        before = F.size(F.filter(F.col("_kb"), lambda b: b > kcol))
-        null_bucket = F.lit(2 * m + 1)
-    is_boundary = F.exists(F.col("_kb"), lambda b: b == kcol)
-    x = x.withColumn(
-        "_bk",
-        F.when(kcol.isNull(), null_bucket).otherwise(F.lit(2) * before + is_boundary.cast("int")),
-    ).withColumn("_single", kcol.isNull() | is_boundary)
-
-    # Tie-break split points inside buckets of one key value, thinned to
-    # ceil(size * m / n) pieces per bucket.
+        *[
+            F.coalesce(
+                F.array_sort(F.array_distinct(F.percentile_approx(F.col(key), fractions, acc))), F.array()
+            ).alias(f"_kb{i}")
+            for i, (_, key, _) in enumerate(specs)
+        ],
+    ), "ntile-stats")
+    # 2. order-preserving bucket of every key.
+    bucketed = df.crossJoin(F.broadcast(stats))
+    for i, (_, key, asc) in enumerate(specs):
+        kc, kb = F.col(key), F.col(f"_kb{i}")
+        before = F.size(F.filter(kb, _below(kc) if asc else _above(kc)))
+        is_b = F.exists(kb, _equal(kc))
+        null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
+        bucketed = bucketed.withColumn(
+            f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
+        ).withColumn(f"_one{i}", kc.isNull() | is_b)
+    x = bucketed.drop(*[f"_kb{i}" for i in idx])
+
+    # Split points inside single-value buckets, all keys in one aggregate.
     pieces = F.ceil(F.col("_c") * F.lit(m) / F.col("_n")).cast("int")
-    split = (
-        x.where(F.col("_single"))
-        .groupBy("_bk")
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.first("_n").alias("_n"),
-            F.percentile_approx(tcol, fractions, acc).alias("_tq"),
-        )
+    single = x.select(
+        "_n",
+        tcol.alias("_t"),
+        F.explode(
+            F.filter(
+                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one")) for i in idx]),
+                lambda s: s["one"],
+            )
+        ).alias("_s"),
+    )
+    split = keep(
+        single.groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.percentile_approx("_t", fractions, acc).alias("_tq"))
+        .where(pieces > 1)
         .select(
+            "_i",
             "_bk",
-            F.when(
-                pieces > 1,
-                F.array_sort(
-                    F.array_distinct(
-                        F.transform(
-                            F.sequence(F.lit(1), pieces - 1),
-                            lambda i: F.element_at(
-                                F.col("_tq"),
-                                F.greatest(
-                                    F.lit(1),
-                                    F.least(F.lit(m - 1), F.round(i * F.lit(m) / pieces).cast("int")),
-                                ),
-                            ),
-                        )
+            F.array_sort(
+                F.array_distinct(
+                    F.transform(
+                        F.sequence(F.lit(1), pieces - 1),
+                        lambda j: F.element_at(
+                            F.col("_tq"),
+                            F.greatest(F.lit(1), F.least(F.lit(m - 1), F.round(j * F.lit(m) / pieces).cast("int"))),
+                        ),
                     )
-                ),
-            )
-            .alias("_tb"),
-        )
-    )
-    y = x.join(F.broadcast(split), "_bk", "left").withColumn(
-        "_sb",
-        F.when(F.col("_tb").isNull(), F.lit(0)).otherwise(F.size(F.filter(F.col("_tb"), lambda t: t < tcol))),
+                )
+            ).alias("_tb"),
+        ),
+        "ntile-split",
     )
+    y = x
+    for i in idx:
+        part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
+        y = y.join(F.broadcast(part), f"_bk{i}", "left").withColumn(
+            f"_sb{i}",
+            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
+                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
+            ),
+        ).drop(f"_tb{i}")
 
-    counts = y.groupBy("_bk", "_sb").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        "_bk",
-        "_sb",
+    # 3. counts per (key, bucket, piece) -> offsets -> the piece of each cut.
+    counts = (
+        y.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb")) for i in idx])
+            ).alias("_s")
+        )
+        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
+        .agg(F.count(F.lit(1)).alias("_cnt"))
+    )
+    offsets = counts.withColumn(
+        "_off",
         F.coalesce(
             F.sum("_cnt").over(
-                Window.orderBy("_bk", "_sb").rowsBetween(Window.unboundedPreceding, -1)
+                Window.partitionBy("_i").orderBy("_bk", "_sb").rowsBetween(Window.unboundedPreceding, -1)
             ),
             F.lit(0),
-        ).alias("_off"),
+        ),
+    )
+    # Cut j (1..k-1) ends tile j: rank c_j = j*q + min(j, r), q = n div k, r = n mod k.
+    n = stats.select("_n")
+    cut_ranks = n.select(
+        F.explode(F.sequence(F.lit(1), F.lit(max(k - 1, 1)))).alias("_j"), "_n"
+    ).where(F.col("_j") <= k - 1)
+    q = F.floor(F.col("_n") / F.lit(k)).cast("long")
+    r = F.col("_n") - q * F.lit(k)
+    cut_ranks = cut_ranks.select("_j", (F.col("_j") * q + F.least(F.col("_j").cast("long"), r)).alias("_c")).where(
+        F.col("_c") >= 1
     )
-    z = y.join(F.broadcast(offsets), ["_bk", "_sb"], "inner")
-    w = Window.partitionBy("_bk", "_sb").orderBy(_ordered(kcol, ascending), tcol.asc())
-    rank = F.row_number().over(w) + F.col("_off")
-    return z.withColumn(out, tile_of_rank(rank, F.col("_n"), k)).drop(
-        "_kb", "_n", "_bk", "_single", "_tb", "_sb", "_off"
+    targets = keep(
+        offsets.crossJoin(F.broadcast(cut_ranks))
+        .where((F.col("_off") < F.col("_c")) & (F.col("_c") <= F.col("_off") + F.col("_cnt")))
+        .select("_i", "_bk", "_sb", "_j", (F.col("_c") - F.col("_off")).alias("_t")),
+        "ntile-targets",
     )
+
+    # 4. number only the rows of the cut pieces; pick the cut rows.
+    all_cuts = None
+    for i, (_, key, asc) in enumerate(specs):
+        kc = F.col(key)
+        tgt = targets.where(F.col("_i") == i).select(
+            F.col("_bk").alias(f"_bk{i}"), F.col("_sb").alias(f"_sb{i}"), "_j", "_t"
+        )
+        rows = y.select(f"_bk{i}", f"_sb{i}", kc.alias("_k"), tcol.alias("_tie")).join(
+            F.broadcast(tgt.select(f"_bk{i}", f"_sb{i}").distinct()), [f"_bk{i}", f"_sb{i}"], "left_semi"
+        )
+        order = F.col("_k").asc_nulls_first() if asc else F.col("_k").desc_nulls_last()
+        w = Window.partitionBy(f"_bk{i}", f"_sb{i}").orderBy(order, F.col("_tie").asc())
+        cuts = (
+            rows.withColumn("_rn", F.row_number().over(w))
+            .join(F.broadcast(tgt), [f"_bk{i}", f"_sb{i}"], "inner")
+            .where(F.col("_rn") == F.col("_t"))
+            .agg(
+                F.coalesce(
+                    F.collect_list(F.struct(F.col(f"_bk{i}").alias("bk"), F.col("_k").alias("k"), F.col("_tie").alias("t"))),
+                    F.array(),
+                ).alias(f"_cuts{i}")
+            )
+        )
+        all_cuts = cuts if all_cuts is None else all_cuts.crossJoin(cuts)
+    all_cuts = keep(all_cuts, "ntile-cuts")
+
+    # 5. tile = 1 + #(cut rows strictly before this row): a projection.
+    result = x.crossJoin(F.broadcast(all_cuts))
+    tiles = [
+        (F.lit(1) + F.size(F.filter(F.col(f"_cuts{i}"), _cut_before(F.col(f"_bk{i}"), F.col(key), tcol, asc))))
+        .cast("int")
+        .alias(outname)
+        for i, (outname, key, asc) in enumerate(specs)
+    ]
+    return result.select(*df.columns, *tiles)

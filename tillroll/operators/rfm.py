@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import as_double
-from tillroll.operators.ranking import global_ntile, top_n_per_group
+from tillroll.operators.ranking import global_ntiles, top_n_per_group
 from tillroll.sources import schema as S
 
 # Segment names and their ordered rules (first match wins;
@@ -53,34 +53,46 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE) -> DataFrame:
 
 
 def rfm_scores(
-    rfm: DataFrame, k: int = 5, distributed: bool = True, buckets: int | None = None
+    rfm: DataFrame,
+    k: int = 5,
+    distributed: bool = True,
+    buckets: int | None = None,
+    single_task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Quintile scores, 5 best: R from recency ascending, F and M from
     frequency / monetary descending, each tie broken by customer id.
 
-    ``distributed`` uses ``global_ntile`` (exact, no single-partition
-    window); ``False`` uses the built-in unpartitioned ``ntile``, which
-    moves all customers into one task.
+    ``distributed`` uses ``global_ntiles`` (exact; one task only while the
+    customer count is at most ``single_task_rows``, checked);
+    ``False`` always uses the built-in unpartitioned ``ntile``, which moves
+    all customers into one task.
     """
     specs = [("r_score", "recency_days", True), ("f_score", "frequency", False), ("m_score", "monetary", False)]
-    out = rfm
-    for name, key, asc in specs:
-        if distributed:
-            out = global_ntile(out, k, key, S.CUSTOMER_ID, ascending=asc, out=name, buckets=buckets)
-            out = out.withColumn(name, F.lit(k + 1) - F.col(name))
-        else:
+    if distributed:
+        out = global_ntiles(rfm, k, S.CUSTOMER_ID, specs, buckets=buckets, single_task_rows=single_task_rows)
+    else:
+        out = rfm
+        for name, key, asc in specs:
             order = F.col(key).asc() if asc else F.col(key).desc()
             w = Window.orderBy(order, F.col(S.CUSTOMER_ID).asc())
-            out = out.withColumn(name, F.lit(k + 1) - F.ntile(k).over(w))
+            out = out.withColumn(name, F.ntile(k).over(w))
+    for name, _, _ in specs:
+        out = out.withColumn(name, F.lit(k + 1) - F.col(name))
     return out
 
 
 def rfm_segments(
-    df: DataFrame, distributed: bool = True, buckets: int | None = None, ts: str = S.INVOICE_DATE
+    df: DataFrame,
+    distributed: bool = True,
+    buckets: int | None = None,
+    ts: str = S.INVOICE_DATE,
+    single_task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Q10: customer_id, recency_days, frequency, monetary, r_score,
     f_score, m_score, segment."""
-    scored = rfm_scores(rfm_metrics(df, ts), distributed=distributed, buckets=buckets)
+    scored = rfm_scores(
+        rfm_metrics(df, ts), distributed=distributed, buckets=buckets, single_task_rows=single_task_rows
+    )
     return scored.select(
         S.CUSTOMER_ID,
         "recency_days",

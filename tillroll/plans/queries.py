@@ -86,6 +86,11 @@ def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.rfm_segments(cleaned(spark, sf_dir))
 
 
+def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10 forced onto the distributed quintile path whatever the size."""
+    return rfm.rfm_segments(cleaned(spark, sf_dir), single_task_rows=0)
+
+
 def q10_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segment_summary(rfm.rfm_segments(cleaned(spark, sf_dir)))
 
@@ -109,9 +114,12 @@ def invoice_totals_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_ntile_monetary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decile of every customer by spend (largest first), distributed."""
+    """Decile of every customer by spend (largest first); always the
+    distributed path (no single-task shortcut), whatever the input size."""
     t = aggregates.customer_totals(cleaned(spark, sf_dir))
-    tiled = ranking.global_ntile(t, 10, "total_spend", S.CUSTOMER_ID, ascending=False, out="decile")
+    tiled = ranking.global_ntile(
+        t, 10, "total_spend", S.CUSTOMER_ID, ascending=False, out="decile", single_task_rows=0
+    )
     return tiled.select(S.CUSTOMER_ID, as_double("total_spend").alias("total_spend"), "decile")
 
 

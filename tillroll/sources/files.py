@@ -94,3 +94,18 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "parquet", years: Iter
             df = df.where(F.year(S.INVOICE_DATE).isin([int(y) for y in years]))
         return df
     raise ValueError(f"unknown format {fmt!r}")
+
+
+def materialize(df: DataFrame, name: str, single_file: bool = False) -> DataFrame:
+    """Write ``df`` as a Parquet table under ``shared_dir`` and read it back.
+
+    Cuts the lineage in one job (an RDD checkpoint would compute its input
+    twice) on storage that survives executor loss; the re-read table also
+    carries its true size, so later broadcast decisions are made on
+    measured rather than estimated bytes.  ``single_file`` is for tables
+    that are small by construction (bounded summaries): one task writes
+    them.  The schema is handed to the reader, so no footer is inspected.
+    """
+    path = fresh_path(df.sparkSession, name)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
