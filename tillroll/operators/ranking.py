@@ -68,12 +68,13 @@ def global_ntile(
     out: str = "tile",
     buckets: int | None = None,
     accuracy: int | None = None,
+    materialize: bool = True,
     single_task_rows: int = 1_000_000,
 ) -> DataFrame:
     """``ntile(k) over (order by key [asc|desc], tiebreak asc)`` over all
     rows; see ``global_ntiles``."""
     return global_ntiles(
-        df, k, tiebreak, [(out, key, ascending)], buckets, accuracy, single_task_rows=single_task_rows
+        df, k, tiebreak, [(out, key, ascending)], buckets, accuracy, materialize, single_task_rows
     )
 
 
