@@ -50,6 +50,6 @@ def plan_text(df, mode: str = "formatted") -> str:
 
 
 def executed_plan_text(df) -> str:
-    """Final adaptive plan, after running the query once (noop sink)."""
-    df.write.format("noop").mode("overwrite").save()
+    """Final adaptive plan, after running the query itself once."""
+    df.collect()
     return plan_text(df, "formatted")

@@ -180,3 +180,18 @@ def test_scans_read_only_needed_columns(spark):
     text = plan_text(Q.q05_monthly_trend(spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string>" in text
     assert "p_name" not in text.split("ReadSchema: struct<p_partkey")[1].split("\n")[0]
+
+
+def test_shared_shuffles_are_reused(spark):
+    import __spark_entry__ as E
+
+    qs = E.queries()
+    for name in ("q02_summary", "q07_above_mean_customers", "sql_q02", "sql_q07"):
+        assert "ReusedExchange" in executed_plan_text(qs[name](spark, SF001)), name
+
+
+def test_no_shuffle_on_the_nation_key(spark):
+    from tillroll.sources.star import sales_from_star
+
+    text = plan_text(sales_from_star(spark, SF001))
+    assert "hashpartitioning(c_nationkey" not in text and "hashpartitioning(n_nationkey" not in text

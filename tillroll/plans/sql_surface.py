@@ -93,12 +93,18 @@ FROM ranked
 WHERE rank_in_country <= 5
 ORDER BY country, rank_in_country"""
 
+# The mean is a one-row CTE joined in (not a scalar subquery): Spark then
+# reads the per-customer shuffle once for both uses instead of planning the
+# subquery's input again.
 SQL_Q07 = """
-WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id)
-SELECT customer_id, CAST(total AS DOUBLE) AS total_spend,
-       (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) FROM totals) AS avg_spend_baseline
-FROM totals
-WHERE CAST(total AS DOUBLE) > (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) FROM totals)
+WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id),
+baseline AS (
+    SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) AS avg_spend_baseline FROM totals
+)
+SELECT /*+ BROADCAST(baseline) */
+       customer_id, CAST(total AS DOUBLE) AS total_spend, avg_spend_baseline
+FROM totals CROSS JOIN baseline
+WHERE CAST(total AS DOUBLE) > avg_spend_baseline
 ORDER BY total_spend DESC, customer_id"""
 
 SQL_Q08 = """
@@ -128,11 +134,11 @@ WITH per_customer AS (
     SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
            sum(revenue) AS monetary
     FROM sales GROUP BY customer_id
-)
-SELECT customer_id,
-       datediff(to_date((SELECT max(last_date) FROM per_customer)), to_date(last_date)) AS recency_days,
-       frequency, monetary
-FROM per_customer"""
+),
+ref AS (SELECT max(last_date) AS ref_date FROM per_customer)
+SELECT /*+ BROADCAST(ref) */
+       customer_id, datediff(to_date(ref_date), to_date(last_date)) AS recency_days, frequency, monetary
+FROM per_customer CROSS JOIN ref"""
 
 
 SQL_Q10_SCORE = """
