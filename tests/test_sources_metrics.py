@@ -119,3 +119,17 @@ def test_clean_on_csv_equals_clean_on_parquet(spark):
     a = clean(files.read_sales(spark, path, fmt="csv"))
     b = clean(raw)
     assert a.count() == b.count()
+
+
+def test_queries_over_the_prepared_copy_equal_the_star_queries(spark):
+    from tillroll.sources.star import region_lookup_from_star
+
+    copy = Q.prepare_sales(spark, SF001)
+    lookup = region_lookup_from_star(spark, SF001)
+    for label, form in Q.FORMS.items():
+        a = form(Q.cleaned_from_copy(spark, copy), lookup)
+        b = form(Q.cleaned(spark, SF001), lookup)
+        assert a.columns == b.columns, label
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, label
+    scan = [ln for ln in plan_text(Q.cleaned_from_copy(spark, copy)).splitlines() if ln.startswith("PartitionFilters")]
+    assert scan and "2000" in scan[0] and "2001" not in scan[0]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import as_double
 from tillroll.operators import aggregates, compare, enrich, ranking, rfm, trend
-from tillroll.operators.cleaning import clean
+from tillroll.operators.cleaning import STAR_END, STAR_START, clean
 from tillroll.sources import files
 from tillroll.sources import schema as S
 from tillroll.sources.star import region_lookup_from_star, sales_from_star
@@ -18,28 +18,24 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(sales_from_star(spark, sf_dir))
 
 
-def q01_clean_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid sale lines with revenue; money as double."""
-    df = cleaned(spark, sf_dir)
-    return df.select(
+# ---- the queries over any cleaned sale-line frame (``s``) -----------------
+
+
+def q01_form(s: DataFrame) -> DataFrame:
+    return s.select(
         *[as_double(c).alias(c) if c == S.PRICE else F.col(c) for c in S.SALES_COLUMNS],
         as_double(S.REVENUE).alias(S.REVENUE),
     )
 
 
-def q02_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.summary(cleaned(spark, sf_dir))
-
-
-def q03_revenue_by_country_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q03_form(s: DataFrame) -> DataFrame:
     return aggregates.revenue_by(
-        cleaned(spark, sf_dir),
-        [S.COUNTRY, F.year(S.INVOICE_DATE).alias("year"), F.month(S.INVOICE_DATE).alias("month")],
+        s, [S.COUNTRY, F.year(S.INVOICE_DATE).alias("year"), F.month(S.INVOICE_DATE).alias("month")]
     )
 
 
-def q04_top_products(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
-    per_product = cleaned(spark, sf_dir).groupBy(S.STOCK_CODE, S.DESCRIPTION).agg(
+def q04_form(s: DataFrame, n: int = 10) -> DataFrame:
+    per_product = s.groupBy(S.STOCK_CODE, S.DESCRIPTION).agg(
         F.sum(S.REVENUE).alias("_rev"),
         F.sum(S.QUANTITY).cast("bigint").alias("units_sold"),
     )
@@ -49,12 +45,8 @@ def q04_top_products(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame
     return top.select(S.STOCK_CODE, S.DESCRIPTION, as_double("_rev").alias("revenue"), "units_sold")
 
 
-def q05_monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend.monthly_trend(cleaned(spark, sf_dir))
-
-
-def q06_top_customers_per_country(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
-    totals = aggregates.customer_totals(cleaned(spark, sf_dir), [S.COUNTRY, S.CUSTOMER_ID])
+def q06_form(s: DataFrame, n: int = 5) -> DataFrame:
+    totals = aggregates.customer_totals(s, [S.COUNTRY, S.CUSTOMER_ID])
     ranked = ranking.top_n_per_group(
         totals, [S.COUNTRY], [F.desc("total_spend"), F.asc(S.CUSTOMER_ID)], n, rank_name="rank_in_country"
     )
@@ -63,19 +55,64 @@ def q06_top_customers_per_country(spark: SparkSession, sf_dir: str, n: int = 5)
     ).orderBy(S.COUNTRY, "rank_in_country")
 
 
+def q08_form(s: DataFrame, lookup: DataFrame, default: str | None = None) -> DataFrame:
+    return enrich.revenue_by_region(s, lookup, default=default)
+
+
+# Q1..Q10 as functions of (cleaned sales, region lookup).
+FORMS = {
+    "q1": lambda s, lookup: q01_form(s),
+    "q2": lambda s, lookup: aggregates.summary(s),
+    "q3": lambda s, lookup: q03_form(s),
+    "q4": lambda s, lookup: q04_form(s),
+    "q5": lambda s, lookup: trend.monthly_trend(s),
+    "q6": lambda s, lookup: q06_form(s),
+    "q7": lambda s, lookup: compare.above_mean_customers(s),
+    "q8": q08_form,
+    "q9": lambda s, lookup: trend.month_over_month(s),
+    "q10": lambda s, lookup: rfm.rfm_segments(s),
+}
+
+
+# ---- the registered queries over the star tables --------------------------
+
+
+def q01_clean_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid sale lines with revenue; money as double."""
+    return q01_form(cleaned(spark, sf_dir))
+
+
+def q02_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.summary(cleaned(spark, sf_dir))
+
+
+def q03_revenue_by_country_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q03_form(cleaned(spark, sf_dir))
+
+
+def q04_top_products(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    return q04_form(cleaned(spark, sf_dir), n)
+
+
+def q05_monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trend.monthly_trend(cleaned(spark, sf_dir))
+
+
+def q06_top_customers_per_country(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    return q06_form(cleaned(spark, sf_dir), n)
+
+
 def q07_above_mean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.above_mean_customers(cleaned(spark, sf_dir))
 
 
 def q08_region_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.revenue_by_region(cleaned(spark, sf_dir), region_lookup_from_star(spark, sf_dir))
+    return q08_form(cleaned(spark, sf_dir), region_lookup_from_star(spark, sf_dir))
 
 
 def q08_region_default_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q8 with unmapped countries labelled ``Unknown`` instead of NULL."""
-    return enrich.revenue_by_region(
-        cleaned(spark, sf_dir), region_lookup_from_star(spark, sf_dir), default="Unknown"
-    )
+    return q08_form(cleaned(spark, sf_dir), region_lookup_from_star(spark, sf_dir), default="Unknown")
 
 
 def q09_month_over_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,10 +165,7 @@ def csv_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     explicit schema, then Q3: the CSV source gives the same rows."""
     path = files.fresh_path(spark, "sales-csv")
     files.write_sales_csv(sales_from_star(spark, sf_dir), path)
-    return aggregates.revenue_by(
-        clean(files.read_sales(spark, path, fmt="csv")),
-        [S.COUNTRY, F.year(S.INVOICE_DATE).alias("year"), F.month(S.INVOICE_DATE).alias("month")],
-    )
+    return q03_form(clean(files.read_sales(spark, path, fmt="csv")))
 
 
 PRUNED_YEARS = (1996, 1997)
@@ -140,9 +174,22 @@ PRUNED_YEARS = (1996, 1997)
 def partitioned_write_pruned_read(spark: SparkSession, sf_dir: str, years=PRUNED_YEARS) -> DataFrame:
     """Raw sale lines written ``year=``-partitioned (shared folder); Q3 over
     a read that names only ``years``, so other directories are pruned."""
-    path = files.fresh_path(spark, "sales-by-year")
+    path = prepare_sales(spark, sf_dir)
+    return q03_form(clean(files.read_sales(spark, path, fmt="parquet", years=years)))
+
+
+def prepare_sales(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
+    """Denormalise the star tables once into the ``year``-partitioned copy
+    (shared folder); returns its location.  Later queries over the copy
+    are single-table scans with no join shuffles."""
+    path = path or files.fresh_path(spark, "sales-by-year")
     files.write_by_year(sales_from_star(spark, sf_dir), path)
-    return aggregates.revenue_by(
-        clean(files.read_sales(spark, path, fmt="parquet", years=years)),
-        [S.COUNTRY, F.year(S.INVOICE_DATE).alias("year"), F.month(S.INVOICE_DATE).alias("month")],
-    )
+    return path
+
+
+def cleaned_from_copy(spark: SparkSession, path: str, start: str = STAR_START, end: str = STAR_END) -> DataFrame:
+    """Cleaned sale lines from the year-partitioned copy.  The date window
+    implies a year range, which is added on the partition column so the
+    directories outside it are never listed or read."""
+    years = range(int(start[:4]), int(end[:4]) + 1)
+    return clean(files.read_sales(spark, path, fmt="parquet", years=years), start=start, end=end)
