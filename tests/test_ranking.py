@@ -103,3 +103,16 @@ def test_top_n_per_group_with_window_group_limit(spark):
         expect += [(g, i + 1, m[0]) for i, m in enumerate(members)]
     assert got == sorted(expect)
     assert "WindowGroupLimit" in plan_text(out)
+
+
+def test_hot_value_is_split_into_bounded_pieces(spark):
+    from tillroll.operators.ranking import ntile_piece_counts
+
+    n, m = 4000, 16
+    hot = [(i, 7 if i % 5 < 2 else rng.randrange(10**6)) for i in range(n)]  # value 7 holds 40% of rows
+    df = spark.createDataFrame(hot, SCHEMA)
+    pieces = [r["rows"] for r in ntile_piece_counts(df, "id", [("t", "v", True)], buckets=m).collect()]
+    assert sum(pieces) == n
+    assert max(pieces) <= 2 * n / m  # without the split one piece would hold 1600 rows
+    got = global_ntile(df, 5, "v", "id", buckets=m, single_task_rows=0)
+    assert as_dict(got) == as_dict(reference_ntile(df, 5, True))

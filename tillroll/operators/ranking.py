@@ -59,6 +59,108 @@ def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
     return before
 
 
+def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
+    """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts) where
+    ``x`` has the bucket ``_bk{i}`` of every ordering, ``y`` adds the piece
+    ``_sb{i}``, and ``counts`` has the rows per (ordering, bucket, piece)."""
+    fractions = [j / m for j in range(1, m)]
+    tcol = F.col(tiebreak)
+    idx = range(len(specs))
+    # 1. quantiles of every key and the row count: one aggregate, one row.
+    stats = keep(df.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[
+            F.coalesce(
+                F.array_sort(F.array_distinct(F.percentile_approx(F.col(key), fractions, acc))), F.array()
+            ).alias(f"_kb{i}")
+            for i, (_, key, _) in enumerate(specs)
+        ],
+    ), "ntile-stats")
+    # 2. order-preserving bucket of every key.
+    bucketed = df.crossJoin(F.broadcast(stats))
+    for i, (_, key, asc) in enumerate(specs):
+        kc, kb = F.col(key), F.col(f"_kb{i}")
+        before = F.size(F.filter(kb, _below(kc) if asc else _above(kc)))
+        is_b = F.exists(kb, _equal(kc))
+        null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
+        bucketed = bucketed.withColumn(
+            f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
+        ).withColumn(f"_one{i}", kc.isNull() | is_b)
+    x = bucketed.drop(*[f"_kb{i}" for i in idx])
+
+    # Split points inside single-value buckets, all keys in one aggregate.
+    pieces = F.ceil(F.col("_c") * F.lit(m) / F.col("_n")).cast("int")
+    single = x.select(
+        "_n",
+        tcol.alias("_t"),
+        F.explode(
+            F.filter(
+                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one")) for i in idx]),
+                lambda s: s["one"],
+            )
+        ).alias("_s"),
+    )
+    split = keep(
+        single.groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.percentile_approx("_t", fractions, acc).alias("_tq"))
+        .where(pieces > 1)
+        .select(
+            "_i",
+            "_bk",
+            F.array_sort(
+                F.array_distinct(
+                    F.transform(
+                        F.sequence(F.lit(1), pieces - 1),
+                        lambda j: F.element_at(
+                            F.col("_tq"),
+                            F.greatest(F.lit(1), F.least(F.lit(m - 1), F.round(j * F.lit(m) / pieces).cast("int"))),
+                        ),
+                    )
+                )
+            ).alias("_tb"),
+        ),
+        "ntile-split",
+    )
+    y = x
+    for i in idx:
+        part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
+        y = y.join(F.broadcast(part), f"_bk{i}", "left").withColumn(
+            f"_sb{i}",
+            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
+                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
+            ),
+        ).drop(f"_tb{i}")
+
+    # 3. counts per (key, bucket, piece) -> offsets -> the piece of each cut.
+    counts = (
+        y.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb")) for i in idx])
+            ).alias("_s")
+        )
+        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
+        .agg(F.count(F.lit(1)).alias("_cnt"))
+    )
+    return stats, x, y, counts
+
+
+def ntile_piece_counts(
+    df: DataFrame,
+    tiebreak: str,
+    specs: Sequence[tuple[str, str, bool]],
+    buckets: int = 16,
+    accuracy: int | None = None,
+) -> DataFrame:
+    """Diagnostic: rows per (ordering, bucket, piece) as ``global_ntiles``
+    would number them -- each should stay near ``rows / buckets`` even when
+    one key value holds a large share of the rows."""
+    acc = int(accuracy or max(10000, 8 * buckets))
+    counts = _ntile_pieces(df, tiebreak, list(specs), int(buckets), acc, lambda small, name: small)[3]
+    return counts.select(
+        F.col("_i").alias("ordering"), F.col("_bk").alias("bucket"), F.col("_sb").alias("piece"), F.col("_cnt").alias("rows")
+    )
+
+
 def global_ntile(
     df: DataFrame,
     k: int,
@@ -145,7 +247,6 @@ def global_ntiles(
         buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     m = int(buckets)
     acc = int(accuracy or max(10000, 8 * m))
-    fractions = [j / m for j in range(1, m)]
     tcol = F.col(tiebreak)
     specs = list(specs)
     idx = range(len(specs))
@@ -158,81 +259,7 @@ def global_ntiles(
         # Side tables are O(m) rows by construction: one file each.
         return files.materialize(small, name, single_file=True) if materialize else small
 
-    # 1. quantiles of every key and the row count: one aggregate, one row.
-    stats = keep(df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[
-            F.coalesce(
-                F.array_sort(F.array_distinct(F.percentile_approx(F.col(key), fractions, acc))), F.array()
-            ).alias(f"_kb{i}")
-            for i, (_, key, _) in enumerate(specs)
-        ],
-    ), "ntile-stats")
-    # 2. order-preserving bucket of every key.
-    bucketed = df.crossJoin(F.broadcast(stats))
-    for i, (_, key, asc) in enumerate(specs):
-        kc, kb = F.col(key), F.col(f"_kb{i}")
-        before = F.size(F.filter(kb, _below(kc) if asc else _above(kc)))
-        is_b = F.exists(kb, _equal(kc))
-        null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
-        bucketed = bucketed.withColumn(
-            f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
-        ).withColumn(f"_one{i}", kc.isNull() | is_b)
-    x = bucketed.drop(*[f"_kb{i}" for i in idx])
-
-    # Split points inside single-value buckets, all keys in one aggregate.
-    pieces = F.ceil(F.col("_c") * F.lit(m) / F.col("_n")).cast("int")
-    single = x.select(
-        "_n",
-        tcol.alias("_t"),
-        F.explode(
-            F.filter(
-                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one")) for i in idx]),
-                lambda s: s["one"],
-            )
-        ).alias("_s"),
-    )
-    split = keep(
-        single.groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.percentile_approx("_t", fractions, acc).alias("_tq"))
-        .where(pieces > 1)
-        .select(
-            "_i",
-            "_bk",
-            F.array_sort(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), pieces - 1),
-                        lambda j: F.element_at(
-                            F.col("_tq"),
-                            F.greatest(F.lit(1), F.least(F.lit(m - 1), F.round(j * F.lit(m) / pieces).cast("int"))),
-                        ),
-                    )
-                )
-            ).alias("_tb"),
-        ),
-        "ntile-split",
-    )
-    y = x
-    for i in idx:
-        part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
-        y = y.join(F.broadcast(part), f"_bk{i}", "left").withColumn(
-            f"_sb{i}",
-            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
-                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
-            ),
-        ).drop(f"_tb{i}")
-
-    # 3. counts per (key, bucket, piece) -> offsets -> the piece of each cut.
-    counts = (
-        y.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb")) for i in idx])
-            ).alias("_s")
-        )
-        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
-        .agg(F.count(F.lit(1)).alias("_cnt"))
-    )
+    stats, x, y, counts = _ntile_pieces(df, tiebreak, specs, m, acc, keep)
     offsets = counts.withColumn(
         "_off",
         F.coalesce(
