@@ -195,3 +195,36 @@ def test_no_shuffle_on_the_nation_key(spark):
 
     text = plan_text(sales_from_star(spark, SF001))
     assert "hashpartitioning(c_nationkey" not in text and "hashpartitioning(n_nationkey" not in text
+
+
+def test_persisted_totals_feed_two_consumers(spark):
+    from tillroll.operators.ranking import top_n
+    from tillroll.operators.reuse import persisted
+
+    df = clean_rows(spark, ROWS)
+    with persisted(aggregates.customer_totals(df)) as totals:
+        assert totals.is_cached
+        top = [r["customer_id"] for r in top_n(totals, 2, [F.desc("total_spend"), "customer_id"]).collect()]
+        above = [r["customer_id"] for r in compare.above_mean(totals).collect()]
+    assert not totals.is_cached
+    assert top == [1, 3] and above == [1]
+
+
+def test_guarded_mean_of_nothing(spark):
+    empty = aggregates.customer_totals(clean_rows(spark, []))
+    assert compare.above_mean(empty).count() == 0
+    assert compare.mean_of(empty, "total_spend").collect()[0][0] is None
+    assert compare.mean_of(empty, "total_spend", empty_mean=0.0).collect()[0][0] == 0.0
+    full = aggregates.customer_totals(clean_rows(spark, ROWS))
+    assert compare.mean_of(full, "total_spend", empty_mean=0.0).collect()[0][0] == 15.0
+
+
+def test_elapsed_versus_calendar_recency(spark):
+    rows = [
+        line(invoice="1", customer_id=1, invoice_date="1996-01-01 23:00:00"),
+        line(invoice="2", customer_id=2, invoice_date="1996-01-02 01:00:00"),
+    ]
+    df = clean_rows(spark, rows)
+    cal = {r["customer_id"]: r["recency_days"] for r in rfm.rfm_metrics(df).collect()}
+    ela = {r["customer_id"]: r["recency_days"] for r in rfm.rfm_metrics(df, recency="elapsed").collect()}
+    assert cal == {1: 1, 2: 0} and ela == {1: 0, 2: 0}

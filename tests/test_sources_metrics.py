@@ -133,3 +133,17 @@ def test_queries_over_the_prepared_copy_equal_the_star_queries(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, label
     scan = [ln for ln in plan_text(Q.cleaned_from_copy(spark, copy)).splitlines() if ln.startswith("PartitionFilters")]
     assert scan and "2000" in scan[0] and "2001" not in scan[0]
+
+
+def test_csv_malformed_lines(spark):
+    path = files.fresh_path(spark, "test-bad-csv")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.csv"), "w") as f:
+        f.write(",".join(S.SALES_COLUMNS) + "\n")
+        f.write("1,5,red widget,2,1996-01-01 10:00:00,3.50,9,NATION_1\n")
+        f.write("2,5,red widget,two,1996-01-01 10:00:00,3.50,9,NATION_1\n")
+        f.write("3,5,red widget,2,not a date,3.50,9,NATION_1\n")
+    permissive = files.read_sales(spark, path, fmt="csv")
+    assert permissive.count() == 3 and clean(permissive).count() == 1
+    dropped = files.read_sales(spark, path, fmt="csv", mode="DROPMALFORMED")
+    assert [r["invoice"] for r in dropped.collect()] == ["1"]

@@ -10,18 +10,31 @@ from tillroll.operators.aggregates import customer_totals
 from tillroll.sources import schema as S
 
 
+def mean_of(
+    df: DataFrame, value: str, name: str = "mean", empty_mean: float | None = None
+) -> DataFrame:
+    """One-row frame with the mean of ``value``: the exact sum over the
+    count, as double; NULL for no rows unless ``empty_mean`` is given."""
+    mean = F.try_divide(as_double(F.sum(value)), F.count(value).cast("double"))
+    if empty_mean is not None:
+        mean = F.coalesce(mean, F.lit(float(empty_mean)))
+    return df.agg(mean.alias(name))
+
+
 def above_mean(
-    totals: DataFrame, value: str = "total_spend", baseline_name: str = "avg_spend_baseline"
+    totals: DataFrame,
+    value: str = "total_spend",
+    baseline_name: str = "avg_spend_baseline",
+    empty_mean: float | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` exceeds the mean of ``value``, mean attached.
 
     The mean is a one-row aggregate joined back by broadcast, so the query
     stays one lazy plan (no driver round trip) and the totals are computed
-    once: both branches read the same shuffle.
+    once: both branches read the same shuffle.  The mean of no rows is NULL
+    (as in SQL) unless ``empty_mean`` is given.
     """
-    baseline = totals.agg(
-        F.try_divide(as_double(F.sum(value)), F.count(value).cast("double")).alias(baseline_name)
-    )
+    baseline = mean_of(totals, value, baseline_name, empty_mean)
     return totals.crossJoin(F.broadcast(baseline)).where(as_double(value) > F.col(baseline_name))
 
 

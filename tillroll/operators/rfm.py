@@ -29,11 +29,14 @@ def segment_expr(r: str = "r_score", f: str = "f_score", m: str = "m_score") ->
     )
 
 
-def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE) -> DataFrame:
+def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE, recency: str = "calendar") -> DataFrame:
     """Per customer: recency_days (calendar days from the customer's last
     purchase to the last purchase of anyone), frequency (distinct
     invoices), monetary (exact spend).
 
+    ``recency="elapsed"`` counts whole 24-hour periods instead of calendar
+    days (23:00 -> 01:00 next day is 1 calendar day, 0 elapsed days).
+
     The reference date is the maximum of the per-customer last purchases,
     taken from the customer table (one-row aggregate, broadcast), so the
     sale lines are read once and there is no driver round trip.
@@ -44,9 +47,16 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE) -> DataFrame:
         F.sum(S.REVENUE).alias("monetary"),
     )
     ref = per_customer.agg(F.max("_last").alias("_ref"))
+    if recency == "calendar":
+        days = F.datediff(F.to_date("_ref"), F.to_date("_last"))
+    elif recency == "elapsed":
+        seconds = F.unix_timestamp(F.col("_ref").cast("timestamp")) - F.unix_timestamp(F.col("_last").cast("timestamp"))
+        days = F.floor(seconds / F.lit(86400)).cast("int")
+    else:
+        raise ValueError(f"unknown recency {recency!r}")
     return per_customer.crossJoin(F.broadcast(ref)).select(
         S.CUSTOMER_ID,
-        F.datediff(F.to_date("_ref"), F.to_date("_last")).alias("recency_days"),
+        days.alias("recency_days"),
         "frequency",
         "monetary",
     )

@@ -40,9 +40,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header; the explicit schema avoids an inference pass."""
-    return spark.read.options(**S.CSV_OPTIONS).schema(S.SALES_SCHEMA).csv(path)
+def read_sales_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """CSV with header; the explicit schema avoids an inference pass.
+
+    ``PERMISSIVE`` turns unparsable fields into NULL (cleaning then drops
+    the line); ``DROPMALFORMED`` drops lines with a wrong field count or a
+    failed parse already in the reader."""
+    return spark.read.options(**{**S.CSV_OPTIONS, "mode": mode}).schema(S.SALES_SCHEMA).csv(path)
 
 
 def write_sales_csv(df: DataFrame, path: str) -> None:
@@ -84,12 +88,14 @@ def read_sales_parquet(spark: SparkSession, path: str, years: Iterable[int] | No
     return df
 
 
-def read_sales(spark: SparkSession, path: str, fmt: str = "parquet", years: Iterable[int] | None = None) -> DataFrame:
+def read_sales(
+    spark: SparkSession, path: str, fmt: str = "parquet", years: Iterable[int] | None = None, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """Source switch by parameter: the same sale lines from either copy."""
     if fmt == "parquet":
         return read_sales_parquet(spark, path, years).select(*S.SALES_COLUMNS)
     if fmt == "csv":
-        df = read_sales_csv(spark, path)
+        df = read_sales_csv(spark, path, mode)
         if years is not None:
             df = df.where(F.year(S.INVOICE_DATE).isin([int(y) for y in years]))
         return df
