@@ -62,13 +62,16 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
 def write_by_year(df: DataFrame, path: str, date_col: str = S.INVOICE_DATE) -> None:
     """Parquet copy with one ``year=`` directory per calendar year.
 
-    No shuffle: each task sorts its own rows by year and writes one file
-    per year it holds.  Hash- or range-partitioning by year first would
-    give fewer files but would send a hot year (or date) to one task.
+    Rows are rebalanced on the year before the write (the ``REBALANCE``
+    hint): one shuffle that groups a year's rows into few tasks, while AQE
+    splits any partition beyond the advisory size -- a year holding a third
+    of the rows is written by many tasks -- and merges small ones.  Files
+    come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    instead of tasks x years small files, and no task gets a whole year.
     """
     (
         df.withColumn(YEAR, F.year(date_col))
-        .sortWithinPartitions(YEAR)
+        .hint("rebalance", YEAR)
         .write.mode("overwrite")
         .partitionBy(YEAR)
         .parquet(path)
