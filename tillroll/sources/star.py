@@ -9,13 +9,13 @@ Mapping (one sale line per ``lineitem`` row):
 * customer_id  -- ``c_custkey``, NULL (unknown customer) when ``c_acctbal < 0``
 * country      -- ``n_name``
 
-Join order is chosen for the large case: customer x nation (nation
-broadcast after a row-count check), then orders x customers on the customer
-key, then lineitem x orders on the order key and x part on the part key --
-two shuffles of lineitem-sized data, none on a low-cardinality key.  No
-other broadcast is forced: Spark (with AQE, on measured sizes) broadcasts a
-side only while it is small and keeps sort-merge joins beyond that, where
-AQE also splits skewed partitions.  Column pruning and the cleaning
+Join order is chosen for the large case: customer x nation, then orders x
+customers on the customer key, then lineitem x orders on the order key and
+x part on the part key.  Each side other than lineitem is broadcast only
+while its row count is checked to be within ``MAX_BROADCAST_ROWS``; at
+100 TB that leaves nation broadcast and sort-merge joins elsewhere: two
+shuffles of lineitem-sized data, none on a low-cardinality key, with AQE
+splitting skewed partitions.  Column pruning and the cleaning
 predicates reach the individual scans because every derived column is a
 plain projection of one side.
 """
@@ -32,7 +32,9 @@ from tillroll.sources import schema as S
 CANCELLED_ORDER_STATUS = "P"
 CANCEL_PREFIX = "C"
 RETURN_FLAG = "R"
-MAX_DIMENSION_ROWS = 100_000
+# Largest side (rows) broadcast to every task: a few tens of MB for the
+# three to five narrow columns read here.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 # The star tables' columns this mapping reads, with their types.
@@ -64,7 +66,7 @@ def _dimension_fits(spark: SparkSession, sf_dir: str, name: str, df: DataFrame)
     table (input files are not rewritten while an application reads them)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _checked:
-        _checked[key] = fits_broadcast(df, MAX_DIMENSION_ROWS)
+        _checked[key] = fits_broadcast(df, MAX_BROADCAST_ROWS)
     return _checked[key]
 
 
@@ -85,22 +87,32 @@ def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
-    # nation has one row per country: checked, then broadcast, so customers
+    # Every join side except lineitem is broadcast while its row count is
+    # within MAX_BROADCAST_ROWS (checked once per application and table;
+    # a join output is bounded by the checked table: the other key is
+    # unique).  Beyond the bound the join is a sort-merge join, where AQE
+    # also splits skewed partitions.  nation is always tiny, so customers
     # are never shuffled on a 25-value key.
-    if _dimension_fits(spark, sf_dir, "nation", nation):
-        nation = F.broadcast(nation)
-    customer_side = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select(
+    def small(name: str, side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if _dimension_fits(spark, sf_dir, name, tables[name]) else side
+
+    tables = {"nation": nation, "customer": customer, "orders": orders, "part": part}
+    customer_side = customer.join(small("nation", nation), customer.c_nationkey == nation.n_nationkey, "inner").select(
         "c_custkey",
         F.when(F.col("c_acctbal") < 0, F.lit(None).cast("bigint")).otherwise(F.col("c_custkey")).alias(S.CUSTOMER_ID),
         F.col("n_name").alias(S.COUNTRY),
     )
-    order_side = orders.join(customer_side, orders.o_custkey == customer_side.c_custkey, "inner").select(
+    order_side = orders.join(
+        small("customer", customer_side), orders.o_custkey == customer_side.c_custkey, "inner"
+    ).select(
         "o_orderkey",
         _invoice(F.col("o_orderkey"), F.col("o_orderstatus")).alias(S.INVOICE),
         F.col("o_orderdate").alias(S.INVOICE_DATE),
         S.CUSTOMER_ID,
         S.COUNTRY,
     )
+    order_side = small("orders", order_side)
+    part = small("part", part)
     qty = F.col("l_quantity").cast("int")
     lines = lineitem.select(
         "l_orderkey",
