@@ -3,8 +3,8 @@
 
 Paths handed to these functions must be on storage every executor sees.
 ``shared_dir`` returns such a folder: the session's ``spark.checkpoint.dir``
-when the cluster names one, and only when it is unset (local runs, tests) a
-fresh folder of our own.
+when the cluster names one; only a ``local[...]`` session without it (tests)
+gets a fresh folder of our own, a cluster session without it is an error.
 """
 
 from __future__ import annotations
@@ -29,6 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder every executor can reach "
+            "(written tables and checkpoints go there)"
+        )
     if _local_fallback is None:
         _local_fallback = tempfile.mkdtemp(prefix="tillroll-")
         spark.sparkContext.setCheckpointDir(_local_fallback)
