@@ -228,3 +228,21 @@ def test_elapsed_versus_calendar_recency(spark):
     cal = {r["customer_id"]: r["recency_days"] for r in rfm.rfm_metrics(df).collect()}
     ela = {r["customer_id"]: r["recency_days"] for r in rfm.rfm_metrics(df, recency="elapsed").collect()}
     assert cal == {1: 1, 2: 0} and ela == {1: 0, 2: 0}
+
+
+def test_ties_in_spend_break_on_customer_id(spark):
+    rows = [line(invoice=str(i), customer_id=c, price="5.00", country="A") for i, c in enumerate([9, 4, 6, 2], 1)]
+    df = clean_rows(spark, rows)
+    out = Q.q06_form(df, n=3).collect()
+    assert [(r["customer_id"], r["rank_in_country"]) for r in out] == [(2, 1), (4, 2), (6, 3)]
+    top = Q.q04_form(sales(spark, [line(invoice=str(i), stock_code=s, price="5.00") for i, s in enumerate([8, 3, 5], 1)])
+                     .transform(clean), n=2).collect()
+    assert [r["stock_code"] for r in top] == [3, 5]
+
+
+def test_running_total_ends_at_the_total(spark):
+    df = Q.cleaned(spark, SF001)
+    trendrows = trend.monthly_trend(df).collect()
+    total = aggregates.summary(df).collect()[0]["total_revenue"]
+    assert trendrows[-1]["cumulative_revenue"] == total
+    assert all(a["cumulative_revenue"] <= b["cumulative_revenue"] for a, b in zip(trendrows, trendrows[1:]))

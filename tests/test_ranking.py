@@ -116,3 +116,20 @@ def test_hot_value_is_split_into_bounded_pieces(spark):
     assert max(pieces) <= 2 * n / m  # without the split one piece would hold 1600 rows
     got = global_ntile(df, 5, "v", "id", buckets=m, single_task_rows=0)
     assert as_dict(got) == as_dict(reference_ntile(df, 5, True))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    values=st.lists(st.one_of(st.none(), st.integers(0, 6), st.integers(0, 10**6)), min_size=0, max_size=120),
+    k=st.integers(1, 7),
+    buckets=st.sampled_from([2, 4, 16]),
+    asc=st.booleans(),
+)
+def test_global_ntile_property(spark, values, k, buckets, asc):
+    df = make(spark, values)
+    got = global_ntile(df, k, "v", "id", ascending=asc, buckets=buckets, materialize=False)
+    assert as_dict(got) == as_dict(reference_ntile(df, k, asc))
