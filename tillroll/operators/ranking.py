@@ -199,6 +199,7 @@ def global_ntiles(
     accuracy: int | None = None,
     materialize: bool = True,
     single_task_rows: int = 1_000_000,
+    piece_rows: int = 1_000_000,
 ) -> DataFrame:
     """Exact ``ntile(k)`` over all rows for several orderings at once, with
     no single-partition window and no full sort.
@@ -239,21 +240,30 @@ def global_ntiles(
     Size check: once written, ``df`` is counted (Parquet metadata); when it
     has at most ``single_task_rows`` rows, one task sorting it is cheaper
     than the extra passes, and the built-in window is used.  Beyond the
-    bound the distributed path runs; ``0`` always takes it.  ``m`` defaults to four times
-    the shuffle partitions, at least 16.
+    bound the distributed path runs; ``0`` always takes it.
+
+    ``m`` (``buckets``) defaults to ``ceil(n / piece_rows)`` within
+    [16, 100000] once ``n`` is known, so every piece that is sorted holds
+    about ``piece_rows`` rows whatever the input size (without
+    ``materialize``: four times the shuffle partitions, at least 16).
     """
     spark = df.sparkSession
-    if buckets is None:
-        buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    m = int(buckets)
-    acc = int(accuracy or max(10000, 8 * m))
-    tcol = F.col(tiebreak)
     specs = list(specs)
     idx = range(len(specs))
+    tcol = F.col(tiebreak)
+    n_rows = None
     if materialize:
         df = files.materialize(df, "ntile-input")
-        if single_task_rows > 0 and df.count() <= single_task_rows:
+        n_rows = df.count()
+        if single_task_rows > 0 and n_rows <= single_task_rows:
             return ntiles_one_task(df, k, tiebreak, specs)
+    if buckets is None:
+        if n_rows is not None:
+            buckets = min(100_000, max(16, -(-n_rows // piece_rows)))
+        else:
+            buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    m = int(buckets)
+    acc = int(accuracy or max(10000, 8 * m))
 
     def keep(small: DataFrame, name: str) -> DataFrame:
         # Side tables are O(m) rows by construction: one file each.
