@@ -95,14 +95,23 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
         tcol.alias("_t"),
         F.explode(
             F.filter(
-                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one")) for i in idx]),
+                F.array(
+                    *[
+                        F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one"))
+                        for i in idx
+                    ]
+                ),
                 lambda s: s["one"],
             )
         ).alias("_s"),
     )
     split = keep(
         single.groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.percentile_approx("_t", fractions, acc).alias("_tq"))
+        .agg(
+            F.count(F.lit(1)).alias("_c"),
+            F.first("_n").alias("_n"),
+            F.percentile_approx("_t", fractions, acc).alias("_tq"),
+        )
         .where(pieces > 1)
         .select(
             "_i",
@@ -135,7 +144,12 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
     counts = (
         y.select(
             F.explode(
-                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb")) for i in idx])
+                F.array(
+                    *[
+                        F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb"))
+                        for i in idx
+                    ]
+                )
             ).alias("_s")
         )
         .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
@@ -157,7 +171,10 @@ def ntile_piece_counts(
     acc = int(accuracy or max(10000, 8 * buckets))
     counts = _ntile_pieces(df, tiebreak, list(specs), int(buckets), acc, lambda small, name: small)[3]
     return counts.select(
-        F.col("_i").alias("ordering"), F.col("_bk").alias("bucket"), F.col("_sb").alias("piece"), F.col("_cnt").alias("rows")
+        F.col("_i").alias("ordering"),
+        F.col("_bk").alias("bucket"),
+        F.col("_sb").alias("piece"),
+        F.col("_cnt").alias("rows"),
     )
 
 
@@ -314,7 +331,9 @@ def global_ntiles(
             .where(F.col("_rn") == F.col("_t"))
             .agg(
                 F.coalesce(
-                    F.collect_list(F.struct(F.col(f"_bk{i}").alias("bk"), F.col("_k").alias("k"), F.col("_tie").alias("t"))),
+                    F.collect_list(
+                        F.struct(F.col(f"_bk{i}").alias("bk"), F.col("_k").alias("k"), F.col("_tie").alias("t"))
+                    ),
                     F.array(),
                 ).alias(f"_cuts{i}")
             )
