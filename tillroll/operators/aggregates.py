@@ -19,8 +19,8 @@ def summary(df: DataFrame) -> DataFrame:
     map-side partial aggregate; both the invoice branch and the customer
     branch read that single shuffle (Spark reuses the exchange), so the
     lines are scanned and shuffled once and there is no ``Expand`` that
-    would copy every line once per distinct count.  Each branch ends in a
-    one-row aggregate, so the cross join pairs one row with one row.
+    would copy every line once per distinct count.  The customer branch is
+    a one-row scalar subquery of the invoice branch's one-row result.
     """
     lines = df.groupBy(S.INVOICE, S.CUSTOMER_ID).agg(
         F.sum(S.REVENUE).alias("rev"),
@@ -35,18 +35,20 @@ def summary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("groups"),
     )
     line_side = lines.agg(
-        F.countDistinct(S.CUSTOMER_ID).alias("distinct_customers"),
-        F.max("max_rev").alias("max_rev"),
-        F.min("first_date").alias("min_invoice_date"),
-        F.max("last_date").alias("max_invoice_date"),
-    )
-    return invoice_side.crossJoin(F.broadcast(line_side)).select(
+        F.struct(
+            F.countDistinct(S.CUSTOMER_ID).alias("distinct_customers"),
+            F.max("max_rev").alias("max_rev"),
+            F.min("first_date").alias("min_invoice_date"),
+            F.max("last_date").alias("max_invoice_date"),
+        )
+    ).scalar()
+    return invoice_side.select(
         as_double("total").alias("total_revenue"),
         F.col("distinct_invoices"),
-        F.col("distinct_customers"),
-        as_double("max_rev").alias("max_line_revenue"),
-        F.col("min_invoice_date"),
-        F.col("max_invoice_date"),
+        line_side["distinct_customers"].alias("distinct_customers"),
+        as_double(line_side["max_rev"]).alias("max_line_revenue"),
+        line_side["min_invoice_date"].alias("min_invoice_date"),
+        line_side["max_invoice_date"].alias("max_invoice_date"),
         F.try_divide(as_double("total"), F.col("groups").cast("double")).alias("avg_order_value"),
     )
 
@@ -56,17 +58,17 @@ def summary_plain(df: DataFrame) -> DataFrame:
     an ``Expand``); kept as the general form for comparison with ``summary``."""
     invoice_totals = df.groupBy(S.INVOICE).agg(F.sum(S.REVENUE).alias("invoice_total"))
     aov = invoice_totals.agg(
-        F.try_divide(as_double(F.sum("invoice_total")), F.count(F.lit(1)).cast("double")).alias("avg_order_value")
-    )
-    top = df.agg(
+        F.try_divide(as_double(F.sum("invoice_total")), F.count(F.lit(1)).cast("double"))
+    ).scalar()
+    return df.agg(
         as_double(F.sum(S.REVENUE)).alias("total_revenue"),
         F.countDistinct(S.INVOICE).alias("distinct_invoices"),
         F.countDistinct(S.CUSTOMER_ID).alias("distinct_customers"),
         as_double(F.max(S.REVENUE)).alias("max_line_revenue"),
         F.min(S.INVOICE_DATE).alias("min_invoice_date"),
         F.max(S.INVOICE_DATE).alias("max_invoice_date"),
+        aov.alias("avg_order_value"),
     )
-    return top.crossJoin(F.broadcast(aov))
 
 
 def revenue_by(

@@ -29,13 +29,13 @@ def above_mean(
 ) -> DataFrame:
     """Rows whose ``value`` exceeds the mean of ``value``, mean attached.
 
-    The mean is a one-row aggregate joined back by broadcast, so the query
-    stays one lazy plan (no driver round trip) and the totals are computed
-    once: both branches read the same shuffle.  The mean of no rows is NULL
-    (as in SQL) unless ``empty_mean`` is given.
+    The mean is a scalar subquery of the same plan: no driver round trip,
+    no join, and Spark reads the totals' shuffle once for both uses
+    (``ReusedExchange``).  The mean of no rows is NULL (as in SQL) unless
+    ``empty_mean`` is given.
     """
-    baseline = mean_of(totals, value, baseline_name, empty_mean)
-    return totals.crossJoin(F.broadcast(baseline)).where(as_double(value) > F.col(baseline_name))
+    baseline = mean_of(totals, value, baseline_name, empty_mean).scalar()
+    return totals.where(as_double(value) > baseline).withColumn(baseline_name, baseline)
 
 
 def above_mean_customers(df: DataFrame) -> DataFrame:

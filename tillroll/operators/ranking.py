@@ -76,17 +76,21 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
             for i, (_, key, _) in enumerate(specs)
         ],
     ), "ntile-stats")
-    # 2. order-preserving bucket of every key.
-    bucketed = df.crossJoin(F.broadcast(stats))
+    # 2. order-preserving bucket of every key.  The one-row statistics
+    # enter as a scalar subquery (evaluated once, then a constant).
+    # (Projected to a column first: Spark evaluates no subquery inside a
+    # lambda.)
+    st = stats.select(F.struct(*stats.columns)).scalar()
+    bucketed = df.select("*", st.alias("_st")).withColumn("_n", F.col("_st._n"))
     for i, (_, key, asc) in enumerate(specs):
-        kc, kb = F.col(key), F.col(f"_kb{i}")
+        kc, kb = F.col(key), F.col(f"_st._kb{i}")
         before = F.size(F.filter(kb, _below(kc) if asc else _above(kc)))
         is_b = F.exists(kb, _equal(kc))
         null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
         bucketed = bucketed.withColumn(
             f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
         ).withColumn(f"_one{i}", kc.isNull() | is_b)
-    x = bucketed.drop(*[f"_kb{i}" for i in idx])
+    x = bucketed.drop("_st")
 
     # Split points inside single-value buckets, all keys in one aggregate.
     pieces = F.ceil(F.col("_c") * F.lit(m) / F.col("_n")).cast("int")
@@ -241,8 +245,9 @@ def global_ntiles(
        give running offsets, hence the piece holding each cut rank;
     4. only the rows of those <= k-1 pieces are numbered by a window (each
        piece about ``n/m`` rows), which yields the cut rows;
-    5. every row compares itself with the <= k-1 cut rows (broadcast):
-       a projection, no shuffle of the rows themselves.
+    5. every row compares itself with the <= k-1 cut rows (a scalar
+       subquery, i.e. a constant once computed): a projection, no shuffle
+       of the rows themselves.
 
     Exact whatever the quality of the quantiles (they only steer balance).
     The passes read ``df`` several times, so by default (``materialize``)
@@ -250,7 +255,7 @@ def global_ntiles(
     as Parquet (reliable storage: cuts the lineage, survives executor loss;
     one job, no recomputation) and each small side table (quantiles, split points, cut targets, cut rows; all
     O(m) rows or fewer) is written the same way as it is computed.  The returned
-    frame is then one scan of ``df`` with broadcast joins of small tables.
+    frame is then one scan of ``df`` plus scalar subqueries over small tables.
     With ``materialize=False`` everything stays one lazy plan (Spark reuses
     the exchanges, but the plan grows large).
 
@@ -266,8 +271,9 @@ def global_ntiles(
     """
     spark = df.sparkSession
     specs = list(specs)
-    idx = range(len(specs))
     tcol = F.col(tiebreak)
+    if k == 1:
+        return df.select("*", *[F.lit(1).alias(o) for o, _, _ in specs])
     n_rows = None
     if materialize:
         df = files.materialize(df, "ntile-input")
@@ -297,25 +303,26 @@ def global_ntiles(
         ),
     )
     # Cut j (1..k-1) ends tile j: rank c_j = j*q + min(j, r), q = n div k, r = n mod k.
-    n = stats.select("_n")
-    cut_ranks = n.select(
-        F.explode(F.sequence(F.lit(1), F.lit(max(k - 1, 1)))).alias("_j"), "_n"
-    ).where(F.col("_j") <= k - 1)
-    q = F.floor(F.col("_n") / F.lit(k)).cast("long")
-    r = F.col("_n") - q * F.lit(k)
-    cut_ranks = cut_ranks.select("_j", (F.col("_j") * q + F.least(F.col("_j").cast("long"), r)).alias("_c")).where(
-        F.col("_c") >= 1
+    n = F.col("_n")
+    q = F.floor(n / F.lit(k)).cast("long")
+    r = n - q * F.lit(k)
+    cut_ranks = F.transform(
+        F.sequence(F.lit(1), F.lit(k - 1)),
+        lambda j: F.struct(j.alias("j"), (j.cast("long") * q + F.least(j.cast("long"), r)).alias("c")),
     )
     targets = keep(
-        offsets.crossJoin(F.broadcast(cut_ranks))
-        .where((F.col("_off") < F.col("_c")) & (F.col("_c") <= F.col("_off") + F.col("_cnt")))
+        offsets.withColumn("_n", stats.select("_n").scalar())
+        .select("_i", "_bk", "_sb", "_off", "_cnt", F.explode(cut_ranks).alias("_jc"))
+        .select("_i", "_bk", "_sb", "_off", "_cnt", F.col("_jc.j").alias("_j"), F.col("_jc.c").alias("_c"))
+        .where((F.col("_c") >= 1) & (F.col("_off") < F.col("_c")) & (F.col("_c") <= F.col("_off") + F.col("_cnt")))
         .select("_i", "_bk", "_sb", "_j", (F.col("_c") - F.col("_off")).alias("_t")),
         "ntile-targets",
     )
 
-    # 4. number only the rows of the cut pieces; pick the cut rows.
-    all_cuts = None
-    for i, (_, key, asc) in enumerate(specs):
+    # 4. number only the rows of the cut pieces; pick the cut rows (at most
+    # k-1 per ordering, gathered into one array: a scalar subquery).
+    tiles, result = [], x
+    for i, (outname, key, asc) in enumerate(specs):
         kc = F.col(key)
         tgt = targets.where(F.col("_i") == i).select(
             F.col("_bk").alias(f"_bk{i}"), F.col("_sb").alias(f"_sb{i}"), "_j", "_t"
@@ -335,18 +342,12 @@ def global_ntiles(
                         F.struct(F.col(f"_bk{i}").alias("bk"), F.col("_k").alias("k"), F.col("_tie").alias("t"))
                     ),
                     F.array(),
-                ).alias(f"_cuts{i}")
+                )
             )
+            .scalar()
         )
-        all_cuts = cuts if all_cuts is None else all_cuts.crossJoin(cuts)
-    all_cuts = keep(all_cuts, "ntile-cuts")
-
-    # 5. tile = 1 + #(cut rows strictly before this row): a projection.
-    result = x.crossJoin(F.broadcast(all_cuts))
-    tiles = [
-        (F.lit(1) + F.size(F.filter(F.col(f"_cuts{i}"), _cut_before(F.col(f"_bk{i}"), F.col(key), tcol, asc))))
-        .cast("int")
-        .alias(outname)
-        for i, (outname, key, asc) in enumerate(specs)
-    ]
+        # 5. tile = 1 + #(cut rows strictly before this row): a projection.
+        result = result.withColumn(f"_cuts{i}", cuts)
+        before = _cut_before(F.col(f"_bk{i}"), kc, tcol, asc)
+        tiles.append((F.lit(1) + F.size(F.filter(F.col(f"_cuts{i}"), before))).cast("int").alias(outname))
     return result.select(*df.columns, *tiles)

@@ -37,24 +37,24 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE, recency: str = "calenda
     ``recency="elapsed"`` counts whole 24-hour periods instead of calendar
     days (23:00 -> 01:00 next day is 1 calendar day, 0 elapsed days).
 
-    The reference date is the maximum of the per-customer last purchases,
-    taken from the customer table (one-row aggregate, broadcast), so the
-    sale lines are read once and there is no driver round trip.
+    The reference date is the maximum of the per-customer last purchases:
+    a scalar subquery over the customer table, which reuses its shuffle, so
+    the sale lines are read once and there is no driver round trip.
     """
     per_customer = df.groupBy(S.CUSTOMER_ID).agg(
         F.max(ts).alias("_last"),
         F.countDistinct(S.INVOICE).alias("frequency"),
         F.sum(S.REVENUE).alias("monetary"),
     )
-    ref = per_customer.agg(F.max("_last").alias("_ref"))
+    ref = per_customer.agg(F.max("_last")).scalar()
     if recency == "calendar":
-        days = F.datediff(F.to_date("_ref"), F.to_date("_last"))
+        days = F.datediff(F.to_date(ref), F.to_date("_last"))
     elif recency == "elapsed":
-        seconds = F.unix_timestamp(F.col("_ref").cast("timestamp")) - F.unix_timestamp(F.col("_last").cast("timestamp"))
+        seconds = F.unix_timestamp(ref.cast("timestamp")) - F.unix_timestamp(F.col("_last").cast("timestamp"))
         days = F.floor(seconds / F.lit(86400)).cast("int")
     else:
         raise ValueError(f"unknown recency {recency!r}")
-    return per_customer.crossJoin(F.broadcast(ref)).select(
+    return per_customer.select(
         S.CUSTOMER_ID,
         days.alias("recency_days"),
         "frequency",

@@ -27,7 +27,8 @@ SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS D
 FROM sales"""
 
 # One aggregate per invoice and customer, read by both branches (a single
-# shuffle of the sale lines, no Expand for the two distinct counts).
+# shuffle of the sale lines, no Expand for the two distinct counts); the
+# customer branch is one scalar subquery returning a struct.
 SQL_Q02 = """
 WITH lines AS (
     SELECT invoice, customer_id, sum(revenue) AS rev, max(revenue) AS max_rev,
@@ -36,19 +37,17 @@ WITH lines AS (
 ),
 per_invoice AS (SELECT invoice, sum(rev) AS invoice_total FROM lines GROUP BY invoice),
 inv AS (
-    SELECT sum(invoice_total) AS total, count(invoice) AS distinct_invoices, count(1) AS groups
+    SELECT sum(invoice_total) AS total, count(invoice) AS distinct_invoices, count(1) AS groups,
+           (SELECT named_struct('distinct_customers', count(DISTINCT customer_id), 'max_rev', max(max_rev),
+                                'min_invoice_date', min(first_date), 'max_invoice_date', max(last_date))
+            FROM lines) AS cust
     FROM per_invoice
-),
-cust AS (
-    SELECT count(DISTINCT customer_id) AS distinct_customers, max(max_rev) AS max_rev,
-           min(first_date) AS min_invoice_date, max(last_date) AS max_invoice_date
-    FROM lines
 )
-SELECT /*+ BROADCAST(cust) */
-       CAST(inv.total AS DOUBLE) AS total_revenue, inv.distinct_invoices, cust.distinct_customers,
-       CAST(cust.max_rev AS DOUBLE) AS max_line_revenue, cust.min_invoice_date, cust.max_invoice_date,
-       try_divide(CAST(inv.total AS DOUBLE), CAST(inv.groups AS DOUBLE)) AS avg_order_value
-FROM inv CROSS JOIN cust"""
+SELECT CAST(total AS DOUBLE) AS total_revenue, distinct_invoices, cust.distinct_customers AS distinct_customers,
+       CAST(cust.max_rev AS DOUBLE) AS max_line_revenue, cust.min_invoice_date AS min_invoice_date,
+       cust.max_invoice_date AS max_invoice_date,
+       try_divide(CAST(total AS DOUBLE), CAST(groups AS DOUBLE)) AS avg_order_value
+FROM inv"""
 
 SQL_Q03 = """
 SELECT country, year(invoice_date) AS year, month(invoice_date) AS month,
@@ -93,18 +92,15 @@ FROM ranked
 WHERE rank_in_country <= 5
 ORDER BY country, rank_in_country"""
 
-# The mean is a one-row CTE joined in (not a scalar subquery): Spark then
-# reads the per-customer shuffle once for both uses instead of planning the
-# subquery's input again.
+# Scalar subqueries in the select list and in WHERE: Spark plans the two
+# identical subqueries once and reads the per-customer shuffle of the main
+# query (ReusedSubquery, ReusedExchange).
 SQL_Q07 = """
-WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id),
-baseline AS (
-    SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) AS avg_spend_baseline FROM totals
-)
-SELECT /*+ BROADCAST(baseline) */
-       customer_id, CAST(total AS DOUBLE) AS total_spend, avg_spend_baseline
-FROM totals CROSS JOIN baseline
-WHERE CAST(total AS DOUBLE) > avg_spend_baseline
+WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id)
+SELECT customer_id, CAST(total AS DOUBLE) AS total_spend,
+       (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) FROM totals) AS avg_spend_baseline
+FROM totals
+WHERE CAST(total AS DOUBLE) > (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) FROM totals)
 ORDER BY total_spend DESC, customer_id"""
 
 SQL_Q08 = """
@@ -134,11 +130,11 @@ WITH per_customer AS (
     SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
            sum(revenue) AS monetary
     FROM sales GROUP BY customer_id
-),
-ref AS (SELECT max(last_date) AS ref_date FROM per_customer)
-SELECT /*+ BROADCAST(ref) */
-       customer_id, datediff(to_date(ref_date), to_date(last_date)) AS recency_days, frequency, monetary
-FROM per_customer CROSS JOIN ref"""
+)
+SELECT customer_id,
+       datediff(to_date((SELECT max(last_date) FROM per_customer)), to_date(last_date)) AS recency_days,
+       frequency, monetary
+FROM per_customer"""
 
 
 SQL_Q10_SCORE = """

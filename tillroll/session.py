@@ -23,7 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Broadcast only what AQE has measured to be small at run time: the
         # static estimate multiplies the sizes of joined inputs and is not a
-        # bound.  Explicit broadcast hints (one-row aggregates, size-checked
+        # bound.  Explicit broadcast hints (size-checked join sides and
         # lookups) still apply.
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
