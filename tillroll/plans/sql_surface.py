@@ -27,8 +27,8 @@ SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS D
 FROM sales"""
 
 # One aggregate per invoice and customer, read by both branches (a single
-# shuffle of the sale lines, no Expand for the two distinct counts); the
-# customer branch is one scalar subquery returning a struct.
+# shuffle of the sale lines, no Expand for the two distinct counts); the two
+# one-row results are stacked and folded into one row (no join).
 SQL_Q02 = """
 WITH lines AS (
     SELECT invoice, customer_id, sum(revenue) AS rev, max(revenue) AS max_rev,
@@ -36,18 +36,19 @@ WITH lines AS (
     FROM sales GROUP BY invoice, customer_id
 ),
 per_invoice AS (SELECT invoice, sum(rev) AS invoice_total FROM lines GROUP BY invoice),
-inv AS (
+stacked AS (
     SELECT sum(invoice_total) AS total, count(invoice) AS distinct_invoices, count(1) AS groups,
-           (SELECT named_struct('distinct_customers', count(DISTINCT customer_id), 'max_rev', max(max_rev),
-                                'min_invoice_date', min(first_date), 'max_invoice_date', max(last_date))
-            FROM lines) AS cust
+           NULL AS distinct_customers, NULL AS max_rev, NULL AS min_invoice_date, NULL AS max_invoice_date
     FROM per_invoice
+    UNION ALL
+    SELECT NULL, NULL, NULL, count(DISTINCT customer_id), max(max_rev), min(first_date), max(last_date)
+    FROM lines
 )
-SELECT CAST(total AS DOUBLE) AS total_revenue, distinct_invoices, cust.distinct_customers AS distinct_customers,
-       CAST(cust.max_rev AS DOUBLE) AS max_line_revenue, cust.min_invoice_date AS min_invoice_date,
-       cust.max_invoice_date AS max_invoice_date,
-       try_divide(CAST(total AS DOUBLE), CAST(groups AS DOUBLE)) AS avg_order_value
-FROM inv"""
+SELECT CAST(max(total) AS DOUBLE) AS total_revenue, max(distinct_invoices) AS distinct_invoices,
+       max(distinct_customers) AS distinct_customers, CAST(max(max_rev) AS DOUBLE) AS max_line_revenue,
+       max(min_invoice_date) AS min_invoice_date, max(max_invoice_date) AS max_invoice_date,
+       try_divide(CAST(max(total) AS DOUBLE), CAST(max(groups) AS DOUBLE)) AS avg_order_value
+FROM stacked"""
 
 SQL_Q03 = """
 SELECT country, year(invoice_date) AS year, month(invoice_date) AS month,
