@@ -49,18 +49,3 @@ def valid_sale(
         & ~F.col(invoice).startswith(cancel_prefix)
         & F.col(ts).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     )
-
-
-def tile_of_rank(rank: Column, n: Column, k: int) -> Column:
-    """``ntile(k)`` value of the ``rank``-th (1-based) of ``n`` ordered rows.
-
-    The first ``n mod k`` tiles hold one row more than the others, as SQL
-    NTILE does.  ``q = 0`` (fewer rows than tiles) never reaches the second
-    branch; the guard keeps ANSI mode from seeing a division by zero.
-    """
-    q = F.floor(n / F.lit(k)).cast("long")
-    r = n - q * F.lit(k)
-    big = r * (q + F.lit(1))
-    first = F.floor((rank - F.lit(1)) / (q + F.lit(1))).cast("int") + F.lit(1)
-    rest = (r + F.floor((rank - F.lit(1) - big) / F.when(q > 0, q)) + F.lit(1)).cast("int")
-    return F.when(rank <= big, first).otherwise(rest)
