@@ -74,7 +74,7 @@ def main(argv):
     import __spark_entry__ as E
     from tillroll.session import local_session
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     names = argv[1:] or list(E.queries())
     spark = local_session(8)
     qs, sqls = E.queries(), E.oracle_sql()

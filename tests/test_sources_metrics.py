@@ -147,3 +147,18 @@ def test_csv_malformed_lines(spark):
     assert permissive.count() == 3 and clean(permissive).count() == 1
     dropped = files.read_sales(spark, path, fmt="csv", mode="DROPMALFORMED")
     assert [r["invoice"] for r in dropped.collect()] == ["1"]
+
+
+def test_csv_keeps_commas_quotes_and_nulls(spark):
+    from tests.fixtures import line, sales
+
+    rows = [
+        line(invoice="1", description='lamp, "large"'),
+        line(invoice="2", description=None, customer_id=None),
+        line(invoice="3", description="plain", price="0.01"),
+    ]
+    df = sales(spark, rows)
+    path = files.fresh_path(spark, "test-csv-quotes")
+    files.write_sales_csv(df, path)
+    back = files.read_sales(spark, path, fmt="csv")
+    assert sorted(back.collect()) == sorted(df.collect())
