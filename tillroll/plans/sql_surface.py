@@ -1,6 +1,7 @@
 """The same queries as Spark SQL text over registered views.
 
-``register_views`` names the cleaned sale lines ``sales`` and the lookup
+``register_views`` names the raw sale lines ``raw``, defines ``sales`` as a
+SQL view over it (cleaning predicate + revenue) and names the lookup
 ``country_region``; each ``sql_qNN`` is one ``spark.sql`` statement over
 them (CTEs, scalar subqueries, window functions, hints).
 """
@@ -11,20 +12,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators.cleaning import clean
+from tillroll.operators.cleaning import STAR_END, STAR_START
 from tillroll.sources.star import region_lookup_from_star, sales_from_star
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views ``sales`` (cleaned lines with revenue) and ``country_region``."""
-    clean(sales_from_star(spark, sf_dir)).createOrReplaceTempView("sales")
+CLEAN_PREDICATE = """
+quantity > 0 AND price > 0 AND customer_id IS NOT NULL AND invoice NOT LIKE '{prefix}%'
+AND invoice_date BETWEEN TIMESTAMP_NTZ '{start}' AND TIMESTAMP_NTZ '{end}'"""
+
+
+def register_views(
+    spark: SparkSession,
+    sf_dir: str,
+    raw: DataFrame | None = None,
+    start: str = STAR_START,
+    end: str = STAR_END,
+    cancel_prefix: str = "C",
+) -> None:
+    """Temp views: ``raw`` (the uncleaned sale lines: derived from the star
+    tables, or any ``raw`` frame such as a CSV or Parquet copy), ``sales``
+    (a SQL view over ``raw``: the cleaning predicate plus revenue) and
+    ``country_region``."""
+    (raw if raw is not None else sales_from_star(spark, sf_dir)).createOrReplaceTempView("raw")
+    predicate = CLEAN_PREDICATE.format(prefix=cancel_prefix, start=start, end=end)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW sales AS SELECT *, quantity * price AS revenue FROM raw WHERE {predicate}")
     region_lookup_from_star(spark, sf_dir).createOrReplaceTempView("country_region")
 
 
 SQL_Q01 = """
 SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS DOUBLE) AS price,
-       customer_id, country, CAST(revenue AS DOUBLE) AS revenue
-FROM sales"""
+       customer_id, country, CAST(quantity * price AS DOUBLE) AS revenue
+FROM raw
+WHERE """ + CLEAN_PREDICATE.format(prefix="C", start=STAR_START, end=STAR_END)
 
 # One aggregate per invoice and customer, read by both branches (a single
 # shuffle of the sale lines, no Expand for the two distinct counts); the two
