@@ -135,3 +135,12 @@ def test_global_ntile_property(spark, values, k, buckets, asc):
     df = make(spark, values)
     got = global_ntile(df, k, "v", "id", ascending=asc, buckets=buckets, materialize=False)
     assert as_dict(got) == as_dict(reference_ntile(df, k, asc))
+
+
+def test_sampled_boundaries_stay_exact(spark):
+    # n = 6000 rows with 4 buckets: boundaries come from a ~13% sample
+    vals = [(i, rng.randrange(40) if i % 3 else 11) for i in range(6000)]
+    df = spark.createDataFrame(vals, SCHEMA)
+    for asc in (True, False):
+        got = global_ntile(df, 5, "v", "id", ascending=asc, buckets=4, single_task_rows=0)
+        assert as_dict(got) == as_dict(reference_ntile(df, 5, asc))

@@ -59,16 +59,30 @@ def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
     return before
 
 
-def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
+SAMPLE_SEED = 17
+
+
+def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n_rows: int | None = None):
     """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts) where
     ``x`` has the bucket ``_bk{i}`` of every ordering, ``y`` adds the piece
-    ``_sb{i}``, and ``counts`` has the rows per (ordering, bucket, piece)."""
+    ``_sb{i}``, and ``counts`` has the rows per (ordering, bucket, piece).
+
+    With ``n_rows`` known, quantiles come from a seeded sample of about
+    ``200 m`` rows (as Spark's range partitioner samples its bounds), so the
+    final merge of the per-task quantile summaries stays small however many
+    tasks there are; they only steer balance, the counts stay exact."""
     fractions = [j / m for j in range(1, m)]
     tcol = F.col(tiebreak)
     idx = range(len(specs))
+    frac = 1.0 if not n_rows else min(1.0, 200.0 * m / n_rows)
+
+    def sampled(frame: DataFrame) -> DataFrame:
+        return frame if frac >= 1.0 else frame.sample(fraction=frac, seed=SAMPLE_SEED)
+
     # 1. quantiles of every key and the row count: one aggregate, one row.
-    stats = keep(df.agg(
-        F.count(F.lit(1)).alias("_n"),
+    count = F.lit(n_rows).cast("long") if n_rows is not None else F.count(F.lit(1))
+    stats = keep((df if n_rows is None else sampled(df)).agg(
+        count.alias("_n"),
         *[
             F.coalesce(
                 F.array_sort(F.array_distinct(F.percentile_approx(F.col(key), fractions, acc))), F.array()
@@ -92,8 +106,9 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
         ).withColumn(f"_one{i}", kc.isNull() | is_b)
     x = bucketed.drop("_st")
 
-    # Split points inside single-value buckets, all keys in one aggregate.
-    pieces = F.ceil(F.col("_c") * F.lit(m) / F.col("_n")).cast("int")
+    # Split points inside single-value buckets, all keys in one aggregate
+    # (sampled like the quantiles; ``_c`` estimates the bucket size).
+    pieces = F.ceil(F.col("_c") / F.lit(frac) * F.lit(m) / F.col("_n")).cast("int")
     single = x.select(
         "_n",
         tcol.alias("_t"),
@@ -110,7 +125,8 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep):
         ).alias("_s"),
     )
     split = keep(
-        single.groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
+        sampled(single)
+        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
         .agg(
             F.count(F.lit(1)).alias("_c"),
             F.first("_n").alias("_n"),
@@ -292,7 +308,7 @@ def global_ntiles(
         # Side tables are O(m) rows by construction: one file each.
         return files.materialize(small, name, single_file=True) if materialize else small
 
-    stats, x, y, counts = _ntile_pieces(df, tiebreak, specs, m, acc, keep)
+    stats, x, y, counts = _ntile_pieces(df, tiebreak, specs, m, acc, keep, n_rows)
     offsets = counts.withColumn(
         "_off",
         F.coalesce(
