@@ -251,3 +251,8 @@ def test_running_total_ends_at_the_total(spark):
     total = aggregates.summary(df).collect()[0]["total_revenue"]
     assert trendrows[-1]["cumulative_revenue"] == total
     assert all(a["cumulative_revenue"] <= b["cumulative_revenue"] for a, b in zip(trendrows, trendrows[1:]))
+
+
+def test_distributed_rfm_rows_are_only_projected(spark):
+    main = plan_text(Q.q10_rfm_segments_distributed(spark, SF001)).split("===== Subqueries")[0]
+    assert "Exchange" not in main and "Window" not in main
