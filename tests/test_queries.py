@@ -256,3 +256,21 @@ def test_running_total_ends_at_the_total(spark):
 def test_distributed_rfm_rows_are_only_projected(spark):
     main = plan_text(Q.q10_rfm_segments_distributed(spark, SF001)).split("===== Subqueries")[0]
     assert "Exchange" not in main and "Window" not in main
+
+
+def test_null_group_keys_are_groups(spark):
+    rows = [
+        line(invoice="1", stock_code=5, description=None, price="3.00", country=None),
+        line(invoice="2", stock_code=5, description=None, price="2.00", country=None),
+        line(invoice="3", stock_code=5, description="blue bolt", price="1.00", country="A"),
+        line(invoice="4", invoice_date=None),
+    ]
+    df = clean_rows(spark, rows)
+    assert df.count() == 3  # NULL date fails the window
+    top = {(r["stock_code"], r["description"]): r["revenue"] for r in Q.q04_form(df).collect()}
+    assert top == {(5, None): 5.0, (5, "blue bolt"): 1.0}
+    cells = {(r["country"], r["order_count"]) for r in Q.q03_form(df).collect()}
+    assert cells == {(None, 2), ("A", 1)}
+    lookup = lookup_from_pairs(spark, [("A", "Europe")])
+    regions = {r["region"]: r["revenue"] for r in enrich.revenue_by_region(df, lookup).collect()}
+    assert regions == {"Europe": 1.0, None: 5.0}
