@@ -162,3 +162,22 @@ def test_csv_keeps_commas_quotes_and_nulls(spark):
     files.write_sales_csv(df, path)
     back = files.read_sales(spark, path, fmt="csv")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_metrics_by_job_description(spark):
+    def task(stage, written, peak):
+        return {"Event": "SparkListenerTaskEnd", "Stage ID": stage, "Task Metrics": {
+            "Peak Execution Memory": peak, "Shuffle Write Metrics": {"Shuffle Bytes Written": written}}}
+
+    events = [
+        {"Event": "SparkListenerJobStart", "Job ID": 0, "Stage IDs": [0, 1], "Properties": {"spark.job.description": "q1"}},
+        {"Event": "SparkListenerJobStart", "Job ID": 1, "Stage IDs": [1, 2], "Properties": {"spark.job.description": "q2"}},
+        {"Event": "SparkListenerJobStart", "Job ID": 2, "Stage IDs": [3], "Properties": {}},
+        task(0, 10, 5), task(1, 20, 7), task(2, 40, 3), task(3, 1000, 1000),
+    ]
+    d = tempfile.mkdtemp(prefix="tillroll-evlog-")
+    with open(os.path.join(d, "app"), "w") as f:
+        f.write("\n".join(json.dumps(e) for e in events) + "\n")
+    out = metrics.metrics_by_job_description(eventlog.read_task_events(spark, d), eventlog.read_job_starts(spark, d))
+    got = {r["description"]: (r["shuffle_write_bytes"], r["peak_memory_bytes"]) for r in out.collect()}
+    assert got == {"q1": (30, 7), "q2": (40, 3)}  # stage 1 counted once, for the first job; untagged job left out

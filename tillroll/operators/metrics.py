@@ -29,6 +29,31 @@ def event_log_metrics(task_events: DataFrame, app_col: str = "log_file") -> Data
     )
 
 
+def metrics_by_job_description(
+    task_events: DataFrame, job_starts: DataFrame, prop: str = "spark.job.description"
+) -> DataFrame:
+    """M1 per unit of work inside one application: task metrics summed per
+    job description (set with ``SparkContext.setJobDescription``).  Stages
+    are mapped to descriptions through the job-start events; a stage shared
+    by several jobs is counted once, for the first of them."""
+    stage_owner = (
+        job_starts.select(
+            "log_file",
+            F.col("Job ID").alias("job_id"),
+            F.col("Properties").getItem(prop).alias("description"),
+            F.explode("Stage IDs").alias("stage_id"),
+        )
+        .where(F.col("description").isNotNull())
+        .groupBy("log_file", "stage_id")
+        .agg(F.min_by("description", "job_id").alias("description"))
+    )
+    same_stage = (task_events["Stage ID"] == stage_owner["stage_id"]) & (
+        task_events["log_file"] == stage_owner["log_file"]
+    )
+    tagged = task_events.join(stage_owner, same_stage).drop(stage_owner["log_file"])
+    return event_log_metrics(tagged, "description")
+
+
 def runtime_medians(runs: DataFrame, apis: Sequence[str] = APIS) -> DataFrame:
     """Median runtime per query, one column per interface (pivot over the
     fixed interface list, so no extra pass discovers the values), plus the

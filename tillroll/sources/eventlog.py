@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.sources import schema as S
 
 TASK_END = "SparkListenerTaskEnd"
+JOB_START = "SparkListenerJobStart"
 
 
 def read_task_events(spark: SparkSession, path: str) -> DataFrame:
@@ -20,12 +21,25 @@ def read_task_events(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(S.TASK_EVENT_SCHEMA)
         .option("mode", "DROPMALFORMED")
+        .option("recursiveFileLookup", "true")
         .json(path)
         .where(F.col("Event") == F.lit(TASK_END))
         .withColumn("log_file", F.input_file_name())
     )
 
 
+def read_job_starts(spark: SparkSession, path: str) -> DataFrame:
+    """Job-start events (stage ids and properties) of event-log files."""
+    return (
+        spark.read.schema(S.JOB_EVENT_SCHEMA)
+        .option("mode", "DROPMALFORMED")
+        .option("recursiveFileLookup", "true")
+        .json(path)
+        .where(F.col("Event") == F.lit(JOB_START))
+        .withColumn("log_file", F.input_file_name())
+    )
+
+
 def read_run_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").schema(S.RUN_METRICS_SCHEMA).csv(path)
 

@@ -52,6 +52,7 @@ CSV_OPTIONS = {
 TASK_EVENT_SCHEMA = T.StructType(
     [
         T.StructField("Event", T.StringType(), True),
+        T.StructField("Stage ID", T.LongType(), True),
         T.StructField(
             "Task Metrics",
             T.StructType(
@@ -81,6 +82,17 @@ TASK_EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# Job-start events: which stages a job ran, and its properties (the job
+# description names the work it belongs to).
+JOB_EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField("Event", T.StringType(), True),
+        T.StructField("Job ID", T.LongType(), True),
+        T.StructField("Stage IDs", T.ArrayType(T.LongType()), True),
+        T.StructField("Properties", T.MapType(T.StringType(), T.StringType()), True),
+    ]
+)
+
 # One row per (query, api, run): the benchmark's run-metrics table.
 RUN_METRICS_SCHEMA = T.StructType(
     [
