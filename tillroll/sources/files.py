@@ -73,14 +73,15 @@ def write_by_year(df: DataFrame, path: str, date_col: str = S.INVOICE_DATE) -> N
     of the rows is written by many tasks -- and merges small ones.  Files
     come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
     instead of tasks x years small files, and no task gets a whole year.
+
+    With adaptive execution off, ``REBALANCE`` could not split a hot year,
+    so each task then sorts its own rows by year and writes without a
+    shuffle (more, smaller files, but no task gets a whole year).
     """
-    (
-        df.withColumn(YEAR, F.year(date_col))
-        .hint("rebalance", YEAR)
-        .write.mode("overwrite")
-        .partitionBy(YEAR)
-        .parquet(path)
-    )
+    out = df.withColumn(YEAR, F.year(date_col))
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    out = out.hint("rebalance", YEAR) if adaptive else out.sortWithinPartitions(YEAR)
+    out.write.mode("overwrite").partitionBy(YEAR).parquet(path)
 
 
 def read_sales_parquet(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
