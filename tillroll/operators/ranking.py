@@ -63,9 +63,10 @@ SAMPLE_SEED = 17
 
 
 def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n_rows: int | None = None):
-    """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts) where
+    """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts, split) where
     ``x`` has the bucket ``_bk{i}`` of every ordering, ``y`` adds the piece
-    ``_sb{i}``, and ``counts`` has the rows per (ordering, bucket, piece).
+    ``_sb{i}``, ``counts`` has the rows per (ordering, bucket, piece), and
+    ``split`` holds the split points of the split buckets.
 
     With ``n_rows`` known, quantiles come from a seeded sample of about
     ``200 m`` rows (as Spark's range partitioner samples its bounds), so the
@@ -152,13 +153,7 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
     )
     y = x
     for i in idx:
-        part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
-        y = y.join(F.broadcast(part), f"_bk{i}", "left").withColumn(
-            f"_sb{i}",
-            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
-                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
-            ),
-        ).drop(f"_tb{i}")
+        y = _with_piece(y, split, i, tcol)
 
     # 3. counts per (key, bucket, piece) -> offsets -> the piece of each cut.
     counts = (
@@ -175,7 +170,23 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
         .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    return stats, x, y, counts
+    return stats, x, y, counts, split
+
+
+def _with_piece(frame: DataFrame, split: DataFrame, i: int, tcol: Column) -> DataFrame:
+    """Add ``_sb{i}``: the piece of the row inside its bucket of ordering
+    ``i`` (0 unless the bucket was split).  The split table is O(m) rows."""
+    part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
+    return (
+        frame.join(F.broadcast(part), f"_bk{i}", "left")
+        .withColumn(
+            f"_sb{i}",
+            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
+                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
+            ),
+        )
+        .drop(f"_tb{i}")
+    )
 
 
 def ntile_piece_counts(
@@ -308,7 +319,7 @@ def global_ntiles(
         # Side tables are O(m) rows by construction: one file each.
         return files.materialize(small, name, single_file=True) if materialize else small
 
-    stats, x, y, counts = _ntile_pieces(df, tiebreak, specs, m, acc, keep, n_rows)
+    stats, x, y, counts, split = _ntile_pieces(df, tiebreak, specs, m, acc, keep, n_rows)
     offsets = counts.withColumn(
         "_off",
         F.coalesce(
@@ -343,7 +354,7 @@ def global_ntiles(
         tgt = targets.where(F.col("_i") == i).select(
             F.col("_bk").alias(f"_bk{i}"), F.col("_sb").alias(f"_sb{i}"), "_j", "_t"
         )
-        rows = y.select(f"_bk{i}", f"_sb{i}", kc.alias("_k"), tcol.alias("_tie")).join(
+        rows = _with_piece(x, split, i, tcol).select(f"_bk{i}", f"_sb{i}", kc.alias("_k"), tcol.alias("_tie")).join(
             F.broadcast(tgt.select(f"_bk{i}", f"_sb{i}").distinct()), [f"_bk{i}", f"_sb{i}"], "left_semi"
         )
         order = F.col("_k").asc_nulls_first() if asc else F.col("_k").desc_nulls_last()
