@@ -37,18 +37,6 @@ def top_n_per_group(
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)
 
 
-def _below(v: Column):
-    return lambda b: b < v
-
-
-def _above(v: Column):
-    return lambda b: b > v
-
-
-def _equal(v: Column):
-    return lambda b: b == v
-
-
 def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
     """Predicate on a cut struct (bk, k, t): the cut row sorts before this row."""
 
@@ -62,6 +50,30 @@ def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
 SAMPLE_SEED = 17
 
 
+def _index(arr: Column) -> Column:
+    """Two-level index of a sorted array without duplicates: segments of
+    ``s = ceil(sqrt(n))`` elements and the last element of each, so that a
+    lookup compares about ``2 sqrt(n)`` elements instead of ``n``.  Built
+    once, on a small side table."""
+    n = F.size(arr)
+    s = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double"))).cast("int"))
+    nseg = F.ceil(n / s).cast("int")
+    firsts = F.filter(F.sequence(F.lit(0), nseg - 1), lambda p: (p >= 0) & (p < nseg))
+    coarse = F.transform(firsts, lambda p: F.element_at(arr, F.least((p + 1) * s, n)))
+    segs = F.transform(firsts, lambda p: F.slice(arr, p * s + 1, s))
+    return F.struct(n.alias("n"), s.alias("s"), coarse.alias("coarse"), segs.alias("segs"))
+
+
+def _rank_in(ix: Column, v: Column) -> tuple[Column, Column]:
+    """(number of elements below ``v``, ``v`` is an element) by ``_index``."""
+    p = F.size(F.filter(ix["coarse"], lambda c: c < v))
+    seg = F.try_element_at(ix["segs"], p + 1)  # NULL when v is above every element
+    below = F.when(p >= F.size(ix["coarse"]), ix["n"]).otherwise(
+        p * ix["s"] + F.size(F.filter(seg, lambda b: b < v))
+    )
+    return below, F.coalesce(F.exists(seg, lambda b: b == v), F.lit(False))
+
+
 def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n_rows: int | None = None):
     """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts, split) where
     ``x`` has the bucket ``_bk{i}`` of every ordering, ``y`` adds the piece
@@ -73,6 +85,10 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
     final merge of the per-task quantile summaries stays small however many
     tasks there are; they only steer balance, the counts stay exact."""
     fractions = [j / m for j in range(1, m)]
+    # A split bucket gets at most mt pieces: enough to cut a bucket holding
+    # a large share of all rows into pieces of about n / mt rows.
+    mt = min(m, 1024)
+    tie_fractions = [j / mt for j in range(1, mt)]
     tcol = F.col(tiebreak)
     idx = range(len(specs))
     frac = 1.0 if not n_rows else min(1.0, 200.0 * m / n_rows)
@@ -82,7 +98,7 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
 
     # 1. quantiles of every key and the row count: one aggregate, one row.
     count = F.lit(n_rows).cast("long") if n_rows is not None else F.count(F.lit(1))
-    stats = keep((df if n_rows is None else sampled(df)).agg(
+    quantiles = (df if n_rows is None else sampled(df)).agg(
         count.alias("_n"),
         *[
             F.coalesce(
@@ -90,7 +106,8 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
             ).alias(f"_kb{i}")
             for i, (_, key, _) in enumerate(specs)
         ],
-    ), "ntile-stats")
+    )
+    stats = keep(quantiles.select("_n", *[_index(F.col(f"_kb{i}")).alias(f"_kx{i}") for i in idx]), "ntile-stats")
     # 2. order-preserving bucket of every key.  The one-row statistics
     # enter as a scalar subquery (evaluated once, then a constant).
     # (Projected to a column first: Spark evaluates no subquery inside a
@@ -98,9 +115,9 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
     st = stats.select(F.struct(*stats.columns)).scalar()
     bucketed = df.select("*", st.alias("_st")).withColumn("_n", F.col("_st._n"))
     for i, (_, key, asc) in enumerate(specs):
-        kc, kb = F.col(key), F.col(f"_st._kb{i}")
-        before = F.size(F.filter(kb, _below(kc) if asc else _above(kc)))
-        is_b = F.exists(kb, _equal(kc))
+        kc, kx = F.col(key), F.col(f"_st._kx{i}")
+        below, is_b = _rank_in(kx, kc)
+        before = below if asc else kx["n"] - below - is_b.cast("int")
         null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
         bucketed = bucketed.withColumn(
             f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
@@ -109,7 +126,7 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
 
     # Split points inside single-value buckets, all keys in one aggregate
     # (sampled like the quantiles; ``_c`` estimates the bucket size).
-    pieces = F.ceil(F.col("_c") / F.lit(frac) * F.lit(m) / F.col("_n")).cast("int")
+    pieces = F.least(F.lit(mt), F.ceil(F.col("_c") / F.lit(frac) * F.lit(m) / F.col("_n")).cast("int"))
     single = x.select(
         "_n",
         tcol.alias("_t"),
@@ -131,7 +148,7 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
         .agg(
             F.count(F.lit(1)).alias("_c"),
             F.first("_n").alias("_n"),
-            F.percentile_approx("_t", fractions, acc).alias("_tq"),
+            F.percentile_approx("_t", tie_fractions, max(10000, 8 * mt)).alias("_tq"),
         )
         .where(pieces > 1)
         .select(
@@ -143,12 +160,13 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
                         F.sequence(F.lit(1), pieces - 1),
                         lambda j: F.element_at(
                             F.col("_tq"),
-                            F.greatest(F.lit(1), F.least(F.lit(m - 1), F.round(j * F.lit(m) / pieces).cast("int"))),
+                            F.greatest(F.lit(1), F.least(F.lit(mt - 1), F.round(j * F.lit(mt) / pieces).cast("int"))),
                         ),
                     )
                 )
             ).alias("_tb"),
-        ),
+        )
+        .select("_i", "_bk", _index(F.col("_tb")).alias("_tx")),
         "ntile-split",
     )
     y = x
@@ -176,16 +194,12 @@ def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n
 def _with_piece(frame: DataFrame, split: DataFrame, i: int, tcol: Column) -> DataFrame:
     """Add ``_sb{i}``: the piece of the row inside its bucket of ordering
     ``i`` (0 unless the bucket was split).  The split table is O(m) rows."""
-    part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tb").alias(f"_tb{i}"))
+    part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tx").alias(f"_tx{i}"))
+    below, _ = _rank_in(F.col(f"_tx{i}"), tcol)
     return (
         frame.join(F.broadcast(part), f"_bk{i}", "left")
-        .withColumn(
-            f"_sb{i}",
-            F.when(F.col(f"_tb{i}").isNull(), F.lit(0)).otherwise(
-                F.size(F.filter(F.col(f"_tb{i}"), lambda t: t < tcol))
-            ),
-        )
-        .drop(f"_tb{i}")
+        .withColumn(f"_sb{i}", F.when(F.col(f"_tx{i}").isNull(), F.lit(0)).otherwise(below))
+        .drop(f"_tx{i}")
     )
 
 
@@ -262,7 +276,9 @@ def global_ntiles(
 
     1. one aggregate: ``m-1`` approximate quantiles of each key and the row
        count ``n`` (one row, broadcast);
-    2. bucket ``2*(#quantiles before key) + (key is a quantile)``: buckets
+    2. bucket ``2*(#quantiles before key) + (key is a quantile)``, found
+       through a two-level index of the quantiles (about ``2 sqrt(m)``
+       comparisons per row, not ``m``): buckets
        follow the order, and the rows strictly between two quantiles are
        about ``n/m``.  A value frequent enough to overload a task is itself
        a quantile, i.e. a bucket of equal keys, which is split again into
