@@ -144,3 +144,13 @@ def test_sampled_boundaries_stay_exact(spark):
     for asc in (True, False):
         got = global_ntile(df, 5, "v", "id", ascending=asc, buckets=4, single_task_rows=0)
         assert as_dict(got) == as_dict(reference_ntile(df, 5, asc))
+
+
+@pytest.mark.parametrize("asc", [True, False])
+def test_many_buckets_multi_segment_index(spark, asc):
+    # 300 buckets: the quantile index has ~17 segments; ties, NULLs and a hot value
+    vals = [None if i % 50 == 0 else (3 if i % 4 == 0 else rng.randrange(2000)) for i in range(1500)]
+    df = make(spark, vals)
+    for k in (7, 2):
+        got = global_ntile(df, k, "v", "id", ascending=asc, buckets=300, single_task_rows=0)
+        assert as_dict(got) == as_dict(reference_ntile(df, k, asc))
