@@ -36,6 +36,9 @@ def test_year_partitioned_copy_prunes_directories(spark):
     pruned = files.read_sales(spark, path, fmt="parquet", years=[1996])
     scan = [ln for ln in plan_text(pruned).splitlines() if ln.startswith("PartitionFilters")]
     assert scan and "1996" in scan[0]
+    by_string = [ln for ln in plan_text(spark.read.parquet(path).filter("year = 1996")).splitlines()
+                 if ln.startswith("PartitionFilters")]
+    assert by_string and "1996" in by_string[0]  # a SQL-string filter on the partition column prunes too
     expect = raw.where(F.year("invoice_date") == 1996)
     assert pruned.exceptAll(expect).count() == 0 and expect.exceptAll(pruned).count() == 0
 
