@@ -184,3 +184,15 @@ def test_metrics_by_job_description(spark):
     out = metrics.metrics_by_job_description(eventlog.read_task_events(spark, d), eventlog.read_job_starts(spark, d))
     got = {r["description"]: (r["shuffle_write_bytes"], r["peak_memory_bytes"]) for r in out.collect()}
     assert got == {"q1": (30, 7), "q2": (40, 3)}  # stage 1 counted once, for the first job; untagged job left out
+
+
+def test_year_copy_without_adaptive_execution(spark):
+    raw = sales_from_star(spark, SF001)
+    path = files.fresh_path(spark, "test-by-year-no-aqe")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        files.write_by_year(raw, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    back = files.read_sales(spark, path, fmt="parquet")
+    assert raw.exceptAll(back).count() == 0 and back.exceptAll(raw).count() == 0
