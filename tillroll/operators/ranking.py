@@ -262,6 +262,7 @@ def global_ntiles(
     materialize: bool = True,
     single_task_rows: int = 1_000_000,
     piece_rows: int = 1_000_000,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Exact ``ntile(k)`` over all rows for several orderings at once, with
     no single-partition window and no full sort.
@@ -305,7 +306,10 @@ def global_ntiles(
     Size check: once written, ``df`` is counted (Parquet metadata); when it
     has at most ``single_task_rows`` rows, one task sorting it is cheaper
     than the extra passes, and the built-in window is used.  Beyond the
-    bound the distributed path runs; ``0`` always takes it.
+    bound the distributed path runs; ``0`` always takes it.  A caller that
+    has already proven ``df`` to hold at most ``rows_at_most`` rows (e.g.
+    per-customer rows of a customer table it counted) saves the write when
+    that bound is within ``single_task_rows``.
 
     ``m`` (``buckets``) defaults to ``ceil(n / piece_rows)`` within
     [16, 100000] once ``n`` is known, so every piece that is sorted holds
@@ -317,6 +321,8 @@ def global_ntiles(
     tcol = F.col(tiebreak)
     if k == 1:
         return df.select("*", *[F.lit(1).alias(o) for o, _, _ in specs])
+    if rows_at_most is not None and 0 < single_task_rows and rows_at_most <= single_task_rows:
+        return ntiles_one_task(df, k, tiebreak, specs)
     n_rows = None
     if materialize:
         df = files.materialize(df, "ntile-input")

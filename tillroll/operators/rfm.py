@@ -68,6 +68,7 @@ def rfm_scores(
     distributed: bool = True,
     buckets: int | None = None,
     single_task_rows: int = 1_000_000,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Quintile scores, 5 best: R from recency ascending, F and M from
     frequency / monetary descending, each tie broken by customer id.
@@ -79,7 +80,9 @@ def rfm_scores(
     """
     specs = [("r_score", "recency_days", True), ("f_score", "frequency", False), ("m_score", "monetary", False)]
     if distributed:
-        out = global_ntiles(rfm, k, S.CUSTOMER_ID, specs, buckets=buckets, single_task_rows=single_task_rows)
+        out = global_ntiles(
+            rfm, k, S.CUSTOMER_ID, specs, buckets=buckets, single_task_rows=single_task_rows, rows_at_most=rows_at_most
+        )
     else:
         out = rfm
         for name, key, asc in specs:
@@ -97,11 +100,16 @@ def rfm_segments(
     buckets: int | None = None,
     ts: str = S.INVOICE_DATE,
     single_task_rows: int = 1_000_000,
+    customers_at_most: int | None = None,
 ) -> DataFrame:
     """Q10: customer_id, recency_days, frequency, monetary, r_score,
     f_score, m_score, segment."""
     scored = rfm_scores(
-        rfm_metrics(df, ts), distributed=distributed, buckets=buckets, single_task_rows=single_task_rows
+        rfm_metrics(df, ts),
+        distributed=distributed,
+        buckets=buckets,
+        single_task_rows=single_task_rows,
+        rows_at_most=customers_at_most,
     )
     return scored.select(
         S.CUSTOMER_ID,

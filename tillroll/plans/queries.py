@@ -11,7 +11,7 @@ from tillroll.operators import aggregates, compare, enrich, ranking, rfm, trend
 from tillroll.operators.cleaning import STAR_END, STAR_START, clean
 from tillroll.sources import files
 from tillroll.sources import schema as S
-from tillroll.sources.star import region_lookup_from_star, sales_from_star
+from tillroll.sources.star import customers_at_most, region_lookup_from_star, sales_from_star
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +119,12 @@ def q09_month_over_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.month_over_month(cleaned(spark, sf_dir))
 
 
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.rfm_segments(cleaned(spark, sf_dir), customers_at_most=customers_at_most(spark, sf_dir))
+
+
 def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_segments(cleaned(spark, sf_dir))
+    return _segments(spark, sf_dir)
 
 
 def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,15 +133,15 @@ def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q10_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.segment_summary(rfm.rfm_segments(cleaned(spark, sf_dir)))
+    return rfm.segment_summary(_segments(spark, sf_dir))
 
 
 def q10_segment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.segment_sizes(rfm.rfm_segments(cleaned(spark, sf_dir)))
+    return rfm.segment_sizes(_segments(spark, sf_dir))
 
 
 def q10_top_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.top_per_segment(rfm.rfm_segments(cleaned(spark, sf_dir)))
+    return rfm.top_per_segment(_segments(spark, sf_dir))
 
 
 def customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,14 @@ def _dimension_fits(spark: SparkSession, sf_dir: str, name: str, df: DataFrame)
     return _checked[key]
 
 
+def customers_at_most(spark: SparkSession, sf_dir: str) -> int | None:
+    """A proven bound on distinct customer ids of the sale lines: they are
+    customer keys, so at most the customer table's rows.  Known when that
+    table passed the (memoised) row-count check, else ``None``."""
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return MAX_BROADCAST_ROWS if _dimension_fits(spark, sf_dir, "customer", customer) else None
+
+
 def _invoice(orderkey: F.Column, status: F.Column) -> F.Column:
     prefix = F.when(status == F.lit(CANCELLED_ORDER_STATUS), F.lit(CANCEL_PREFIX)).otherwise(F.lit(""))
     return F.concat(prefix, orderkey.cast("string"))
