@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.cleaning import STAR_END, STAR_START
-from tillroll.sources.star import region_lookup_from_star, sales_from_star
+from tillroll.sources.star import customers_at_most, region_lookup_from_star, sales_from_star
 
 
 CLEAN_PREDICATE = """
@@ -183,7 +183,7 @@ def sql_q10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     register_views(spark, sf_dir)
     rfm = spark.sql(_rfm_base_sql())
-    rfm_scores(rfm).createOrReplaceTempView("rfm_scored")
+    rfm_scores(rfm, rows_at_most=customers_at_most(spark, sf_dir)).createOrReplaceTempView("rfm_scored")
     return spark.sql(SQL_Q10_SCORE)
 
 
