@@ -274,3 +274,18 @@ def test_null_group_keys_are_groups(spark):
     lookup = lookup_from_pairs(spark, [("A", "Europe")])
     regions = {r["region"]: r["revenue"] for r in enrich.revenue_by_region(df, lookup).collect()}
     assert regions == {"Europe": 1.0, None: 5.0}
+
+
+def test_elapsed_recency_ignores_session_time_zone(spark):
+    rows = [
+        line(invoice="1", customer_id=1, invoice_date="1996-03-30 12:00:00"),
+        line(invoice="2", customer_id=2, invoice_date="1996-04-01 12:00:00"),
+    ]
+    df = clean_rows(spark, rows)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # DST starts 1996-03-31
+    try:
+        got = {r["customer_id"]: r["recency_days"] for r in rfm.rfm_metrics(df, recency="elapsed").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: 2, 2: 0}

@@ -50,8 +50,9 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE, recency: str = "calenda
     if recency == "calendar":
         days = F.datediff(F.to_date(ref), F.to_date("_last"))
     elif recency == "elapsed":
-        seconds = F.unix_timestamp(ref.cast("timestamp")) - F.unix_timestamp(F.col("_last").cast("timestamp"))
-        days = F.floor(seconds / F.lit(86400)).cast("int")
+        # whole 24-hour periods on the wall-clock values: no session time
+        # zone (and no daylight-saving hour) enters
+        days = F.timestamp_diff("DAY", F.col("_last"), ref).cast("int")
     else:
         raise ValueError(f"unknown recency {recency!r}")
     return per_customer.select(
