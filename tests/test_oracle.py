@@ -73,3 +73,14 @@ def test_sql_cleaning_reaches_the_scan(spark):
 
     text = plan_text(QUERIES["sql_q01"](spark, SF001))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThanOrEqual(o_orderdate" in text
+
+
+@pytest.mark.parametrize("name", ["q03_revenue_by_country_month", "csv_source_roundtrip", "q10_rfm_segments"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(spark, SF01, name, QUERIES[name], ORACLE[name], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["ok"], res
