@@ -154,3 +154,21 @@ def test_many_buckets_multi_segment_index(spark, asc):
     for k in (7, 2):
         got = global_ntile(df, k, "v", "id", ascending=asc, buckets=300, single_task_rows=0)
         assert as_dict(got) == as_dict(reference_ntile(df, k, asc))
+
+
+def test_two_level_index_matches_bisect(spark):
+    import bisect
+
+    from tillroll.operators.ranking import _index, _rank_in
+
+    cases = []
+    for size in (0, 1, 2, 3, 4, 9, 10, 16, 17, 50):
+        arr = sorted(rng.sample(range(0, 400, 3), size))
+        probes = sorted({-5, 0, 1, 2, 3, 200, 399, 401, 1000} | set(arr[:3]) | set(arr[-3:]))
+        cases += [(size, arr, v) for v in probes]
+    rows = spark.createDataFrame([(i, arr, v) for i, (_, arr, v) in enumerate(cases)], "i int, arr array<int>, v int")
+    below, is_b = _rank_in(F.col("ix"), F.col("v"))
+    out = rows.withColumn("ix", _index(F.col("arr"))).select("i", below.alias("below"), is_b.alias("is_b")).collect()
+    got = {r["i"]: (r["below"], r["is_b"]) for r in out}
+    for i, (_, arr, v) in enumerate(cases):
+        assert got[i] == (bisect.bisect_left(arr, v), v in arr), (arr, v, got[i])
