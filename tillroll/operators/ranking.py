@@ -275,16 +275,18 @@ def global_ntiles(
     tile = 1 + (number of tile-ending rows before the row), and only those
     ``k-1`` "cut" rows per ordering are located exactly:
 
-    1. one aggregate: ``m-1`` approximate quantiles of each key and the row
-       count ``n`` (one row, broadcast);
+    1. one aggregate: ``m-1`` approximate quantiles of each key, from a
+       seeded sample of about ``200 m`` rows once ``n`` is known (so the
+       final merge of per-task summaries stays small), with the row count
+       ``n`` (one row, read as a scalar subquery);
     2. bucket ``2*(#quantiles before key) + (key is a quantile)``, found
        through a two-level index of the quantiles (about ``2 sqrt(m)``
        comparisons per row, not ``m``): buckets
        follow the order, and the rows strictly between two quantiles are
        about ``n/m``.  A value frequent enough to overload a task is itself
        a quantile, i.e. a bucket of equal keys, which is split again into
-       ``ceil(size*m/n)`` pieces by quantiles of ``tiebreak`` inside that
-       bucket (so the split tables stay O(m) rows);
+       ``ceil(size*m/n)`` pieces (at most 1024) by quantiles of
+       ``tiebreak`` inside that bucket (so the split tables stay O(m) rows);
     3. row counts per (bucket, piece) -- partial aggregates, O(m) rows --
        give running offsets, hence the piece holding each cut rank;
     4. only the rows of those <= k-1 pieces are numbered by a window (each
@@ -297,8 +299,9 @@ def global_ntiles(
     The passes read ``df`` several times, so by default (``materialize``)
     ``df`` is written once to the session's shared checkpoint folder
     as Parquet (reliable storage: cuts the lineage, survives executor loss;
-    one job, no recomputation) and each small side table (quantiles, split points, cut targets, cut rows; all
-    O(m) rows or fewer) is written the same way as it is computed.  The returned
+    one job, no recomputation) and each small side table (quantiles, split
+    points, cut targets; all O(m) rows or fewer) is written the same way as
+    it is computed; the cut rows are scalar subqueries.  The returned
     frame is then one scan of ``df`` plus scalar subqueries over small tables.
     With ``materialize=False`` everything stays one lazy plan (Spark reuses
     the exchanges, but the plan grows large).
