@@ -9,6 +9,8 @@ gets a fresh folder of our own, a cluster session without it is an error.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -21,10 +23,11 @@ from tillroll.sources import schema as S
 YEAR = "year"
 
 _local_fallback: str | None = None
+_folders: dict[str, object] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written tables and checkpoints, shared by the cluster."""
+    """Folder for written tables, shared by the cluster."""
     global _local_fallback
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -36,13 +39,47 @@ def shared_dir(spark: SparkSession) -> str:
         )
     if _local_fallback is None:
         _local_fallback = tempfile.mkdtemp(prefix="tillroll-")
-        spark.sparkContext.setCheckpointDir(_local_fallback)
     return _local_fallback
 
 
+def _located(spark: SparkSession, path: str):
+    """The path as Hadoop sees it, and its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _located(spark, path)
+    return fs.exists(at)
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's folder under ``shared_dir``.  It is removed when
+    the interpreter ends, or earlier by ``release``."""
+    path = f"{shared_dir(spark)}/tillroll-{spark.sparkContext.applicationId}"
+    if path not in _folders:
+        _folders[path] = _located(spark, path)
+        if len(_folders) == 1:
+            atexit.register(_release_all)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Removes every table that this application's calls have written; frames
+    they returned can't be read afterwards."""
+    at, fs = _folders.pop(application_folder(spark))
+    fs.delete(at, True)
+
+
+def _release_all() -> None:
+    for at, fs in _folders.values():
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            fs.delete(at, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused location under ``shared_dir`` (one per write)."""
-    return f"{shared_dir(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
+    """A new, unused location in the application's folder (one per write)."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def read_sales_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
@@ -111,7 +148,7 @@ def read_sales(
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def materialize(df: DataFrame, name: str, single_file: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, single_file: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under ``shared_dir`` and read it back.
 
     Cuts the lineage in one job (an RDD checkpoint would compute its input
@@ -122,5 +159,15 @@ def materialize(df: DataFrame, name: str, single_file: bool = False) -> DataFram
     them.  The schema is handed to the reader, so no footer is inspected.
     """
     path = fresh_path(df.sparkSession, name)
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def remove(table: DataFrame) -> None:
+    """Deletes what ``materialize`` wrote for ``table``, which nothing may
+    read any more."""
+    at, fs = _located(table.sparkSession, table.written_to)
+    fs.delete(at, True)
