@@ -1,9 +1,11 @@
 """Byte-level BPE encoding with the tokenizers library, cached by unit.
 
 A byte-level tokenizer never merges across the borders of its pre-tokens, so
-a text is cut at blanks into units that can be encoded on their own; a
-worker keeps the ids of units it has seen (at most ``CACHE`` of them) and
-hands the library only new ones.  Texts that hold one of the vocabulary's
+a text is cut at blanks into units that can be encoded on their own.  A
+worker keeps the ids of units it has seen -- two generations of at most
+``CACHE`` each, so frequent ones stay -- and hands the library only new
+ones, joined to one text where each starts with a blank and so with a border
+of its own.  Texts that hold one of the vocabulary's
 added tokens, and vocabularies of any other make, are encoded whole.
 """
 
@@ -16,6 +18,7 @@ import re
 CACHE = 600_000
 #: Unicode white space, as the tokenizer's own pattern understands it.
 BLANK = "\t-\r \x85\xa0  -     　"
+BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{BLANK}]", c))
 UNIT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
 
@@ -38,21 +41,53 @@ class Encoder:
         self.vocab = self.lib.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.vocab <= 1 << 16 else "<u4"
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.lengths = None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, self.dtype).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _joined_ids(self, units: list[str]) -> list[bytes]:
+        """Ids of units that each start with a blank before another
+        character: encoded as one text and cut where their bytes end."""
+        import numpy as np
+
+        if self.lengths is None:  # a token's characters stand for bytes, one each
+            self.lengths = np.zeros(self.vocab, "int64")
+            for token, i in self.lib.get_vocab().items():
+                self.lengths[i] = len(token)
+        (ids,) = self._ids(["".join(units)])
+        sizes = np.cumsum(self.lengths[np.frombuffer(ids, self.dtype)])
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), "int64", len(units)))
+        cuts = ((np.searchsorted(sizes, ends) + 1) * np.dtype(self.dtype).itemsize).tolist()
+        return [ids[s:e] for s, e in zip([0, *cuts], cuts)]
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.seen) > CACHE:
+            self.seen, self.older = {}, self.seen
+        older = self.older
+        known = [u for u in new if u in older]
+        self.seen.update(zip(known, map(older.__getitem__, known)))
+        new.difference_update(known)
+        join = [u for u in new if len(u) > 1 and u[0] == " " and u[1] not in BLANKS]
+        self.seen.update(zip(join, self._joined_ids(join) if join else ()))
+        alone = list(new.difference(join))
+        self.seen.update(zip(alone, self._ids(alone)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [not self.by_unit or any(a in t for a in self.added) for t in texts]
         units = [[] if w else UNIT.findall(t) for t, w in zip(texts, whole)]
-        if len(self.seen) > CACHE:
-            self.seen = {}
-        seen = self.seen
-        new = list({u for us in units for u in us if u not in seen})
-        seen.update(zip(new, self._ids(new)))
-        get = seen.__getitem__
+        need: set[str] = set()
+        for us in units:
+            need.update(us)
+        new = need.difference(self.seen)
+        if new:
+            if len(self.seen) > CACHE:
+                new = need  # a new generation
+            self._learn(new)
+        get = self.seen.__getitem__
         return [self._ids([t])[0] if w else b"".join(map(get, us)) for t, us, w in zip(texts, units, whole)]
 
 
@@ -66,7 +101,7 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def in_portions(column, size: int = 1 << 20):
+def in_portions(column, size: int = 2 << 20):
     """(texts, first row) portions of an Arrow binary column, about ``size``
     bytes each; null is an empty text."""
     texts, first, held = [], 0, 0
