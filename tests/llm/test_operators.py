@@ -1,0 +1,532 @@
+"""The operators against brute force, on given tables and small fixtures."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tests.conftest import SF001
+from tests.oracle_harness import compare
+
+from tillroll.llm import bpe, chat, decontaminate, pii, quality, rans, rollup, secrets, sharding, simhash, token_files, unigram
+from tillroll.llm import queries as Q
+from tillroll.llm.components import components
+from tillroll.sources.files import fresh_path
+
+BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
+PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
+# columns that clash with names used inside, a null id, null, empty, repeated and long texts
+SCHEMA = "doc_id long, text string, source string, lang string, key string, fp string, body string, _key int"
+LONG = "word " * 30_000 + "end"
+ODD = [
+    (1, None, None, None, "k", "f", "b", 1), (2, "", "s", "en", None, None, None, None), (None, "no id here", "s", "en", "k", "f", "b", 1),
+    (3, "twice the same", "s", "en", "k", "f", "b", 1), (3, "twice the same", "s", "en", "k", "f", "b", 1), (4, LONG, "s", "en", "k", "f", "b", 1),
+    (5, " \n\t\x0b ", "s", "en", "k", "f", "b", 1), (3, "another text, same id", "s", None, "k", "f", "b", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+
+
+def same_ids(df):
+    return sorted(r.doc_id or 0 for r in df.collect()) == sorted(r[0] or 0 for r in ODD)
+
+
+@pytest.mark.parametrize("name", list(Q.oracle_sql()))
+def test_sql(spark, name):
+    got = compare(spark, SF001, name, Q.queries()[name], Q.oracle_sql()[name])
+    assert got["ok"], got
+
+
+# -- personal data ----------------------------------------------------------
+
+PII_RE = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def pii_brute(t):
+    out = []
+    for k, p in enumerate(PII_RE):
+        for m in re.finditer(p, t):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = [True, k == 1 and all(int(x) <= 255 for x in m[0].split(".")), 12 <= len(d) <= 19 and luhn(d), 9 <= len(d) <= 15][k]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+TRICKY = [
+    "a@b.c%d@e.f, x..y@z-1.co.uk. 1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255", "4785380592391139 4785-3805 9239 1139 +44 (20) 7946-0958. +1((( +12 3",
+    "+4785380592391139", "é@b.c ü1.1.1.1ü 𐍈 4785380592391139", "0000000000000 1--2 1.1.1.1.1@x.y", "9" * 3000 + "." + "a@" * 500 + "1.2.3.4",
+]
+
+
+def test_pii_base_is_the_strict_patterns(spark, given):
+    rows = given + [(10_000 + i, t) for i, t in enumerate(TRICKY)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: [tuple(x) for x in r.base] for r in found}
+    assert got == {i: pii_brute(t) for i, t in rows}
+    assert sum(map(len, got.values())) > 20
+
+
+def test_pii_bootstrapping_discovers_in_context(spark):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    rows = [(i, f"{word()} {word()} hotline: +44 20 {i:04d} {1000 + i} {word()} {word()}") for i in range(12)]
+    rows += [(100, f"{word()} hotline: 020-7946-0001 {word()}"), (101, f"{word()} {word()} room 020-7946-0002 {word()}")]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    assert [text[100][x.s : x.e] for x in got[100].spans] == ["020-7946-0001"] and not got[100].base
+    assert not got[101].spans and all(got[i].spans == got[i].base and any(x.k == 3 for x in got[i].base) for i in range(12))
+
+
+def test_pii_redacts(spark, odd, none):
+    rows = [(1, "mail a@b.cd or +44 20 7946 0958, 𐍈 1.2.3.4", None), (2, None, 5), (3, "clean", 1)]
+    out = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, spans int"))
+    assert sorted(out.collect()) == [(1, "mail [EMAIL] or [PHONE], 𐍈 [IP]", None), (2, None, 5), (3, "clean", 1)]
+    assert Counter(pii.redact(odd).collect()) == Counter(odd.collect()) and pii.redact(none).columns == none.columns
+    assert same_ids(pii.find_pii(odd)) and pii.find_pii(none).count() == 0
+
+
+# -- near-duplicates --------------------------------------------------------
+
+
+def component_ids(rows):
+    """rows: (id, fp).  Smallest id reachable by steps of at most 4 bits."""
+    fps = list({f for _, f in rows})
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if (a ^ b).bit_count() <= 4:
+                root[find(a)] = find(b)
+    least = {}
+    for i, f in rows:
+        least[find(f)] = min(i, least.get(find(f), i))
+    return {(i, f): least[find(f)] for i, f in rows}
+
+
+def brute_fingerprint(t):
+    from xxhash import xxh64_intdigest
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+    sh = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+    hs = [xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def test_simhash_components(spark, given):
+    rows = [(i, brute_fingerprint(t)) for i, t in given]
+    want = component_ids(rows)
+    got = Q.op2_covering_simhash(spark, SF001).collect()
+    assert {(r.doc_id, int(r.fingerprint, 16)): r.component_id for r in got} == want
+    assert len(set(want.values())) < len(want)
+
+
+def test_covering_masks_lose_no_pair():
+    masks = [m & (1 << 64) - 1 for m in simhash.masks()]
+    rnd = random.Random(2)
+    assert all(any(not m & d for m in masks) for d in (sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4))) for _ in range(20_000)))
+
+
+@pytest.mark.parametrize("dense", [2, 7, 4096])
+def test_dense_buckets_go_the_exact_way(spark, dense):
+    rnd = random.Random(3)
+    fps = {rnd.getrandbits(64) for _ in range(60)}
+    for c in list(fps)[:6]:
+        fps |= {c ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(1, 6))) for _ in range(25)}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash.covering_links(spark.createDataFrame([(f,) for f in signed], "fp long"), dense=dense)
+    roots = {r.hi: r.root for r in components(links).collect()}
+    groups = defaultdict(set)
+    for f in signed:
+        groups[roots.get(f, f)].add(f & (1 << 64) - 1)
+    want = defaultdict(set)
+    for (_, f), c in component_ids([(f, f) for f in fps]).items():
+        want[c].add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 300)], "lo long, hi long")
+    got = {r.hi: r.root for r in components(links).collect()}
+    assert got == {**{i: 0 for i in range(1, 101)}, 300: 200}
+
+
+def test_deduplicated_keeps_one_of_each(spark, odd, none):
+    stays = simhash.deduplicated(odd)
+    assert stays.columns == odd.columns
+    assert Counter((r.doc_id, r.text) for r in stays.collect()) == Counter({(1, None): 1, (3, "twice the same"): 1, (None, "no id here"): 1, (4, LONG): 1, (3, "another text, same id"): 1})
+    assert simhash.deduplicated(none).count() == 0 and same_ids(simhash.near_duplicates(odd))
+
+
+# -- quality ----------------------------------------------------------------
+
+
+def test_common_lines_by_documents_not_copies(spark, odd, none):
+    rnd = random.Random(4)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(n))
+    footer = prose(60)
+    rows = [(i, f"{prose(20)}\n{footer}", "h") for i in range(30)]  # depleted: most of each is the footer
+    rows += [(100 + i, f"{prose(200)}\n{footer}", "h") for i in range(5)]  # the footer goes, enough remains
+    rows += [(200 + i, f"{prose(20)}\n{footer}", "other") for i in range(5)]  # not common on that host
+    copy = f"{prose(40)}\n{prose(40)}"
+    rows += [(300 + i, copy, "h") for i in range(50)]  # copies are one document
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [i for i, r in got.items() if not r.kept] == list(range(30)) or {i for i, r in got.items() if not r.kept} == set(range(30))
+    assert got[100].n_common_words == 60 and got[200].n_common_words == 0 and got[300].n_common_words == 0
+    assert same_ids(quality.quality(odd)) and quality.quality(none).count() == 0
+    assert all(not r.kept for r in quality.quality(odd).collect())  # too short, or one word over and over
+
+
+# -- secrets ----------------------------------------------------------------
+
+
+def tlv(tag, body):
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x80 | (k := (n.bit_length() + 7) // 8)]) + n.to_bytes(k, "big")) + body
+
+
+def test_secrets_base_and_confirmed(spark, odd, none):
+    rnd = random.Random(5)
+    integer = lambda n: tlv(2, b"\x01" + rnd.randbytes(n))
+    rsa = tlv(0x30, tlv(2, b"\0") + b"".join(integer(64) for _ in range(8)))
+    pkcs8 = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a\x86\x48")) + tlv(4, rnd.randbytes(48)))
+    public = tlv(0x30, tlv(0x30, tlv(6, b"\x2a\x86\x48")) + tlv(3, rnd.randbytes(90)))
+    string = lambda b: struct.pack(">I", len(b)) + b
+    ssh = secrets.OPENSSH + string(b"none") * 2 + string(b"") + struct.pack(">I", 1) + string(b"pub" * 20) + string(b"priv" * 40)
+    b64, url = lambda b: base64.b64encode(b).decode(), lambda o: base64.urlsafe_b64encode(json.dumps(o).encode()).decode().rstrip("=")
+    token = f"{url({'alg': 'HS256'})}.{url({'sub': 'x'})}.{base64.urlsafe_b64encode(bytes(32)).decode().rstrip('=')}"
+    texts = {
+        1: f"é key {b64(rsa)} end", 2: f"x {pkcs8.hex().upper()} y", 3: f"pub {b64(public)}", 4: f"k {b64(ssh)}", 5: f"jwt {token}.", 6: f"{url({'a': 1})}.{url({})}.abc",
+        7: f"cut {b64(rsa)[:-8]}", 8: "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(re.findall(".{1,64}", b64(rsa))) + "\n-----END RSA PRIVATE KEY-----",
+        9: 'PassWord = "abcdefghijkl" ſecret=abcdefghijklmnop api_key: short token=' + "a" * 12, 10: "AKIA" + "A" * 14 + " AKIA" + "A" * 13 + " " + "0" * 16 + " " + "f" * 15,
+    }
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    kinds = {i: [secrets.KINDS[x.k] for x in r.secret_spans if x.k > 2] for i, r in got.items()}
+    assert kinds == {1: ["private_key"], 2: ["private_key"], 3: [], 4: ["ssh_key"], 5: ["signed_token"], 6: [], 7: [], 8: ["private_key"], 9: [], 10: []}
+    assert [texts[9][x.s : x.e] for x in got[9].secret_base] == ['PassWord = "abcdefghijkl', "token=" + "a" * 12]
+    assert [(x.k, x.e - x.s) for x in got[10].secret_base] == [(1, 18), (2, 16)]
+    assert (got[1].secret_spans[0].s, got[1].secret_spans[0].e) == (6, 6 + len(b64(rsa)))
+    assert same_ids(secrets.find_secrets(odd)) and secrets.find_secrets(none).count() == 0
+
+
+SECRET_RE = [(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, 2, 12), (r"AKIA[A-Z0-9]+", 0, 0, 18), (r"[0-9a-f]+", 0, 0, 16)]
+
+
+def test_secrets_base_against_plain_patterns(spark, given):
+    got = {r.doc_id: r.base_sha256 for r in Q.op4_structural_secrets(spark, SF001).collect()}
+    names = ("assign", "access", "hex")
+    for i, t in given:
+        spans = sorted((m.start(), k, m.end()) for k, (p, fl, g, n) in enumerate(SECRET_RE) for m in re.finditer(p, t, fl) if len(m[g]) >= n)
+        assert got[i] == hashlib.sha256(",".join(f"{names[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest()
+
+
+# -- decontamination --------------------------------------------------------
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 24, 200])
+def test_contamination_in_blocks(spark, odd, none, block_bytes):
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(12)] + ["é" + "x" * i for i in range(4)]
+    items = [(i, " ".join(rnd.choices(words, k=rnd.choice([3, 9, 10, 14])))) for i in range(25)] + [(0, None), (None, "W1 w2"), (7, "!"), (3, "w0")]
+    docs = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 60))) + " " + rnd.choice(items)[1] if i % 2 and (t := rnd.choice(items)[1]) else "") for i in range(40)]
+    docs = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 40))) + ", " + (rnd.choice(items)[1] or "") + "-W3") for i, _ in docs] + [(99, None), (5, "w0"), (5, "w0")]
+    w_of = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    want = []
+    for i, t in docs:
+        w, hit, got = w_of(t), set(), set()
+        for item, it in items:
+            iw = w_of(it)
+            n = min(10, len(iw))
+            for a in range(len(iw) - n + 1 if iw else 0):
+                for s in range(len(w) - n + 1):
+                    if w[s : s + n] == iw[a : a + n]:
+                        hit.update(range(s, s + n))
+                        got.add("" if item is None else str(item))
+        want.append((i, len(w), len(hit), tuple(sorted(got))))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.contamination(d, b, block_bytes=block_bytes).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in out) == Counter(want)
+    if block_bytes > 200:
+        empty = b.where("false")
+        assert same_ids(decontaminate.contamination(odd, empty)) and decontaminate.contamination(none, b).count() == 0
+        assert decontaminate.decontaminated(odd, empty).count() == len(ODD)
+
+
+# -- token files ------------------------------------------------------------
+
+
+def test_rans_round_trip_and_checkpoints():
+    rng = np.random.default_rng(7)
+    ids = np.minimum(rng.geometric(0.01, 200_000) - 1, 5000)
+    ids[:3] = 7000
+    coder = rans.Coder(rans.quantised(np.bincount(ids, minlength=7001)))
+    block = coder.encode(ids)
+    assert (coder.decode(block) == ids).all() and len(block) < 220_000
+    at = rans.CHECKPOINT_STEPS * rans.LANES
+    assert (coder.decode(block, checkpoint=1) == ids[at:]).all() and (coder.decode(block, 0, until=1) == ids[:at]).all()
+    for n in (0, 1, 63, 64, 65, 513):
+        assert (coder.decode(coder.encode(ids[:n])) == ids[:n]).all()
+    damaged = bytearray(block)
+    damaged[-1] ^= 1
+    with pytest.raises(ValueError):
+        coder.decode(bytes(damaged))
+    assert int(rans.quantised(np.ones(50_000)).sum()) == 1 << rans.PROB_BITS
+
+
+def library(texts):
+    from tokenizers import Tokenizer
+
+    return [e.ids for e in Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_token_files_against_the_library(spark, given, odd, none):
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in Q.op6_rans_token_files(spark, SF001).collect()}
+    at = 0
+    for (i, _), ids in zip(sorted(given), library([t for _, t in sorted(given)])):
+        raw = np.array([*ids, 0], "<u4")
+        assert got[i] == (at, len(raw), zlib.crc32(raw.tobytes()))
+        at += len(raw)
+    path = fresh_path(spark, "t")
+    token_files.write_tokens(odd, path, BPE, block_ids=4)
+    back = [(r.doc_id, r.start, r.ids) for r in token_files.read_tokens(spark, path).orderBy("start").collect()]
+    assert [x[0] for x in back] == [None, 1, 2, 3, 3, 3, 4, 5] and [x[1] for x in back] == np.cumsum([0, *[len(x[2]) for x in back[:-1]]]).tolist()
+    assert Counter(tuple(x[2]) for x in back) == Counter((*ids, 0) for ids in library([r[1] or "" for r in ODD]))
+    path = fresh_path(spark, "t")
+    token_files.write_tokens(none, path, BPE)
+    assert token_files.read_tokens(spark, path).count() == 0
+
+
+def test_bpe_units_and_generations(monkeypatch):
+    texts = ["a  b \n\n x\t y <|endoftext|>  z", "", "  lead", "tab\t\tx　y   z", " 'tis don't  ", "q\x1cr \x85 s\xa0t", "日本 語 é!"] * 3
+    monkeypatch.setattr(bpe, "CACHE", 3)
+    enc = bpe.Encoder(BPE)
+    got = [np.frombuffer(x, enc.dtype).tolist() for t in texts for x in enc.encode([t])]
+    assert got == library(texts)
+
+
+# -- pieces -----------------------------------------------------------------
+
+
+def test_unigram_against_the_library(spark, given):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(PIECES, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = 1  # the library's own Viterbi over the same pieces
+    lib = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    codec = unigram.Codec(unigram.Model(PIECES))
+    # the library adds up 32-bit floats: short texts without its huge unknown penalty compare exactly
+    lines = [x for _, t in given for x in re.findall(r"(?:\S+ ){1,6}\S+", t.replace("\n", " "))][:4000]
+    lines = [x for x in lines if all(lib.piece_to_id("▁" if c == " " else c) for c in x)]
+    assert len(lines) > 500
+    assert [np.frombuffer(codec.encode(x), codec.dtype).tolist() for x in lines] == [lib.encode(x) for x in lines]
+    for _, t in [*given, (0, "a▁b ▁ 𐍈\n\n  c "), (0, " "), (0, ""), (0, "\n"), (0, "x" * 5000)]:
+        assert codec.decode(np.frombuffer(codec.encode(t), codec.dtype).tolist()) == t
+
+
+def test_double_array_holds_its_keys():
+    rnd = random.Random(8)
+    keys = {bytes(rnd.choices(range(256), k=rnd.randint(1, 5))): i for i in range(3000)}
+    base, check, value = unigram.double_array(keys)
+
+    def look(k):
+        s = 0
+        for c in k:
+            t = base[s] + c + 1
+            if t < 0 or check[t] != s:
+                return -1
+            s = t
+        return value[s]
+
+    assert all(look(k) == v for k, v in keys.items()) and sum(look(rnd.randbytes(3)) < 0 for _ in range(100)) > 50
+
+
+def test_unigram_query_is_exact(spark, odd, none):
+    assert Q.op7_unigram_pieces(spark, SF001).where("not exact").count() == 0
+    model = unigram.load(spark, PIECES)
+    back = unigram.decode(unigram.encode(odd.withColumn("t", F.col("text")), model), model).collect()
+    assert all(r.decoded == (r.t or "") for r in back) and len(back) == len(ODD)
+    assert unigram.encode(none, model).count() == 0
+
+
+# -- rollups ----------------------------------------------------------------
+
+
+def test_rollup_deltas(spark, odd, none):
+    store = rollup.Rollup(spark, fresh_path(spark, "r"), {"v1": BPE})
+    assert store.totals().count() == 0
+    rows = [("a", "en", "one two"), ("a", "en", None), ("a", "en", "one two"), (None, None, "x")]
+    feed = spark.createDataFrame(rows, "source string, lang string, text string")
+    n = {t: len(ids) for t, ids in zip(["one two", "x", "", "one two three"], library(["one two", "x", "", "one two three"]))}
+    assert store.commit("b1", rollup.signed(feed, 1)) and not store.commit("b1", rollup.signed(feed, 1))
+    look = lambda: {(r.source, r.lang): (r.docs, r.tokens) for r in store.totals().collect()}
+    assert look() == {("a", "en"): (3, 2 * n["one two"]), (None, None): (1, n["x"])}
+    new = spark.createDataFrame([("a", "fr", "one two three")], feed.schema)
+    store.commit("b2", rollup.revised(feed.limit(1), new))
+    store.commit("b3", rollup.signed(feed.where("source is null"), -1))
+    assert look() == {("a", "en"): (2, n["one two"]), ("a", "fr"): (1, n["one two three"])}
+    # deltas without their marker don't count
+    rollup.deltas(rollup.signed(feed, 1), {"v1": BPE}).write.parquet(f"{store.path}/deltas/batch=b4")
+    assert look()[("a", "en")] == (2, n["one two"])
+    store.commit("b4", rollup.signed(none, 1))
+    assert store.committed("b4") and look()[("a", "en")] == (2, n["one two"])
+    assert rollup.deltas(rollup.signed(odd, 1), {"v1": BPE}).agg(F.sum("docs")).first()[0] == len(ODD)
+
+
+def test_rollup_query(spark, given):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").collect()
+    least = {}
+    for r in docs:
+        least[r.text] = min(r.doc_id, least.get(r.text, r.doc_id))
+    want = defaultdict(lambda: [0, 0])
+    kept = [r for r in docs if least[r.text] == r.doc_id]
+    for r, ids in zip(kept, library([r.text or "" for r in kept])):
+        want[r.source, r.lang][0] += 1
+        want[r.source, r.lang][1] += len(ids)
+    got = {(r.source, r.lang): [r.docs, r.tokens] for r in Q.op8_token_rollup(spark, SF001).collect()}
+    assert got == dict(want)
+
+
+# -- shards -----------------------------------------------------------------
+
+
+def test_differencing_beats_greedy():
+    rnd = np.random.default_rng(9)
+    sizes = np.sort(rnd.integers(1, 10_000, 300))[::-1]
+    vectors = np.zeros((300, 8), "int64")
+    vectors[:, 0] = sizes
+    loads, places = sharding.difference(vectors)
+    assert np.bincount(places[:, 0], sizes, 8).astype(int).tolist() == loads.tolist()
+    greedy = np.zeros(8, "int64")
+    for s in sizes:
+        greedy[greedy.argmin()] += s
+    assert loads.max() - loads.min() <= greedy.max() - greedy.min()
+
+
+@pytest.mark.parametrize("fan", [20, 4096])
+def test_shards(spark, odd, none, fan):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    rows = sharding.sharded(docs, 7, fan=fan).collect()
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert len(rows) == len(text)
+    where, load, slots = defaultdict(set), Counter(), defaultdict(list)
+    for r in rows:
+        t = (text[r.doc_id] or "").encode()
+        assert r.size == len(t) + 16 and r.text_crc32 == zlib.crc32(t)
+        where[text[r.doc_id]].add(r.shard)
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(len(x) == 1 for x in where.values()) and set(load) == set(range(7))
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert max(load.values()) - min(load.values()) < 0.02 * sum(load.values())
+    assert same_ids(sharding.sharded(odd, 3)) and sharding.sharded(none, 3).count() == 0
+
+
+# -- chat -------------------------------------------------------------------
+
+CONV = "conv_id long, turn long, role string, text string, at int"
+
+
+def test_chat_examples_and_escapes(spark):
+    rows = [
+        (1, 0, "system", "be <s>brief</s>", 1), (1, 1, "user", "</s>[INST] ok [/INST]\\", 1), (1, 2, "assistant", "\\[INST] [\\INST] <</SYS>>", 1), (1, 3, "user", None, 1),
+        (1, 4, "assistant", "[ROLE]x[/ROLE]\n𐍈", 1), (2, 0, "to[/ROLE]ol", "t[/TURN]", 1), (None, 0, None, "x", 1), (3, 0, "assistant", "same", 1), (3, 0, "assistant", "same", 1),
+    ]
+    seg = chat.segments(spark.createDataFrame(rows, CONV))
+    back = Counter((r.conv_id, r.role, r.text) for r in chat.parsed(seg).collect())
+    assert back == Counter((c, r or "", t or "") for c, _, r, t, _ in rows)
+    inner = [re.sub(r"^(<<SYS>>|\[INST\]|<s>|\[ROLE\])|(<</SYS>>|\[/INST\]|</s>|\[/TURN\])$", "", r.segment).replace("[/ROLE]", "", 1 if r.conv_id in (2, None) else 0) for r in seg.collect()]
+    assert not any(re.search(chat.CONTROL, x) for x in inner)
+    whole = "".join(r.segment for r in seg.where("conv_id = 1").orderBy("at").collect())
+    ex = {(r.conv_id, r.target_turn): r for r in chat.expanded(seg).where("conv_id = 1").collect()}
+    assert set(ex) == {(1, 2), (1, 4)}
+    for (_, turn), r in ex.items():
+        assert whole.startswith(r.text) and r.text[r.context_chars :].startswith("<s>") and r.text.endswith("</s>")
+        assert re.sub(r"\\(\\?)", r"\1", r.text[r.reply_start : r.reply_end]) == dict((t, x) for c, t, _, x, _ in rows if c == 1)[turn]
+    got = {r.conv_id: r for r in chat.digests(seg).collect()}
+    for c in (1, 2, None, 3):
+        mine = [r for r in rows if r[0] == c]
+        loss = "".join(t or "" for _, _, r, t, _ in mine if r == "assistant")
+        assert got[c].n_turns == len(mine) and got[c].loss_chars == len(loss) and got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r or ''}\n{t or ''}\n" for _, _, r, t, _ in mine).encode()).hexdigest()
+    assert chat.digests(chat.segments(spark.createDataFrame([], CONV))).count() == 0
+
+
+def test_chat_one_long_conversation_is_spread(spark):
+    n = 20_000
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    (r,) = chat.digests(chat.segments(df)).collect()
+    loss = "".join(f"t{i}" for i in range(1, n, 2))
+    assert (r.n_turns, r.loss_sha256) == (n, hashlib.sha256(loss.encode()).hexdigest())
+    assert r.turns_sha256 == hashlib.sha256("".join(f"{'assistant' if i % 2 else 'user'}\nt{i}\n" for i in range(n)).encode()).hexdigest()
+
+
+# -- pipeline ---------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, odd, none):
+    import corpus_pipeline as P
+
+    rnd = random.Random(10)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefghijkl", k=rnd.randint(3, 7))) for _ in range(n))
+    item = spark.read.parquet(f"{SF001}/benchmark.parquet").first().text
+    a, b = prose(120), prose(150)
+    rows = [(1, a), (2, a), (3, a + " " + prose(1)), (4, prose(10)), (5, b + "\n" + item), (6, prose(100) + " mail me@x.org " + prose(5)), (7, None), (6, prose(90))]
+    docs = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in rows], "doc_id long, text string, source string, kept int, root int")
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF001)
+        assert docs.columns == ["doc_id", "text", "source", "kept", "root"]
+    got = sorted(docs.collect(), key=lambda r: (r.doc_id, r.text))
+    assert [r.doc_id for r in got] == [1, 6, 6] and got[0].text == a and any("mail [EMAIL]" in r.text for r in got)
+    out = P.STAGES[-1][1](spark, docs, SF001).collect()
+    assert len(out) == 3 and all(r.exact and r.n_pieces == len(r.piece_ids) for r in out)
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, odd, SF001).columns == odd.columns and stage(spark, none, SF001).count() == 0
+        stage(spark, odd, SF001).count()
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark):
+    import corpus_pipeline as P
+
+    out = {r.doc_id for r in P.run(spark, SF001).collect()}
+    verdict = {r.doc_id: r.kept for r in Q.op3_line_frequency_quality(spark, SF001).collect()}
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF001}/documents.parquet").collect() if verdict[r.doc_id]]
+    first = component_ids([(i, brute_fingerprint(t)) for i, t in docs])
+    firsts = set(first.values())
+    dirty = {r.doc_id for r in Q.op5_prefix_decontamination(spark, SF001).where("contaminated").collect()}
+    assert out == firsts - dirty and 0 < len(out) < len(docs)

@@ -39,6 +39,8 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
 DENSE = 4096
+#: Columns that the result adds; a document's own of these names give way.
+RESULT = ("fp", "root", "component_id")
 
 
 def fingerprint(data: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -66,7 +68,7 @@ def fingerprint(data: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, text: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` without ``text``, with ``fp`` (the fingerprint as a long)."""
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c != text and c.lower() not in RESULT]
     body = unused(docs, "_body")[0]
     given = docs.select(*rest, F.col(text).cast("binary").alias(body))
     schema = extended(given.select(*rest), {"fp": T.LongType()})
