@@ -9,8 +9,8 @@ DOUBLE once, as in the Spark code, so values match to the last bit.
 
 from __future__ import annotations
 
-# Fixed values shared with the Spark side: the valid date window and the
-# region left out of the lookup.
+# Fixed values shared with the Spark side: the date window of Q1 and the
+# region left out of the lookup with a default label.
 START = "1995-01-01 00:00:00"
 END = "2000-12-31 23:59:59"
 EXCLUDED_REGIONKEY = 4
@@ -18,7 +18,7 @@ EXCLUDED_REGIONKEY = 4
 RAW_SALES = """
 raw_sales AS (
     SELECT concat(CASE WHEN o.o_orderstatus = 'P' THEN 'C' ELSE '' END, CAST(o.o_orderkey AS VARCHAR)) AS invoice,
-           l.l_partkey AS stock_code,
+           CAST(l.l_partkey AS VARCHAR) AS stock_code,
            p.p_name AS description,
            CASE WHEN l.l_returnflag = 'R' THEN -CAST(trunc(l.l_quantity) AS INTEGER)
                 ELSE CAST(trunc(l.l_quantity) AS INTEGER) END AS quantity,
@@ -41,18 +41,18 @@ sales AS (
     FROM {source}
     WHERE quantity > 0 AND price > 0 AND customer_id IS NOT NULL
       AND NOT (invoice LIKE 'C%')
-      AND invoice_date BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'
+      AND invoice_date IS NOT NULL
 )"""
 
 
 SALES = RAW_SALES + "," + _clean_from("raw_sales")
 
-LOOKUP = f"""
+LOOKUP = """
 country_region AS (
     SELECT n.n_name AS country, r.r_name AS region
     FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-    WHERE r.r_regionkey <> {EXCLUDED_REGIONKEY}
 )"""
+PART_LOOKUP = LOOKUP.replace("r.r_regionkey\n)", f"r.r_regionkey\n    WHERE r.r_regionkey <> {EXCLUDED_REGIONKEY}\n)")
 
 RFM = """
 per_customer AS (
@@ -92,7 +92,8 @@ def _with(*ctes: str) -> str:
 Q01 = _with(SALES) + """
 SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS DOUBLE) AS price,
        customer_id, country, CAST(revenue AS DOUBLE) AS revenue
-FROM sales"""
+FROM sales
+WHERE invoice_date BETWEEN TIMESTAMP '""" + START + """' AND TIMESTAMP '""" + END + """'"""
 
 Q02 = _with(SALES) + """
 SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue,
@@ -162,7 +163,7 @@ GROUP BY 1
 ORDER BY revenue DESC, region ASC NULLS FIRST"""
 
 Q08 = _with(SALES, LOOKUP) + _Q08_BODY.format(region="cr.region")
-Q08_DEFAULT = _with(SALES, LOOKUP) + _Q08_BODY.format(region="coalesce(cr.region, 'Unknown')")
+Q08_DEFAULT = _with(SALES, PART_LOOKUP) + _Q08_BODY.format(region="coalesce(cr.region, 'Unknown')")
 
 Q09 = _with(SALES, """
 monthly AS (

@@ -24,7 +24,7 @@ def line(
 ):
     return (
         invoice,
-        stock_code,
+        None if stock_code is None else str(stock_code),
         description,
         quantity,
         ts(invoice_date) if isinstance(invoice_date, str) else invoice_date,

@@ -7,7 +7,7 @@ from tillroll.operators.cleaning import STAR_END, STAR_START, clean
 
 
 def kept(spark, row):
-    return clean(sales(spark, [row])).count() == 1
+    return clean(sales(spark, [row]), STAR_START, STAR_END).count() == 1
 
 
 def test_valid_line_kept_with_exact_revenue(spark):
@@ -56,6 +56,14 @@ def test_filters_reach_the_star_scans(spark):
     from tests.conftest import SF001
     from tillroll.sources.star import sales_from_star
 
-    plan = plan_text(clean(sales_from_star(spark, SF001)))
+    lines = sales_from_star(spark, SF001)
+    plan = plan_text(clean(lines, STAR_START, STAR_END))
     # the date window is a plain column predicate on orders: pushed into the scan
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThanOrEqual(o_orderdate" in plan
+    # so are the rules on the tables' own columns, and the rows stay the same
+    valid = clean(sales_from_star(spark, SF001, valid=True))
+    plan = plan_text(valid)
+    for pushed in ("GreaterThanOrEqual(l_quantity,1.0)", "EqualTo(o_orderstatus,P)", "GreaterThanOrEqual(c_acctbal,0.0)", "GreaterThan(p_retailprice,0.0)"):
+        assert pushed in plan, pushed
+    every = clean(lines)
+    assert valid.exceptAll(every).count() == 0 and every.exceptAll(valid).count() == 0

@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from tests.conftest import SF001, SF01
 from tests.oracle_harness import compare, duck
 
-QUERIES = E.queries()
+# the training-data operators have tests of their own
+QUERIES = {k: f for k, f in E.queries().items() if not k.startswith("op") and k != "pipeline"}
 ORACLE = E.oracle_sql()
 
 
@@ -23,7 +24,7 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 DF_FORMS = {

@@ -28,8 +28,8 @@ def month_index(ts: str = S.INVOICE_DATE) -> Column:
 
 
 def valid_sale(
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     cancel_prefix: str = "C",
     invoice: str = S.INVOICE,
     quantity: str = S.QUANTITY,
@@ -42,10 +42,15 @@ def valid_sale(
     A NULL invoice fails ``NOT startswith`` (NULL is not true), so lines
     without an invoice are removed as well.
     """
+    date = F.col(ts).isNotNull()
+    if start is not None:
+        date = date & (F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        date = date & (F.col(ts) <= F.lit(end).cast("timestamp_ntz"))
     return (
         (F.col(quantity) > 0)
         & (F.col(price) > 0)
         & F.col(customer).isNotNull()
         & ~F.col(invoice).startswith(cancel_prefix)
-        & F.col(ts).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+        & date
     )

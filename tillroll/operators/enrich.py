@@ -1,4 +1,4 @@
-"""Lookup enrichment by (size-checked) broadcast join (Q8)."""
+"""Lookup enrichment (Q8)."""
 
 from __future__ import annotations
 
@@ -8,37 +8,20 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import as_double
 from tillroll.sources import schema as S
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows of the lookup side only, so the
-    check costs a scan of a small table, never of the fact table.
-    """
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     value: str,
     default: str | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join ``fact`` to a lookup ``dim`` on ``key`` (kept once);
     unmatched keys get NULL, or ``default`` when given.
 
-    The lookup is broadcast only after its size is checked; beyond the
-    bound the join is left to the planner (shuffle join, AQE may still
-    convert it at run time).
+    No hint: Spark broadcasts the lookup by its measured bytes
+    (``autoBroadcastJoinThreshold``), and splits skewed keys otherwise.
     """
-    side = dim.select(key, value)
-    if fits_broadcast(side, max_broadcast_rows):
-        side = F.broadcast(side)
-    out = fact.join(side, key, "left")
+    out = fact.join(dim.select(key, value), key, "left")
     if default is not None:
         out = out.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
     return out
@@ -48,11 +31,10 @@ def revenue_by_region(
     df: DataFrame,
     lookup: DataFrame,
     default: str | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Q8: region, revenue, distinct_customers; biggest revenue first."""
     enriched = lookup_join(
-        df.select(S.COUNTRY, S.CUSTOMER_ID, S.REVENUE), lookup, S.COUNTRY, "region", default, max_broadcast_rows
+        df.select(S.COUNTRY, S.CUSTOMER_ID, S.REVENUE), lookup, S.COUNTRY, "region", default
     )
     return (
         enriched.groupBy("region")

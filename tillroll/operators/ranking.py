@@ -37,369 +37,84 @@ def top_n_per_group(
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)
 
 
-def _cut_before(bk: Column, key: Column, tie: Column, ascending: bool):
-    """Predicate on a cut struct (bk, k, t): the cut row sorts before this row."""
+def _cut_before(key: Column, tie: Column, ascending: bool):
+    """Predicate on a cut struct (k, t): the cut row sorts before this row
+    (nulls first ascending, last descending; ties by ``tie``)."""
 
     def before(c: Column) -> Column:
-        key_first = (c["k"] < key) if ascending else (c["k"] > key)
-        return (c["bk"] < bk) | ((c["bk"] == bk) & (key_first | (c["k"].eqNullSafe(key) & (c["t"] < tie))))
+        if ascending:
+            first = F.coalesce(c["k"] < key, c["k"].isNull() & key.isNotNull())
+        else:
+            first = F.coalesce(c["k"] > key, c["k"].isNotNull() & key.isNull())
+        return first | (c["k"].eqNullSafe(key) & (c["t"] < tie))
 
     return before
 
 
-SAMPLE_SEED = 17
-
-
-def _index(arr: Column) -> Column:
-    """Two-level index of a sorted array without duplicates: segments of
-    ``s = ceil(sqrt(n))`` elements and the last element of each, so that a
-    lookup compares about ``2 sqrt(n)`` elements instead of ``n``.  Built
-    once, on a small side table."""
-    n = F.size(arr)
-    s = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double"))).cast("int"))
-    nseg = F.ceil(n / s).cast("int")
-    firsts = F.filter(F.sequence(F.lit(0), nseg - 1), lambda p: (p >= 0) & (p < nseg))
-    coarse = F.transform(firsts, lambda p: F.element_at(arr, F.least((p + 1) * s, n)))
-    segs = F.transform(firsts, lambda p: F.slice(arr, p * s + 1, s))
-    return F.struct(n.alias("n"), s.alias("s"), coarse.alias("coarse"), segs.alias("segs"))
-
-
-def _rank_in(ix: Column, v: Column) -> tuple[Column, Column]:
-    """(number of elements below ``v``, ``v`` is an element) by ``_index``."""
-    p = F.size(F.filter(ix["coarse"], lambda c: c < v))
-    seg = F.try_element_at(ix["segs"], p + 1)  # NULL when v is above every element
-    below = F.when(p >= F.size(ix["coarse"]), ix["n"]).otherwise(
-        p * ix["s"] + F.size(F.filter(seg, lambda b: b < v))
-    )
-    return below, F.coalesce(F.exists(seg, lambda b: b == v), F.lit(False))
-
-
-def _ntile_pieces(df: DataFrame, tiebreak: str, specs, m: int, acc: int, keep, n_rows: int | None = None):
-    """Steps 1-3 of ``global_ntiles``: returns (stats, x, y, counts, split) where
-    ``x`` has the bucket ``_bk{i}`` of every ordering, ``y`` adds the piece
-    ``_sb{i}``, ``counts`` has the rows per (ordering, bucket, piece), and
-    ``split`` holds the split points of the split buckets.
-
-    With ``n_rows`` known, quantiles come from a seeded sample of about
-    ``200 m`` rows (as Spark's range partitioner samples its bounds), so the
-    final merge of the per-task quantile summaries stays small however many
-    tasks there are; they only steer balance, the counts stay exact."""
-    fractions = [j / m for j in range(1, m)]
-    # A split bucket gets at most mt pieces: enough to cut a bucket holding
-    # a large share of all rows into pieces of about n / mt rows.
-    mt = min(m, 1024)
-    tie_fractions = [j / mt for j in range(1, mt)]
-    tcol = F.col(tiebreak)
-    idx = range(len(specs))
-    frac = 1.0 if not n_rows else min(1.0, 200.0 * m / n_rows)
-
-    def sampled(frame: DataFrame) -> DataFrame:
-        return frame if frac >= 1.0 else frame.sample(fraction=frac, seed=SAMPLE_SEED)
-
-    # 1. quantiles of every key and the row count: one aggregate, one row.
-    count = F.lit(n_rows).cast("long") if n_rows is not None else F.count(F.lit(1))
-    quantiles = (df if n_rows is None else sampled(df)).agg(
-        count.alias("_n"),
-        *[
-            F.coalesce(
-                F.array_sort(F.array_distinct(F.percentile_approx(F.col(key), fractions, acc))), F.array()
-            ).alias(f"_kb{i}")
-            for i, (_, key, _) in enumerate(specs)
-        ],
-    )
-    stats = keep(quantiles.select("_n", *[_index(F.col(f"_kb{i}")).alias(f"_kx{i}") for i in idx]), "ntile-stats")
-    # 2. order-preserving bucket of every key.  The one-row statistics
-    # enter as a scalar subquery (evaluated once, then a constant).
-    # (Projected to a column first: Spark evaluates no subquery inside a
-    # lambda.)
-    st = stats.select(F.struct(*stats.columns)).scalar()
-    bucketed = df.select("*", st.alias("_st")).withColumn("_n", F.col("_st._n"))
-    for i, (_, key, asc) in enumerate(specs):
-        kc, kx = F.col(key), F.col(f"_st._kx{i}")
-        below, is_b = _rank_in(kx, kc)
-        before = below if asc else kx["n"] - below - is_b.cast("int")
-        null_bucket = F.lit(-1) if asc else F.lit(2 * m + 1)
-        bucketed = bucketed.withColumn(
-            f"_bk{i}", F.when(kc.isNull(), null_bucket).otherwise(F.lit(2) * before + is_b.cast("int"))
-        ).withColumn(f"_one{i}", kc.isNull() | is_b)
-    x = bucketed.drop("_st")
-
-    # Split points inside single-value buckets, all keys in one aggregate
-    # (sampled like the quantiles; ``_c`` estimates the bucket size).
-    pieces = F.least(F.lit(mt), F.ceil(F.col("_c") / F.lit(frac) * F.lit(m) / F.col("_n")).cast("int"))
-    single = x.select(
-        "_n",
-        tcol.alias("_t"),
-        F.explode(
-            F.filter(
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_one{i}").alias("one"))
-                        for i in idx
-                    ]
-                ),
-                lambda s: s["one"],
-            )
-        ).alias("_s"),
-    )
-    split = keep(
-        sampled(single)
-        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"))
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.first("_n").alias("_n"),
-            F.percentile_approx("_t", tie_fractions, max(10000, 8 * mt)).alias("_tq"),
-        )
-        .where(pieces > 1)
-        .select(
-            "_i",
-            "_bk",
-            F.array_sort(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), pieces - 1),
-                        lambda j: F.element_at(
-                            F.col("_tq"),
-                            F.greatest(F.lit(1), F.least(F.lit(mt - 1), F.round(j * F.lit(mt) / pieces).cast("int"))),
-                        ),
-                    )
-                )
-            ).alias("_tb"),
-        )
-        .select("_i", "_bk", _index(F.col("_tb")).alias("_tx")),
-        "ntile-split",
-    )
-    y = x
-    for i in idx:
-        y = _with_piece(y, split, i, tcol)
-
-    # 3. counts per (key, bucket, piece) -> offsets -> the piece of each cut.
-    counts = (
-        y.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("i"), F.col(f"_bk{i}").alias("bk"), F.col(f"_sb{i}").alias("sb"))
-                        for i in idx
-                    ]
-                )
-            ).alias("_s")
-        )
-        .groupBy(F.col("_s.i").alias("_i"), F.col("_s.bk").alias("_bk"), F.col("_s.sb").alias("_sb"))
-        .agg(F.count(F.lit(1)).alias("_cnt"))
+def _cut_rows(df: DataFrame, k: int, key: str, tiebreak: str, ascending: bool) -> Column:
+    """The rows that end tiles 1..k-1, as one array (a scalar subquery)."""
+    order = F.col("_k").asc_nulls_first() if ascending else F.col("_k").desc_nulls_last()
+    ranged = (
+        df.select(F.col(key).alias("_k"), F.col(tiebreak).alias("_t"))
+        .repartitionByRange(order, F.col("_t").asc())
+        .sortWithinPartitions(order, F.col("_t").asc())
+        # part << 33 | row in part
+        .withColumn("_at", F.monotonically_increasing_id())
     )
-    return stats, x, y, counts, split
-
-
-def _with_piece(frame: DataFrame, split: DataFrame, i: int, tcol: Column) -> DataFrame:
-    """Add ``_sb{i}``: the piece of the row inside its bucket of ordering
-    ``i`` (0 unless the bucket was split).  The split table is O(m) rows."""
-    part = split.where(F.col("_i") == i).select(F.col("_bk").alias(f"_bk{i}"), F.col("_tx").alias(f"_tx{i}"))
-    below, _ = _rank_in(F.col(f"_tx{i}"), tcol)
-    return (
-        frame.join(F.broadcast(part), f"_bk{i}", "left")
-        .withColumn(f"_sb{i}", F.when(F.col(f"_tx{i}").isNull(), F.lit(0)).otherwise(below))
-        .drop(f"_tx{i}")
-    )
-
-
-def ntile_piece_counts(
-    df: DataFrame,
-    tiebreak: str,
-    specs: Sequence[tuple[str, str, bool]],
-    buckets: int = 16,
-    accuracy: int | None = None,
-) -> DataFrame:
-    """Diagnostic: rows per (ordering, bucket, piece) as ``global_ntiles``
-    would number them -- each should stay near ``rows / buckets`` even when
-    one key value holds a large share of the rows."""
-    acc = int(accuracy or max(10000, 8 * buckets))
-    counts = _ntile_pieces(df, tiebreak, list(specs), int(buckets), acc, lambda small, name: small)[3]
-    return counts.select(
-        F.col("_i").alias("ordering"),
-        F.col("_bk").alias("bucket"),
-        F.col("_sb").alias("piece"),
-        F.col("_cnt").alias("rows"),
+    ranged = files.materialize(ranged, "ranged")
+    part = F.shiftright("_at", 33).alias("_part")
+    # as many rows as tasks
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    up_to = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = sizes.select("_part", "_n", F.sum("_n").over(up_to).alias("_end"), F.sum("_n").over(whole).alias("_all"))
+    # Cut j ends tile j: rank j*q + min(j, r), q = n div k, r = n mod k.
+    q = F.floor(F.col("_all") / F.lit(k)).cast("long")
+    r = F.col("_all") - q * F.lit(k)
+    j = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("_j")
+    ranks = placed.select("_part", "_n", "_end", "_all", j).withColumn("_c", F.col("_j").cast("long") * q + F.least(F.col("_j").cast("long"), r))
+    wanted = ranks.where((F.col("_c") <= F.col("_end")) & (F.col("_c") > F.col("_end") - F.col("_n"))).select(
+        (F.shiftleft("_part", 33) + F.col("_c") - (F.col("_end") - F.col("_n")) - 1).alias("_at")
     )
+    found = ranged.join(F.broadcast(wanted.distinct()), "_at").agg(F.collect_list(F.struct(F.col("_k").alias("k"), F.col("_t").alias("t"))))
+    return found.scalar()
 
 
 def global_ntile(
-    df: DataFrame,
-    k: int,
-    key: str,
-    tiebreak: str,
-    ascending: bool = True,
-    out: str = "tile",
-    buckets: int | None = None,
-    accuracy: int | None = None,
-    materialize: bool = True,
-    single_task_rows: int = 1_000_000,
+    df: DataFrame, k: int, key: str, tiebreak: str, ascending: bool = True, out: str = "tile"
 ) -> DataFrame:
     """``ntile(k) over (order by key [asc|desc], tiebreak asc)`` over all
     rows; see ``global_ntiles``."""
-    return global_ntiles(
-        df, k, tiebreak, [(out, key, ascending)], buckets, accuracy, materialize, single_task_rows
-    )
+    return global_ntiles(df, k, tiebreak, [(out, key, ascending)])
 
 
-def ntiles_one_task(df: DataFrame, k: int, tiebreak: str, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
-    """Built-in unpartitioned ``ntile``: every row goes to one task.  Only
-    for inputs whose size has been checked to be small."""
-    out = df
-    for name, key, asc in specs:
-        order = F.col(key).asc_nulls_first() if asc else F.col(key).desc_nulls_last()
-        out = out.withColumn(name, F.ntile(k).over(Window.orderBy(order, F.col(tiebreak).asc())))
-    return out
-
-
-def global_ntiles(
-    df: DataFrame,
-    k: int,
-    tiebreak: str,
-    specs: Sequence[tuple[str, str, bool]],
-    buckets: int | None = None,
-    accuracy: int | None = None,
-    materialize: bool = True,
-    single_task_rows: int = 1_000_000,
-    piece_rows: int = 1_000_000,
-    rows_at_most: int | None = None,
-) -> DataFrame:
+def global_ntiles(df: DataFrame, k: int, tiebreak: str, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
     """Exact ``ntile(k)`` over all rows for several orderings at once, with
-    no single-partition window and no full sort.
+    no single-partition window over the rows, at every size.
 
     ``specs`` lists ``(out, key, ascending)``; every ordering is ``key``
     (SQL null placement: first ascending, last descending) then
     ``tiebreak`` ascending, which should make the order unique.
 
-    The built-in unpartitioned ``ntile`` sorts every row in one task.  Here
     tile = 1 + (number of tile-ending rows before the row), and only those
-    ``k-1`` "cut" rows per ordering are located exactly:
-
-    1. one aggregate: ``m-1`` approximate quantiles of each key, from a
-       seeded sample of about ``200 m`` rows once ``n`` is known (so the
-       final merge of per-task summaries stays small), with the row count
-       ``n`` (one row, read as a scalar subquery);
-    2. bucket ``2*(#quantiles before key) + (key is a quantile)``, found
-       through a two-level index of the quantiles (about ``2 sqrt(m)``
-       comparisons per row, not ``m``): buckets
-       follow the order, and the rows strictly between two quantiles are
-       about ``n/m``.  A value frequent enough to overload a task is itself
-       a quantile, i.e. a bucket of equal keys, which is split again into
-       ``ceil(size*m/n)`` pieces (at most 1024) by quantiles of
-       ``tiebreak`` inside that bucket (so the split tables stay O(m) rows);
-    3. row counts per (bucket, piece) -- partial aggregates, O(m) rows --
-       give running offsets, hence the piece holding each cut rank;
-    4. only the rows of those <= k-1 pieces are numbered by a window (each
-       piece about ``n/m`` rows), which yields the cut rows;
-    5. every row compares itself with the <= k-1 cut rows (a scalar
-       subquery, i.e. a constant once computed): a projection, no shuffle
-       of the rows themselves.
-
-    Exact whatever the quality of the quantiles (they only steer balance).
-    The passes read ``df`` several times, so by default (``materialize``)
-    ``df`` is written once to the session's shared checkpoint folder
-    as Parquet (reliable storage: cuts the lineage, survives executor loss;
-    one job, no recomputation) and each small side table (quantiles, split
-    points, cut targets; all O(m) rows or fewer) is written the same way as
-    it is computed; the cut rows are scalar subqueries.  The returned
-    frame is then one scan of ``df`` plus scalar subqueries over small tables.
-    With ``materialize=False`` everything stays one lazy plan (Spark reuses
-    the exchanges, but the plan grows large).
-
-    Size check: once written, ``df`` is counted (Parquet metadata); when it
-    has at most ``single_task_rows`` rows, one task sorting it is cheaper
-    than the extra passes, and the built-in window is used.  Beyond the
-    bound the distributed path runs; ``0`` always takes it.  A caller that
-    has already proven ``df`` to hold at most ``rows_at_most`` rows (e.g.
-    per-customer rows of a customer table it counted) saves the write when
-    that bound is within ``single_task_rows``.
-
-    ``m`` (``buckets``) defaults to ``ceil(n / piece_rows)`` within
-    [16, 100000] once ``n`` is known, so every piece that is sorted holds
-    about ``piece_rows`` rows whatever the input size (without
-    ``materialize``: four times the shuffle partitions, at least 16).
+    ``k-1`` rows per ordering are looked for: (key, tiebreak) is dealt by
+    ranges -- the tie-break splits a value that most rows share -- sorted
+    within tasks and written with each row's task and place; the tasks' row
+    counts (a row each) say which places the tile ends are.  ``df`` itself
+    is only projected: every row compares itself with the ``k-1`` cut rows,
+    a scalar subquery, so ``k`` is meant to be a number of quantiles.
+
+    ``df`` is written once to the session's shared folder first (its lineage
+    is read by every ordering), so this function starts jobs.
     """
-    spark = df.sparkSession
     specs = list(specs)
-    tcol = F.col(tiebreak)
     if k == 1:
         return df.select("*", *[F.lit(1).alias(o) for o, _, _ in specs])
-    if rows_at_most is not None and 0 < single_task_rows and rows_at_most <= single_task_rows:
-        return ntiles_one_task(df, k, tiebreak, specs)
-    n_rows = None
-    if materialize:
-        df = files.materialize(df, "ntile-input")
-        n_rows = df.count()
-        if single_task_rows > 0 and n_rows <= single_task_rows:
-            return ntiles_one_task(df, k, tiebreak, specs)
-    if buckets is None:
-        if n_rows is not None:
-            buckets = min(100_000, max(16, -(-n_rows // piece_rows)))
-        else:
-            buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    m = int(buckets)
-    acc = int(accuracy or max(10000, 8 * m))
-
-    def keep(small: DataFrame, name: str) -> DataFrame:
-        # Side tables are O(m) rows by construction: one file each.
-        return files.materialize(small, name, single_file=True) if materialize else small
-
-    stats, x, y, counts, split = _ntile_pieces(df, tiebreak, specs, m, acc, keep, n_rows)
-    offsets = counts.withColumn(
-        "_off",
-        F.coalesce(
-            F.sum("_cnt").over(
-                Window.partitionBy("_i").orderBy("_bk", "_sb").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    )
-    # Cut j (1..k-1) ends tile j: rank c_j = j*q + min(j, r), q = n div k, r = n mod k.
-    n = F.col("_n")
-    q = F.floor(n / F.lit(k)).cast("long")
-    r = n - q * F.lit(k)
-    cut_ranks = F.transform(
-        F.sequence(F.lit(1), F.lit(k - 1)),
-        lambda j: F.struct(j.alias("j"), (j.cast("long") * q + F.least(j.cast("long"), r)).alias("c")),
-    )
-    targets = keep(
-        offsets.withColumn("_n", stats.select("_n").scalar())
-        .select("_i", "_bk", "_sb", "_off", "_cnt", F.explode(cut_ranks).alias("_jc"))
-        .select("_i", "_bk", "_sb", "_off", "_cnt", F.col("_jc.j").alias("_j"), F.col("_jc.c").alias("_c"))
-        .where((F.col("_c") >= 1) & (F.col("_off") < F.col("_c")) & (F.col("_c") <= F.col("_off") + F.col("_cnt")))
-        .select("_i", "_bk", "_sb", "_j", (F.col("_c") - F.col("_off")).alias("_t")),
-        "ntile-targets",
-    )
-
-    # 4. number only the rows of the cut pieces; pick the cut rows (at most
-    # k-1 per ordering, gathered into one array: a scalar subquery).
-    tiles, result = [], x
-    for i, (outname, key, asc) in enumerate(specs):
-        kc = F.col(key)
-        tgt = targets.where(F.col("_i") == i).select(
-            F.col("_bk").alias(f"_bk{i}"), F.col("_sb").alias(f"_sb{i}"), "_j", "_t"
-        )
-        rows = _with_piece(x, split, i, tcol).select(f"_bk{i}", f"_sb{i}", kc.alias("_k"), tcol.alias("_tie")).join(
-            F.broadcast(tgt.select(f"_bk{i}", f"_sb{i}").distinct()), [f"_bk{i}", f"_sb{i}"], "left_semi"
-        )
-        order = F.col("_k").asc_nulls_first() if asc else F.col("_k").desc_nulls_last()
-        w = Window.partitionBy(f"_bk{i}", f"_sb{i}").orderBy(order, F.col("_tie").asc())
-        cuts = (
-            rows.withColumn("_rn", F.row_number().over(w))
-            .join(F.broadcast(tgt), [f"_bk{i}", f"_sb{i}"], "inner")
-            .where(F.col("_rn") == F.col("_t"))
-            .agg(
-                F.coalesce(
-                    F.collect_list(
-                        F.struct(F.col(f"_bk{i}").alias("bk"), F.col("_k").alias("k"), F.col("_tie").alias("t"))
-                    ),
-                    F.array(),
-                )
-            )
-            .scalar()
-        )
-        # 5. tile = 1 + #(cut rows strictly before this row): a projection.
-        result = result.withColumn(f"_cuts{i}", cuts)
-        before = _cut_before(F.col(f"_bk{i}"), kc, tcol, asc)
-        tiles.append((F.lit(1) + F.size(F.filter(F.col(f"_cuts{i}"), before))).cast("int").alias(outname))
+    df = files.materialize(df, "ntile-input")
+    result, tiles = df, []
+    for i, (name, key, asc) in enumerate(specs):
+        cuts = f"_cuts{i}"
+        result = result.withColumn(cuts, _cut_rows(df, k, key, tiebreak, asc))
+        before = F.filter(F.col(cuts), _cut_before(F.col(key), F.col(tiebreak), asc))
+        tiles.append((F.lit(1) + F.size(before)).cast("int").alias(name))
     return result.select(*df.columns, *tiles)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import as_double
@@ -37,16 +37,17 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE, recency: str = "calenda
     ``recency="elapsed"`` counts whole 24-hour periods instead of calendar
     days (23:00 -> 01:00 next day is 1 calendar day, 0 elapsed days).
 
-    The reference date is the maximum of the per-customer last purchases:
-    a scalar subquery over the customer table, which reuses its shuffle, so
-    the sale lines are read once and there is no driver round trip.
+    The reference date is the maximum of the per-customer last purchases, a
+    scalar subquery.  It takes the maximum of whole rows, so that no column
+    is pruned from it and it reuses the per-customer shuffle: the sale lines
+    are read once.
     """
     per_customer = df.groupBy(S.CUSTOMER_ID).agg(
         F.max(ts).alias("_last"),
         F.countDistinct(S.INVOICE).alias("frequency"),
         F.sum(S.REVENUE).alias("monetary"),
     )
-    ref = per_customer.agg(F.max("_last")).scalar()
+    ref = per_customer.agg(F.max(F.struct("_last", "frequency", "monetary"))["_last"].alias("ref")).scalar()
     if recency == "calendar":
         days = F.datediff(F.to_date(ref), F.to_date("_last"))
     elif recency == "elapsed":
@@ -63,55 +64,20 @@ def rfm_metrics(df: DataFrame, ts: str = S.INVOICE_DATE, recency: str = "calenda
     )
 
 
-def rfm_scores(
-    rfm: DataFrame,
-    k: int = 5,
-    distributed: bool = True,
-    buckets: int | None = None,
-    single_task_rows: int = 1_000_000,
-    rows_at_most: int | None = None,
-) -> DataFrame:
+def rfm_scores(rfm: DataFrame, k: int = 5) -> DataFrame:
     """Quintile scores, 5 best: R from recency ascending, F and M from
-    frequency / monetary descending, each tie broken by customer id.
-
-    ``distributed`` uses ``global_ntiles`` (exact; one task only while the
-    customer count is at most ``single_task_rows``, checked);
-    ``False`` always uses the built-in unpartitioned ``ntile``, which moves
-    all customers into one task.
-    """
+    frequency / monetary descending, each tie broken by customer id."""
     specs = [("r_score", "recency_days", True), ("f_score", "frequency", False), ("m_score", "monetary", False)]
-    if distributed:
-        out = global_ntiles(
-            rfm, k, S.CUSTOMER_ID, specs, buckets=buckets, single_task_rows=single_task_rows, rows_at_most=rows_at_most
-        )
-    else:
-        out = rfm
-        for name, key, asc in specs:
-            order = F.col(key).asc() if asc else F.col(key).desc()
-            w = Window.orderBy(order, F.col(S.CUSTOMER_ID).asc())
-            out = out.withColumn(name, F.ntile(k).over(w))
+    out = global_ntiles(rfm, k, S.CUSTOMER_ID, specs)
     for name, _, _ in specs:
         out = out.withColumn(name, F.lit(k + 1) - F.col(name))
     return out
 
 
-def rfm_segments(
-    df: DataFrame,
-    distributed: bool = True,
-    buckets: int | None = None,
-    ts: str = S.INVOICE_DATE,
-    single_task_rows: int = 1_000_000,
-    customers_at_most: int | None = None,
-) -> DataFrame:
+def rfm_segments(df: DataFrame, ts: str = S.INVOICE_DATE) -> DataFrame:
     """Q10: customer_id, recency_days, frequency, monetary, r_score,
     f_score, m_score, segment."""
-    scored = rfm_scores(
-        rfm_metrics(df, ts),
-        distributed=distributed,
-        buckets=buckets,
-        single_task_rows=single_task_rows,
-        rows_at_most=customers_at_most,
-    )
+    scored = rfm_scores(rfm_metrics(df, ts))
     return scored.select(
         S.CUSTOMER_ID,
         "recency_days",

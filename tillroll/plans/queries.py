@@ -11,11 +11,11 @@ from tillroll.operators import aggregates, compare, enrich, ranking, rfm, trend
 from tillroll.operators.cleaning import STAR_END, STAR_START, clean
 from tillroll.sources import files
 from tillroll.sources import schema as S
-from tillroll.sources.star import customers_at_most, region_lookup_from_star, sales_from_star
+from tillroll.sources.star import region_lookup_from_star, sales_from_star
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(sales_from_star(spark, sf_dir))
+    return clean(sales_from_star(spark, sf_dir, valid=True))
 
 
 # ---- the queries over any cleaned sale-line frame (``s``) -----------------
@@ -59,6 +59,8 @@ def q08_form(s: DataFrame, lookup: DataFrame, default: str | None = None) -> Dat
     return enrich.revenue_by_region(s, lookup, default=default)
 
 
+UNMAPPED_REGIONKEYS = (4,)
+
 # Q1..Q10 as functions of (cleaned sales, region lookup).
 FORMS = {
     "q1": lambda s, lookup: q01_form(s),
@@ -78,8 +80,8 @@ FORMS = {
 
 
 def q01_clean_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid sale lines with revenue; money as double."""
-    return q01_form(cleaned(spark, sf_dir))
+    """Valid sale lines of a date window with revenue; money as double."""
+    return q01_form(clean(sales_from_star(spark, sf_dir, valid=True), STAR_START, STAR_END))
 
 
 def q02_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +113,10 @@ def q08_region_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q08_region_default_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q8 with unmapped countries labelled ``Unknown`` instead of NULL."""
-    return q08_form(cleaned(spark, sf_dir), region_lookup_from_star(spark, sf_dir), default="Unknown")
+    """Q8 over a lookup without one region: unmapped countries are labelled
+    ``Unknown`` instead of NULL."""
+    lookup = region_lookup_from_star(spark, sf_dir, exclude_regionkeys=UNMAPPED_REGIONKEYS)
+    return q08_form(cleaned(spark, sf_dir), lookup, default="Unknown")
 
 
 def q09_month_over_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +124,7 @@ def q09_month_over_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_segments(cleaned(spark, sf_dir), customers_at_most=customers_at_most(spark, sf_dir))
+    return rfm.rfm_segments(cleaned(spark, sf_dir))
 
 
 def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +132,8 @@ def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q10 forced onto the distributed quintile path whatever the size."""
-    return rfm.rfm_segments(cleaned(spark, sf_dir), single_task_rows=0)
+    """The same as Q10, which has one algorithm for every size."""
+    return _segments(spark, sf_dir)
 
 
 def q10_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,12 +159,9 @@ def invoice_totals_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_ntile_monetary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decile of every customer by spend (largest first); always the
-    distributed path (no single-task shortcut), whatever the input size."""
+    """Decile of every customer by spend, largest first."""
     t = aggregates.customer_totals(cleaned(spark, sf_dir))
-    tiled = ranking.global_ntile(
-        t, 10, "total_spend", S.CUSTOMER_ID, ascending=False, out="decile", single_task_rows=0
-    )
+    tiled = ranking.global_ntile(t, 10, "total_spend", S.CUSTOMER_ID, ascending=False, out="decile")
     return tiled.select(S.CUSTOMER_ID, as_double("total_spend").alias("total_spend"), "decile")
 
 
@@ -191,9 +192,8 @@ def prepare_sales(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     return path
 
 
-def cleaned_from_copy(spark: SparkSession, path: str, start: str = STAR_START, end: str = STAR_END) -> DataFrame:
-    """Cleaned sale lines from the year-partitioned copy.  The date window
-    implies a year range, which is added on the partition column so the
-    directories outside it are never listed or read."""
-    years = range(int(start[:4]), int(end[:4]) + 1)
+def cleaned_from_copy(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Cleaned sale lines from the year-partitioned copy.  A date window
+    implies a year range, so that only its directories are read."""
+    years = range(int(start[:4]), int(end[:4]) + 1) if start and end else None
     return clean(files.read_sales(spark, path, fmt="parquet", years=years), start=start, end=end)

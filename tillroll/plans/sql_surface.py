@@ -1,8 +1,8 @@
 """The same queries as Spark SQL text over registered views.
 
-``register_views`` names the raw sale lines ``raw``, defines ``sales`` as a
+``register_views`` names the raw sale lines ``tillroll_raw``, defines ``tillroll_sales`` as a
 SQL view over it (cleaning predicate + revenue) and names the lookup
-``country_region``; each ``sql_qNN`` is one ``spark.sql`` statement over
+``tillroll_country_region``; each ``sql_qNN`` is one ``spark.sql`` statement over
 them (CTEs, scalar subqueries, window functions, hints).
 """
 
@@ -13,66 +13,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.cleaning import STAR_END, STAR_START
-from tillroll.sources.star import customers_at_most, region_lookup_from_star, sales_from_star
+from tillroll.sources.star import region_lookup_from_star, sales_from_star
 
 
 CLEAN_PREDICATE = """
 quantity > 0 AND price > 0 AND customer_id IS NOT NULL AND invoice NOT LIKE '{prefix}%'
-AND invoice_date BETWEEN TIMESTAMP_NTZ '{start}' AND TIMESTAMP_NTZ '{end}'"""
+AND invoice_date IS NOT NULL"""
+WINDOW = " AND invoice_date BETWEEN TIMESTAMP_NTZ '{start}' AND TIMESTAMP_NTZ '{end}'"
 
 
 def register_views(
     spark: SparkSession,
     sf_dir: str,
     raw: DataFrame | None = None,
-    start: str = STAR_START,
-    end: str = STAR_END,
+    start: str | None = None,
+    end: str | None = None,
     cancel_prefix: str = "C",
 ) -> None:
     """Temp views: ``raw`` (the uncleaned sale lines: derived from the star
     tables, or any ``raw`` frame such as a CSV or Parquet copy), ``sales``
     (a SQL view over ``raw``: the cleaning predicate plus revenue) and
     ``country_region``."""
-    (raw if raw is not None else sales_from_star(spark, sf_dir)).createOrReplaceTempView("raw")
-    predicate = CLEAN_PREDICATE.format(prefix=cancel_prefix, start=start, end=end)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW sales AS SELECT *, quantity * price AS revenue FROM raw WHERE {predicate}")
-    region_lookup_from_star(spark, sf_dir).createOrReplaceTempView("country_region")
+    (raw if raw is not None else sales_from_star(spark, sf_dir, valid=True)).createOrReplaceTempView("tillroll_raw")
+    predicate = CLEAN_PREDICATE.format(prefix=cancel_prefix)
+    if start and end:
+        predicate += WINDOW.format(start=start, end=end)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW tillroll_sales AS SELECT *, quantity * price AS revenue FROM tillroll_raw WHERE {predicate}")
+    region_lookup_from_star(spark, sf_dir).createOrReplaceTempView("tillroll_country_region")
 
 
 SQL_Q01 = """
 SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS DOUBLE) AS price,
        customer_id, country, CAST(quantity * price AS DOUBLE) AS revenue
-FROM raw
-WHERE """ + CLEAN_PREDICATE.format(prefix="C", start=STAR_START, end=STAR_END)
+FROM tillroll_raw
+WHERE """ + CLEAN_PREDICATE.format(prefix="C") + WINDOW.format(start=STAR_START, end=STAR_END)
 
-# One aggregate per invoice and customer, read by both branches (a single
-# shuffle of the sale lines, no Expand for the two distinct counts); the two
-# one-row results are stacked and folded into one row (no join).
+# One aggregate per invoice and customer, and one over those rows.
 SQL_Q02 = """
 WITH lines AS (
     SELECT invoice, customer_id, sum(revenue) AS rev, max(revenue) AS max_rev,
            min(invoice_date) AS first_date, max(invoice_date) AS last_date
-    FROM sales GROUP BY invoice, customer_id
+    FROM tillroll_sales GROUP BY invoice, customer_id
 ),
-per_invoice AS (SELECT invoice, sum(rev) AS invoice_total FROM lines GROUP BY invoice),
-stacked AS (
-    SELECT sum(invoice_total) AS total, count(invoice) AS distinct_invoices, count(1) AS groups,
-           NULL AS distinct_customers, NULL AS max_rev, NULL AS min_invoice_date, NULL AS max_invoice_date
-    FROM per_invoice
-    UNION ALL
-    SELECT NULL, NULL, NULL, count(DISTINCT customer_id), max(max_rev), min(first_date), max(last_date)
+one AS (
+    SELECT sum(rev) AS total, count(DISTINCT invoice) AS distinct_invoices,
+           count(DISTINCT customer_id) AS distinct_customers, max(max_rev) AS max_rev,
+           min(first_date) AS min_invoice_date, max(last_date) AS max_invoice_date,
+           coalesce(max(CAST(invoice IS NULL AS INT)), 0) AS null_invoice
     FROM lines
 )
-SELECT CAST(max(total) AS DOUBLE) AS total_revenue, max(distinct_invoices) AS distinct_invoices,
-       max(distinct_customers) AS distinct_customers, CAST(max(max_rev) AS DOUBLE) AS max_line_revenue,
-       max(min_invoice_date) AS min_invoice_date, max(max_invoice_date) AS max_invoice_date,
-       try_divide(CAST(max(total) AS DOUBLE), CAST(max(groups) AS DOUBLE)) AS avg_order_value
-FROM stacked"""
+SELECT CAST(total AS DOUBLE) AS total_revenue, distinct_invoices, distinct_customers,
+       CAST(max_rev AS DOUBLE) AS max_line_revenue, min_invoice_date, max_invoice_date,
+       try_divide(CAST(total AS DOUBLE), CAST(distinct_invoices + null_invoice AS DOUBLE)) AS avg_order_value
+FROM one"""
 
 SQL_Q03 = """
 SELECT country, year(invoice_date) AS year, month(invoice_date) AS month,
        CAST(sum(revenue) AS DOUBLE) AS revenue, count(DISTINCT invoice) AS order_count
-FROM sales
+FROM tillroll_sales
 GROUP BY country, year(invoice_date), month(invoice_date)
 ORDER BY revenue DESC, country, year, month"""
 
@@ -80,7 +78,7 @@ SQL_Q04 = """
 SELECT stock_code, description, CAST(rev AS DOUBLE) AS revenue, units_sold
 FROM (
     SELECT stock_code, description, sum(revenue) AS rev, CAST(sum(quantity) AS BIGINT) AS units_sold
-    FROM sales GROUP BY stock_code, description
+    FROM tillroll_sales GROUP BY stock_code, description
 )
 ORDER BY rev DESC, stock_code, description
 LIMIT 10"""
@@ -88,7 +86,7 @@ LIMIT 10"""
 SQL_Q05 = """
 WITH monthly AS (
     SELECT year(invoice_date) AS year, month(invoice_date) AS month, sum(revenue) AS revenue
-    FROM sales GROUP BY year(invoice_date), month(invoice_date)
+    FROM tillroll_sales GROUP BY year(invoice_date), month(invoice_date)
 )
 SELECT year, month, CAST(revenue AS DOUBLE) AS revenue,
        CAST(sum(revenue) OVER (ORDER BY year, month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
@@ -101,7 +99,7 @@ ORDER BY year, month"""
 
 SQL_Q06 = """
 WITH totals AS (
-    SELECT country, customer_id, sum(revenue) AS total FROM sales GROUP BY country, customer_id
+    SELECT country, customer_id, sum(revenue) AS total FROM tillroll_sales GROUP BY country, customer_id
 ),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY country ORDER BY total DESC, customer_id) AS rank_in_country
@@ -116,7 +114,7 @@ ORDER BY country, rank_in_country"""
 # identical subqueries once and reads the per-customer shuffle of the main
 # query (ReusedSubquery, ReusedExchange).
 SQL_Q07 = """
-WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id)
+WITH totals AS (SELECT customer_id, sum(revenue) AS total FROM tillroll_sales GROUP BY customer_id)
 SELECT customer_id, CAST(total AS DOUBLE) AS total_spend,
        (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAST(count(total) AS DOUBLE)) FROM totals) AS avg_spend_baseline
 FROM totals
@@ -124,17 +122,16 @@ WHERE CAST(total AS DOUBLE) > (SELECT try_divide(CAST(sum(total) AS DOUBLE), CAS
 ORDER BY total_spend DESC, customer_id"""
 
 SQL_Q08 = """
-SELECT /*+ BROADCAST(cr) */
-       cr.region AS region, CAST(sum(s.revenue) AS DOUBLE) AS revenue,
+SELECT cr.region AS region, CAST(sum(s.revenue) AS DOUBLE) AS revenue,
        count(DISTINCT s.customer_id) AS distinct_customers
-FROM sales s LEFT JOIN country_region cr ON s.country = cr.country
+FROM tillroll_sales s LEFT JOIN tillroll_country_region cr ON s.country = cr.country
 GROUP BY cr.region
 ORDER BY revenue DESC, region"""
 
 SQL_Q09 = """
 WITH monthly AS (
     SELECT customer_id, year(invoice_date) * 12 + month(invoice_date) AS month_index, sum(revenue) AS spend
-    FROM sales GROUP BY customer_id, year(invoice_date) * 12 + month(invoice_date)
+    FROM tillroll_sales GROUP BY customer_id, year(invoice_date) * 12 + month(invoice_date)
 )
 SELECT /*+ MERGE(prev) */
        cur.customer_id, cur.month_index, CAST(cur.spend AS DOUBLE) AS month_spend,
@@ -149,10 +146,10 @@ def _rfm_base_sql() -> str:
 WITH per_customer AS (
     SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
            sum(revenue) AS monetary
-    FROM sales GROUP BY customer_id
+    FROM tillroll_sales GROUP BY customer_id
 )
 SELECT customer_id,
-       datediff(to_date((SELECT max(last_date) FROM per_customer)), to_date(last_date)) AS recency_days,
+       datediff(to_date((SELECT max(struct(last_date, frequency, monetary)).last_date FROM per_customer)), to_date(last_date)) AS recency_days,
        frequency, monetary
 FROM per_customer"""
 
@@ -164,7 +161,7 @@ SELECT customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetar
             WHEN r_score <= 2 AND f_score >= 3 THEN 'At-Risk'
             WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost'
             ELSE 'Other' END AS segment
-FROM rfm_scored"""
+FROM tillroll_rfm_scored"""
 
 
 def _sql(text: str, views: Callable[[SparkSession, str], None] = register_views):
@@ -183,7 +180,7 @@ def sql_q10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     register_views(spark, sf_dir)
     rfm = spark.sql(_rfm_base_sql())
-    rfm_scores(rfm, rows_at_most=customers_at_most(spark, sf_dir)).createOrReplaceTempView("rfm_scored")
+    rfm_scores(rfm).createOrReplaceTempView("tillroll_rfm_scored")
     return spark.sql(SQL_Q10_SCORE)
 
 

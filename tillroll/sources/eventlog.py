@@ -11,6 +11,13 @@ TASK_END = "SparkListenerTaskEnd"
 JOB_START = "SparkListenerJobStart"
 
 
+def _application() -> F.Column:
+    """The log's application: the folder of a rolled log, whose files are its
+    segments, else the file."""
+    name = F.input_file_name()
+    return F.coalesce(F.nullif(F.regexp_extract(name, r"^(.*/eventlog_v2_[^/]+)/", 1), F.lit("")), name)
+
+
 def read_task_events(spark: SparkSession, path: str) -> DataFrame:
     """Task-end events of one or many event-log files, with their file name.
 
@@ -24,7 +31,7 @@ def read_task_events(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .json(path)
         .where(F.col("Event") == F.lit(TASK_END))
-        .withColumn("log_file", F.input_file_name())
+        .withColumn("log_file", _application())
     )
 
 
@@ -36,7 +43,7 @@ def read_job_starts(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .json(path)
         .where(F.col("Event") == F.lit(JOB_START))
-        .withColumn("log_file", F.input_file_name())
+        .withColumn("log_file", _application())
     )
 
 

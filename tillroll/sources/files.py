@@ -17,6 +17,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.sources import schema as S
 
@@ -83,20 +84,30 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def read_sales_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with header; the explicit schema avoids an inference pass.
-
-    ``PERMISSIVE`` turns unparsable fields into NULL (cleaning then drops
-    the line); ``DROPMALFORMED`` drops lines with a wrong field count or a
-    failed parse already in the reader."""
-    return spark.read.options(**{**S.CSV_OPTIONS, "mode": mode}).schema(S.SALES_SCHEMA).csv(path)
+    """CSV with a header of any names, columns in the order of the schema;
+    the explicit schema avoids an inference pass.
+
+    Stock codes are text.  Customer ids are read as text and taken if they
+    are whole numbers, with or without a zero fraction (``13085.0``).  Prices
+    keep six digits.  ``PERMISSIVE`` turns unparsable fields into NULL
+    (cleaning then drops the line); ``DROPMALFORMED`` drops lines with a
+    wrong field count or a failed parse already in the reader."""
+    given = T.StructType(
+        [T.StructField(f.name, {S.PRICE: S.CSV_PRICE, S.CUSTOMER_ID: T.StringType()}.get(f.name, f.dataType)) for f in S.SALES_SCHEMA]
+    )
+    raw = spark.read.options(**{**S.CSV_OPTIONS, "mode": mode}).schema(given).csv(path)
+    whole = F.regexp_extract(S.CUSTOMER_ID, r"^\s*([0-9]+)(?:\.0*)?\s*$", 1).try_cast("bigint")
+    return raw.withColumn(S.CUSTOMER_ID, whole)
 
 
 def write_sales_csv(df: DataFrame, path: str) -> None:
+    """Every value is quoted, NULL is written ``\\N``: blanks, quotes, line
+    breaks, empty texts and fractions of a second are read back as they were."""
     (
         df.select(*S.SALES_COLUMNS)
         .write.mode("overwrite")
-        .option("header", "true")
-        .option("timestampNTZFormat", S.TIMESTAMP_FORMAT)
+        .options(header="true", timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS", quoteAll="true", escape='"', emptyValue="")
+        .options(nullValue="\\N", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(path)
     )
 
@@ -122,16 +133,15 @@ def write_by_year(df: DataFrame, path: str, date_col: str = S.INVOICE_DATE) -> N
 
 
 def read_sales_parquet(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
-    """Read the year-partitioned copy; ``years`` prunes whole directories.
-
-    The predicate names the partition column, so it reaches the scan as a
-    ``PartitionFilters`` entry and the skipped directories are never listed
-    for files.
-    """
-    df = spark.read.parquet(path)
-    if years is not None:
-        df = df.where(F.col(YEAR).isin([int(y) for y in years]))
-    return df
+    """Read the year-partitioned copy; with ``years``, only those years'
+    directories are listed and read.  The schema is declared."""
+    reader = spark.read.schema(T.StructType([*S.SALES_SCHEMA.fields, T.StructField(YEAR, T.IntegerType())]))
+    if years is None:
+        return reader.parquet(path)
+    folders = [f for y in sorted({int(y) for y in years}) if exists(spark, f := f"{path}/{YEAR}={y}")]
+    if not folders:
+        return reader.parquet(path).where(F.lit(False))
+    return reader.option("basePath", path).parquet(*folders)
 
 
 def read_sales(

@@ -24,7 +24,7 @@ MONEY = T.DecimalType(12, 2)
 SALES_SCHEMA = T.StructType(
     [
         T.StructField(INVOICE, T.StringType(), True),
-        T.StructField(STOCK_CODE, T.LongType(), True),
+        T.StructField(STOCK_CODE, T.StringType(), True),
         T.StructField(DESCRIPTION, T.StringType(), True),
         T.StructField(QUANTITY, T.IntegerType(), True),
         T.StructField(INVOICE_DATE, T.TimestampNTZType(), True),
@@ -38,13 +38,21 @@ SALES_COLUMNS = tuple(f.name for f in SALES_SCHEMA.fields)
 
 # Text format of the CSV copy (header row, this timestamp
 # pattern, unparsable fields become NULL and are removed by cleaning).
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 CSV_OPTIONS = {
     "header": "true",
     "timestampNTZFormat": TIMESTAMP_FORMAT,
     "timestampFormat": TIMESTAMP_FORMAT,
     "mode": "PERMISSIVE",
+    "multiLine": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "emptyValue": "",
+    "nullValue": "\\N",
 }
+# What a price is read as: more digits than money is kept in, no rounding.
+CSV_PRICE = T.DecimalType(18, 6)
 
 # Spark task-end events as written to an event log (JSON lines). Only the
 # fields the run-metrics job reads are declared; everything else is skipped

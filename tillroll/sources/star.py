@@ -11,13 +11,10 @@ Mapping (one sale line per ``lineitem`` row):
 
 Join order is chosen for the large case: customer x nation, then orders x
 customers on the customer key, then lineitem x orders on the order key and
-x part on the part key.  Each side other than lineitem is broadcast only
-while its row count is checked to be within ``MAX_BROADCAST_ROWS``; at
-100 TB that leaves nation broadcast and sort-merge joins elsewhere: two
-shuffles of lineitem-sized data, none on a low-cardinality key, with AQE
-splitting skewed partitions.  Column pruning and the cleaning
-predicates reach the individual scans because every derived column is a
-plain projection of one side.
+x part on the part key.  Only nation (25 rows) has a broadcast hint; the
+other sides are broadcast when Spark has measured them to be small enough,
+and sort-merge joined beyond that, with AQE splitting skewed partitions.
+Computed columns come after the joins.
 """
 
 from __future__ import annotations
@@ -25,16 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.enrich import fits_broadcast
 from tillroll.sources import schema as S
 
 # Fixed values of the mapping above.
 CANCELLED_ORDER_STATUS = "P"
 CANCEL_PREFIX = "C"
 RETURN_FLAG = "R"
-# Largest side (rows) broadcast to every task: a few tens of MB for the
-# three to five narrow columns read here.
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 # The star tables' columns this mapping reads, with their types.
@@ -58,33 +51,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_checked: dict[tuple[str, str, str], bool] = {}
-
-
-def _dimension_fits(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> bool:
-    """Row-count check of a dimension table, done once per application and
-    table (input files are not rewritten while an application reads them)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _checked:
-        _checked[key] = fits_broadcast(df, MAX_BROADCAST_ROWS)
-    return _checked[key]
-
-
-def customers_at_most(spark: SparkSession, sf_dir: str) -> int | None:
-    """A proven bound on distinct customer ids of the sale lines: they are
-    customer keys, so at most the customer table's rows.  Known when that
-    table passed the (memoised) row-count check, else ``None``."""
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    return MAX_BROADCAST_ROWS if _dimension_fits(spark, sf_dir, "customer", customer) else None
-
-
 def _invoice(orderkey: F.Column, status: F.Column) -> F.Column:
     prefix = F.when(status == F.lit(CANCELLED_ORDER_STATUS), F.lit(CANCEL_PREFIX)).otherwise(F.lit(""))
     return F.concat(prefix, orderkey.cast("string"))
 
 
-def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw (uncleaned) sale lines with the columns of ``SALES_SCHEMA``."""
+def sales_from_star(spark: SparkSession, sf_dir: str, valid: bool = False) -> DataFrame:
+    """Raw (uncleaned) sale lines with the columns of ``SALES_SCHEMA``.
+
+    ``valid`` is for callers that clean the lines anyway: filters on the
+    star tables' own columns, which cleaning implies, are added so that they
+    reach the Parquet scans.  The cleaned rows are the same."""
     lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_returnflag"
     )
@@ -95,44 +72,35 @@ def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
-    # Every join side except lineitem is broadcast while its row count is
-    # within MAX_BROADCAST_ROWS (checked once per application and table;
-    # a join output is bounded by the checked table: the other key is
-    # unique).  Beyond the bound the join is a sort-merge join, where AQE
-    # also splits skewed partitions.  nation is always tiny, so customers
-    # are never shuffled on a 25-value key.
-    def small(name: str, side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if _dimension_fits(spark, sf_dir, name, tables[name]) else side
-
-    tables = {"nation": nation, "customer": customer, "orders": orders, "part": part}
-    customer_side = customer.join(small("nation", nation), customer.c_nationkey == nation.n_nationkey, "inner").select(
+    if valid:  # implied by the cleaning rules, in the tables' own columns
+        flag = F.coalesce("l_returnflag", F.lit(""))
+        kept = (F.col("l_quantity") >= 1) & (flag != RETURN_FLAG) | (F.col("l_quantity") <= -1) & (flag == RETURN_FLAG)
+        bought = F.col("l_quantity")
+        lineitem = lineitem.where((bought >= 1) | (bought <= -1)).where(kept)
+        orders = orders.where(F.col("o_orderstatus").isNull() | (F.col("o_orderstatus") != CANCELLED_ORDER_STATUS))
+        customer = customer.where(F.col("c_acctbal").isNull() | (F.col("c_acctbal") >= 0))
+        part = part.where(F.col("p_retailprice") > 0)
+    # nation has 25 rows; for the other sides Spark goes by measured bytes
+    customer_side = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "inner").select(
         "c_custkey",
         F.when(F.col("c_acctbal") < 0, F.lit(None).cast("bigint")).otherwise(F.col("c_custkey")).alias(S.CUSTOMER_ID),
         F.col("n_name").alias(S.COUNTRY),
     )
-    order_side = orders.join(
-        small("customer", customer_side), orders.o_custkey == customer_side.c_custkey, "inner"
-    ).select(
-        "o_orderkey",
-        _invoice(F.col("o_orderkey"), F.col("o_orderstatus")).alias(S.INVOICE),
-        F.col("o_orderdate").alias(S.INVOICE_DATE),
-        S.CUSTOMER_ID,
-        S.COUNTRY,
+    order_side = orders.join(customer_side, orders.o_custkey == customer_side.c_custkey, "inner").select(
+        "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias(S.INVOICE_DATE), S.CUSTOMER_ID, S.COUNTRY
     )
-    order_side = small("orders", order_side)
-    part = small("part", part)
     qty = F.col("l_quantity").cast("int")
     lines = lineitem.select(
         "l_orderkey",
-        F.col("l_partkey").alias(S.STOCK_CODE),
+        "l_partkey",
         F.when(F.col("l_returnflag") == F.lit(RETURN_FLAG), -qty).otherwise(qty).alias(S.QUANTITY),
     )
     return (
         lines.join(order_side, lines.l_orderkey == order_side.o_orderkey, "inner")
-        .join(part, F.col(S.STOCK_CODE) == part.p_partkey, "inner")
+        .join(part, F.col("l_partkey") == part.p_partkey, "inner")
         .select(
-            F.col(S.INVOICE),
-            F.col(S.STOCK_CODE),
+            _invoice(F.col("o_orderkey"), F.col("o_orderstatus")).alias(S.INVOICE),
+            F.col("l_partkey").cast("string").alias(S.STOCK_CODE),
             F.col("p_name").alias(S.DESCRIPTION),
             F.col(S.QUANTITY),
             F.col(S.INVOICE_DATE),
@@ -143,11 +111,11 @@ def sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def region_lookup_from_star(spark: SparkSession, sf_dir: str, exclude_regionkeys=(4,)) -> DataFrame:
+def region_lookup_from_star(spark: SparkSession, sf_dir: str, exclude_regionkeys=()) -> DataFrame:
     """``(country, region)`` pairs from nation x region.
 
-    Nations of the excluded regions are left out so that the fact table has
-    countries without a lookup entry (the unmapped case of the lookup join).
+    Nations of ``exclude_regionkeys`` are left out on request, so that there
+    are countries without a lookup entry.
     """
     nation = read_table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
