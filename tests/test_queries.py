@@ -199,7 +199,7 @@ def scans(df):
         depth = len(x) - len(x.lstrip(" :+-"))
         if skip is not None and depth < skip:
             skip = None
-        if "== Initial Plan ==" in x:
+        if skip is None and "== Initial Plan ==" in x:
             skip = depth
         n += skip is None and "FileScan parquet [l_orderkey" in x
     return n
