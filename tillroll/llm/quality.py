@@ -143,7 +143,9 @@ def quality(
     )
     names = [f"_k{i}" for i in range(len(keep))]  # whatever the kept columns are called
     measured = text_measures(docs, text, [*[F.col(c).alias(n) for c, n in zip(keep, names)], key.alias("key")])
-    out = measured.join(lost, "key", "left").withColumn(
+    # written: a caller's filter on the verdict would else be pushed down into
+    # the measures, with their expressions copied into one another
+    out = materialize(measured, "measures").join(lost, "key", "left").withColumn(
         "n_common_words", F.coalesce("n_common_words", F.lit(0).cast("long"))
     )
     left = F.col("n_words") - F.col("n_common_words")
