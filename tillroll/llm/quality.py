@@ -98,14 +98,18 @@ def text_measures(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
 def hashed_lines(docs: DataFrame, key: Column, text: str, host: str) -> DataFrame:
     """A row for each line with a word: the document's key, the host, the
     line's hash, its words, and the smallest other line hash."""
-    norm = F.regexp_replace(F.regexp_replace(F.lower(no_text(text)), "[0-9]+", "0"), r"[\x20\x09\x0B-\x0D]+", " ")
+    # single blanks, which are most, aren't replaced by themselves
+    blanks = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
+    norm = F.regexp_replace(F.regexp_replace(F.lower(no_text(text)), "[0-9]+", "0"), blanks, " ")
     lines = F.filter(F.transform(F.split(norm, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
     df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), lines.alias("lines"))
     words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1
     df = df.select("key", "host", F.transform("lines", lambda x: F.struct(F.md5(x.cast("binary")).alias("line"), words(x).alias("words"))).alias("lines"))
     df = df.withColumn("low", F.slice(F.sort_array(F.array_distinct(F.col("lines.line"))), 1, 2))
     first, second = F.get("low", F.lit(0)), F.get("low", F.lit(1))
-    return df.select("key", "host", first.alias("first"), second.alias("second"), F.posexplode("lines").alias("pos", "x")).select(
+    # outer: the plain form infers a filter on the array, pushed down with all the work on the lines copied into it
+    rows = df.select("key", "host", first.alias("first"), second.alias("second"), F.posexplode_outer("lines").alias("pos", "x"))
+    return rows.where("pos is not null").select(
         "key", "host", "pos", F.xxhash64("x.line").alias("line"), F.col("x.words").cast("long").alias("words"),
         F.xxhash64(F.when(F.col("first") == F.col("x.line"), F.col("second")).otherwise(F.col("first"))).alias("other"),
     )
