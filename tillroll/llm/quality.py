@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.tables import materialize, no_text, unused
 
-SPACE = r"[\x20\x09-\x0D]+"
+CONTROL_SPACE = r"[\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
 #: Production parameters.
@@ -36,7 +36,8 @@ MIN_LEFT_PERCENT = 30
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE, -1), lambda w: w != "")
+    # a split at one plain character needs no regular expression
+    return F.filter(F.split(F.regexp_replace(text, CONTROL_SPACE, " "), " ", -1), lambda w: w != "")
 
 
 def _repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
