@@ -166,12 +166,13 @@ def contamination(
     passes, shared = [], []
     for i in range(n_blocks):
         own = wins.where(slot == i)
-        # rarity: each block word's count over the whole corpus; a block is a broadcast's size
+        # rarity: each block word's count over the whole corpus; a block is a
+        # broadcast's size, and so are its words, one row each, with the counts
         block_words = own.select(F.explode("win").alias("word")).distinct()
         counts = corpus.join(F.broadcast(block_words), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         rare = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("x")
         prefix = (
-            own.select("win", "cls", F.posexplode("win").alias("at", "word")).join(counts, "word", "left")
+            own.select("win", "cls", F.posexplode("win").alias("at", "word")).join(F.broadcast(counts), "word", "left")
             .groupBy("win", "cls").agg(rare).select("win", "cls", "x.word", "x.at")
         )
         shared.append(spark.sparkContext.broadcast(_Block(prefix.toLocalIterator(), window)))
