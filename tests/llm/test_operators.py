@@ -375,6 +375,18 @@ def test_unigram_against_the_library(spark, given):
         assert codec.decode(np.frombuffer(codec.encode(t), codec.dtype).tolist()) == t
 
 
+def test_unigram_portions_and_generations(monkeypatch, given):
+    model = unigram.Model(PIECES)
+    texts = [" ".join(t for _, t in given[:40]), "x" * 3000 + "  \n \n▁ é " * 500, " " * 2000, "\n " * 900, "ab" * 4000]
+    whole = [unigram.Codec(model).encode(t) for t in texts]
+    monkeypatch.setattr(unigram, "PORTION", 97)
+    monkeypatch.setattr(unigram, "CACHE", 5)
+    codec = unigram.Codec(model)
+    assert [codec.encode(t) for t in texts] == whole
+    assert [codec.decode(np.frombuffer(x, codec.dtype)) for x in whole] == texts
+    assert len(codec.old) < 200 and max(map(len, [*codec.seen, *codec.old])) <= unigram.CACHED_CHARS
+
+
 def test_double_array_holds_its_keys():
     rnd = random.Random(8)
     keys = {bytes(rnd.choices(range(256), k=rnd.randint(1, 5))): i for i in range(3000)}

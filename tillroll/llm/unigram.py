@@ -8,9 +8,11 @@ bytes.  Decoding turns markers to blanks and bytes to characters.
 
 If no piece has the marker after another character (checked on loading),
 no piece spans a word's start, so words are cut on their own and a worker
-keeps the ids of words it has seen (at most ``CACHE``).  A marker character
-that the text itself holds is coded by its bytes, so decoding gives every
-text back exactly.
+keeps the ids of short words it has seen in two generations of about
+``CACHE``, so frequent ones stay.  Long texts go in portions that end where
+words do; the search over a word, however long, keeps a few numbers for each
+of its bytes.  A marker character that the text itself holds is coded by its
+bytes, so decoding gives every text back exactly.
 
 The vocabulary's file is a parameter.  The trie is built from it once, on
 the driver, and broadcast: its size is the vocabulary's.
@@ -22,6 +24,7 @@ text; repeated rows give repeated results; an empty table an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +36,11 @@ from tillroll.llm.tables import extended, unused
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
-CACHE = 1_000_000
+CACHE = 150_000
+#: Words of more characters are not kept.
+CACHED_CHARS = 48
+#: Characters of a text encoded, and ids decoded, at a time.
+PORTION = 1 << 18
 #: What an uncovered character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
@@ -117,20 +124,22 @@ class Codec:
     def __init__(self, model: Model):
         self.m = model
         self.unit = re.compile(model.unit)
+        self.start = re.compile("(?<=[^ ]) ")
         self.dtype = "<u2" if len(model.pieces) <= 1 << 16 else "<u4"
         self.seen: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.raw = [
             bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() if t in (NORMAL, USER_DEFINED, UNUSED) else b""
             for p, t in zip(model.pieces, model.types)
         ]
 
-    def viterbi(self, data: bytes) -> list[int]:
-        """Ids of the best segmentation; of equal ones, the one whose last
+    def viterbi(self, data: bytes) -> array:
+        """Ids, last one first, of the best segmentation; of equal ones, the one whose last
         piece is longest, and so on from the end."""
         base, check, value, scores, unknown = self.m.base, self.m.check, self.m.value, self.m.scores, self.m.unknown
         n = len(data)
-        best: list[float | None] = [None] * (n + 1)
-        back = [(0, -1)] * (n + 1)
+        best = array("d", [float("-inf")]) * (n + 1)
+        start, piece = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
         best[0] = 0.0
         at = 0
         while at < n:
@@ -146,50 +155,71 @@ class Codec:
                 v = value[t]
                 if v >= 0:
                     s = here + scores[v]
-                    if best[i] is None or s > best[i]:
-                        best[i], back[i] = s, (at, v)
+                    if s > best[i]:
+                        best[i], start[i], piece[i] = s, at, v
                     single = single or i - at == width
             if not single:
                 s, i = here + unknown, at + width
-                if best[i] is None or s > best[i]:
-                    best[i], back[i] = s, (at, -1)
+                if s > best[i]:
+                    best[i], start[i], piece[i] = s, at, -1
             at += width
-        out = []
+        out = array("i")
         while n:
-            start, v = back[n]
-            out.append((v,) if v >= 0 else tuple(self.m.byte_ids[b] for b in data[start:n]))
-            n = start
-        return [v for part in reversed(out) for v in part]
+            if piece[n] >= 0:
+                out.append(piece[n])
+            else:
+                out.extend(self.m.byte_ids[b] for b in reversed(data[start[n] : n]))
+            n = start[n]
+        return out
 
     def _word(self, word: str) -> bytes:
         import numpy as np
 
-        ids = []
-        for k, part in enumerate(word.split(MARK)):  # the text's own marker characters
-            if k:
-                ids += [self.m.byte_ids[b] for b in MARK_BYTES]
-            ids += self.viterbi(part.replace(" ", MARK).encode())
-        return np.array(ids, self.dtype).tobytes()
+        own = np.array([self.m.byte_ids[b] for b in MARK_BYTES], self.dtype).tobytes()  # the text's own marker characters
+        return own.join(
+            np.frombuffer(self.viterbi(part.replace(" ", MARK).encode()), "int32")[::-1].astype(self.dtype).tobytes()
+            for part in word.split(MARK)
+        )
+
+    def _portions(self, text: str) -> Iterator[str]:
+        """Portions that begin with a blank behind another character, where
+        a unit begins too."""
+        at = 0
+        while len(text) - at > PORTION:
+            cut = self.start.search(text, at + PORTION)
+            if not cut:
+                break
+            yield text[at : cut.start()]
+            at = cut.start()
+        yield text[at:]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian bytes."""
         if not text:
             return b""
-        units = self.unit.findall(" " + text)
-        seen = self.seen
+        return b"".join(map(self._encode, self._portions(" " + text)))
+
+    def _encode(self, text: str) -> bytes:
+        units = self.unit.findall(text)
+        if len(self.seen) > CACHE:
+            self.old, self.seen = self.seen, {}
+        seen, old = self.seen, self.old
         parts = list(map(seen.get, units))
         if None in parts:
-            if len(seen) > CACHE:
-                seen.clear()
             for i, p in enumerate(parts):
                 if p is None:
                     w = units[i]
-                    parts[i] = seen.get(w) or seen.setdefault(w, self._word(w))
+                    p = parts[i] = seen.get(w) or old.get(w) or self._word(w)
+                    if len(w) <= CACHED_CHARS:
+                        seen[w] = p
         return b"".join(parts)
 
     def decode(self, ids) -> str:
-        """The text of a list of ids."""
-        raw = b"".join(map(self.raw.__getitem__, ids))
+        """The text of a sequence of ids."""
+        import numpy as np
+
+        get, ids = self.raw.__getitem__, np.asarray(ids, "int32")
+        raw = b"".join(b"".join(map(get, ids[at : at + PORTION].tolist())) for at in range(0, len(ids), PORTION))
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
@@ -242,7 +272,7 @@ def decode(encoded: DataFrame, shared, ids: str = "piece_ids", out: str = "decod
         for b in batches:
             column = b.column(place)
             flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            texts = [codec.decode(flat[s:e].tolist()) for s, e in zip(ends[:-1], ends[1:])]
+            texts = [codec.decode(flat[s:e]) for s, e in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*rest, out])
 
     return encoded.select(*rest).mapInArrow(work, schema)
