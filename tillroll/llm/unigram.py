@@ -36,11 +36,14 @@ from tillroll.llm.tables import extended, unused
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
-CACHE = 150_000
+CACHE = 300_000
 #: Words of more characters are not kept.
 CACHED_CHARS = 48
 #: Characters of a text encoded, and ids decoded, at a time.
 PORTION = 1 << 18
+#: Bytes of a word beyond which the search keeps its state in arrays.
+LONG_WORD = 4096
+NEVER = float("-inf")
 #: What an uncovered character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
@@ -125,7 +128,8 @@ class Codec:
         self.m = model
         self.unit = re.compile(model.unit)
         self.start = re.compile("(?<=[^ ]) ")
-        self.dtype = "<u2" if len(model.pieces) <= 1 << 16 else "<u4"
+        self.code = "H" if len(model.pieces) <= 1 << 16 else "I"
+        self.dtype = "u2" if self.code == "H" else "u4"
         self.seen: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.raw = [
@@ -134,12 +138,14 @@ class Codec:
         ]
 
     def viterbi(self, data: bytes) -> array:
-        """Ids, last one first, of the best segmentation; of equal ones, the one whose last
+        """Ids of the best segmentation; of equal ones, the one whose last
         piece is longest, and so on from the end."""
         base, check, value, scores, unknown = self.m.base, self.m.check, self.m.value, self.m.scores, self.m.unknown
         n = len(data)
-        best = array("d", [float("-inf")]) * (n + 1)
-        start, piece = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best, start, piece = [NEVER], [0], [-1]
+        if n > LONG_WORD:  # arrays are slower, but a few bytes an entry
+            best, start, piece = array("d", best), array("i", start), array("i", piece)
+        best, start, piece = best * (n + 1), start * (n + 1), piece * (n + 1)
         best[0] = 0.0
         at = 0
         while at < n:
@@ -163,23 +169,22 @@ class Codec:
                 if s > best[i]:
                     best[i], start[i], piece[i] = s, at, -1
             at += width
-        out = array("i")
+        out = array(self.code)
         while n:
-            if piece[n] >= 0:
-                out.append(piece[n])
+            v, at = piece[n], start[n]
+            if v >= 0:
+                out.append(v)
             else:
-                out.extend(self.m.byte_ids[b] for b in reversed(data[start[n] : n]))
-            n = start[n]
+                out.extend([self.m.byte_ids[b] for b in reversed(data[at:n])])
+            n = at
+        out.reverse()
         return out
 
     def _word(self, word: str) -> bytes:
-        import numpy as np
-
-        own = np.array([self.m.byte_ids[b] for b in MARK_BYTES], self.dtype).tobytes()  # the text's own marker characters
-        return own.join(
-            np.frombuffer(self.viterbi(part.replace(" ", MARK).encode()), "int32")[::-1].astype(self.dtype).tobytes()
-            for part in word.split(MARK)
-        )
+        if MARK not in word:
+            return self.viterbi(word.replace(" ", MARK).encode()).tobytes()
+        own = array(self.code, [self.m.byte_ids[b] for b in MARK_BYTES]).tobytes()  # the text's own marker characters
+        return own.join(self.viterbi(part.replace(" ", MARK).encode()).tobytes() for part in word.split(MARK))
 
     def _portions(self, text: str) -> Iterator[str]:
         """Portions that begin with a blank behind another character, where
@@ -194,7 +199,7 @@ class Codec:
         yield text[at:]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian bytes."""
+        """Ids as bytes of ``dtype``."""
         if not text:
             return b""
         return b"".join(map(self._encode, self._portions(" " + text)))
