@@ -210,6 +210,22 @@ def test_common_lines_by_documents_not_copies(spark, odd, none):
     assert all(not r.kept for r in quality.quality(odd).collect())  # too short, or one word over and over
 
 
+def test_common_lines_several_shared_and_near_copies(spark):
+    rnd = random.Random(14)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(n))
+    rows, shared = [], {h: [prose(12) for _ in range(10)] for h in ("a", "b", "c", "d")}
+    for i, (h, lines) in enumerate(shared.items()):  # header, navigation, footer and little else
+        rows += [(100 * i + j, "\n".join([*lines[:6], prose(8), *lines[6:], prose(8)]), h) for j in range(60)]
+    first = [prose(25) for _ in range(10)]
+    for j in range(60):  # one document, a word changed in one line or two
+        lines = [x.split() for x in first]
+        for k in rnd.sample(range(10), 1 + j % 2):
+            lines[k][rnd.randrange(25)] = prose(1)
+        rows.append((1000 + j, "\n".join(map(" ".join, lines)), "e"))
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(r.n_common_words == (120 if i < 1000 else 0) and r.kept == (i >= 1000) for i, r in got.items())
+
+
 # -- secrets ----------------------------------------------------------------
 
 

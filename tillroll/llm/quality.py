@@ -6,12 +6,20 @@ are counted within each host, lines above the limit are taken for
 boilerplate and removed, and a document of which too little remains is
 rejected.
 
-Documents, not copies, are counted: a line's holders are told apart by the
-smallest hash among each holder's *other* lines.  Exact copies agree in it
-and count once, near copies nearly always agree, while a line that stands in
-unlike documents meets another neighbour in each.  So a group of copies
-doesn't turn its own prose into boilerplate (which of them stays is a matter
-for de-duplication), yet a footer on thousands of pages does.
+Documents, not copies, are counted, in two steps.  First the distinct
+normalised texts that hold a line are counted, so exact copies are one; a
+line that stands in no more texts than the limit is settled.  For the others
+near copies are folded: a document's *own* lines are those that are neither
+above the limit by that count nor share one of their marks (the lowest and
+highest hashes of their three-word windows) with such a line, as a line of
+which a few words were changed does.  Documents are told apart by a sketch of
+their own lines, the lowest and the highest window, each counted by itself
+and the larger count taken.  So pages that share header, navigation and
+footer count one by one as long as anything on them is their own, and a group
+of copies doesn't turn its own prose into boilerplate (which of them stays is
+a matter for de-duplication).  Documents with nothing of their own are told
+apart by the sketch of all their lines: whether those are pages of nothing
+but boilerplate or copies with lines left out can't be seen from lines.
 
 Defined cases: a null text has no words (and fails the base rule); a null
 host is a host of its own; repeated rows give repeated results; an empty
@@ -34,6 +42,9 @@ MAX_REPEAT_PERCENT = 50
 MAX_DOCS_PER_HOST = 20
 MIN_LEFT_PERCENT = 30
 
+#: Hashes that a line is looked up by, half of them the lowest, half the highest.
+MARKS = 4
+
 
 def _words(text: Column) -> Column:
     # a split at one plain character needs no regular expression
@@ -98,35 +109,57 @@ def text_measures(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
 
 def hashed_lines(docs: DataFrame, key: Column, text: str, host: str) -> DataFrame:
     """A row for each line with a word: the document's key, the host, the
-    line's hash, its words, and the smallest other line hash."""
+    line's place and hash, its words, the hash of the document's whole
+    normalised text, and the line's marks (sorted)."""
     # single blanks, which are most, aren't replaced by themselves
     blanks = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
     norm = F.regexp_replace(F.regexp_replace(F.lower(no_text(text)), "[0-9]+", "0"), blanks, " ")
-    lines = F.filter(F.transform(F.split(norm, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
-    df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), lines.alias("lines"))
-    words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1
-    df = df.select("key", "host", F.transform("lines", lambda x: F.struct(F.md5(x.cast("binary")).alias("line"), words(x).alias("words"))).alias("lines"))
-    df = df.withColumn("low", F.slice(F.sort_array(F.array_distinct(F.col("lines.line"))), 1, 2))
-    first, second = F.get("low", F.lit(0)), F.get("low", F.lit(1))
-    # outer: the plain form infers a filter on the array, pushed down with all the work on the lines copied into it
-    rows = df.select("key", "host", first.alias("first"), second.alias("second"), F.posexplode_outer("lines").alias("pos", "x"))
-    return rows.where("pos is not null").select(
-        "key", "host", "pos", F.xxhash64("x.line").alias("line"), F.col("x.words").cast("long").alias("words"),
-        F.xxhash64(F.when(F.col("first") == F.col("x.line"), F.col("second")).otherwise(F.col("first"))).alias("other"),
+    lines = F.transform(F.split(norm, "\n", -1), lambda x, i: F.struct(i.alias("pos"), F.trim(x).alias("x")))
+    df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), F.filter(lines, lambda x: x["x"] != "").alias("lines"))
+    hashed = F.transform(
+        "lines", lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(F.md5(x["x"].cast("binary"))).alias("line"), F.split(x["x"], " ", -1).alias("w"))
     )
 
+    def windows(x: Column) -> Column:
+        w = x["w"]
+        three = F.transform(F.slice(w, 1, F.size(w) - 2), lambda a, i: F.xxhash64(a, w[i + 1], w[i + 2]))
+        return F.when(F.size(w) >= 3, three).otherwise(F.array(x["line"]))
+
+    sized = F.transform(hashed, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), F.size(x["w"]).alias("words"), F.sort_array(windows(x)).alias("h")))
+    ends = lambda h: F.when(F.size(h) > MARKS, F.concat(F.slice(h, 1, MARKS // 2), F.slice(h, -(MARKS // 2), MARKS // 2))).otherwise(h)
+    df = df.select("key", "host", F.transform(sized, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), x["words"].alias("words"), ends(x["h"]).alias("marks"))).alias("lines"))
+    # outer: the plain form infers a filter on the array, pushed down with all the work on the lines copied into it
+    rows = df.select("key", "host", F.xxhash64("lines.line").alias("body"), F.explode_outer("lines").alias("x"))
+    return rows.where("x is not null").select("key", "host", "x.pos", "x.line", F.col("x.words").cast("long").alias("words"), "body", "x.marks")
+
+
+def _counted(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Distinct values.  The first level groups by the value too, so a line
+    that stands everywhere is spread by its holders; the second sees one row
+    for each task and line after map-side sums."""
+    return rows.groupBy(*by, value).agg(F.lit(1).alias("one")).groupBy(*by).agg(F.count("one").alias("docs"))
+
 
 def common_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_HOST) -> DataFrame:
-    """(host, line) in more than ``max_docs`` distinct documents of a host.
-
-    The first level groups by the holder too, so a line that stands
-    everywhere is spread by its holders; the second sees one row for each
-    task and line after map-side sums."""
-    return (
-        lines.groupBy("host", "line", "other").agg(F.lit(1).alias("one"))
-        .groupBy("host", "line").agg(F.count("one").alias("docs"))
-        .where(F.col("docs") > max_docs)
-    )
+    """(host, line) in more than ``max_docs`` distinct documents of a host."""
+    low, high = F.array_min("marks"), F.array_max("marks")
+    many = materialize(_counted(lines, ["host", "line"], "body").where(F.col("docs") > max_docs).select("host", "line"), "many")
+    on = lambda a, b, c: a.host.eqNullSafe(b.host) & (a[c] == b[c])
+    above = materialize(lines.join(many, on(lines, many, "line"), "left_semi").select("key", "host", "line", "body", "marks"), "above")
+    # windows of lines above the limit; their other lines are looked up by each mark
+    known = above.groupBy("host", "line").agg(F.first("marks").alias("marks")).select("host", F.explode("marks").alias("mark")).distinct()
+    holders = above.select(F.col("key").alias("holder")).distinct()
+    theirs = lines.join(holders, F.col("key") == F.col("holder"), "left_semi")
+    rest = theirs.join(many, on(theirs, many, "line"), "left_anti")
+    marked = rest.select("key", "pos", "host", F.explode("marks").alias("mark"))
+    alike = marked.join(known, on(marked, known, "mark"), "left_semi").select(F.col("key").alias("k"), F.col("pos").alias("p")).distinct()
+    own = rest.join(alike, (F.col("key") == F.col("k")) & (F.col("pos") == F.col("p")), "left_anti")
+    sketch = lambda rows, a, b: rows.groupBy("key").agg(F.min(low).alias(a), F.max(high).alias(b))
+    told = sketch(theirs, "low", "high").join(sketch(own, "own_low", "own_high"), "key", "left")
+    told = told.select("key", F.coalesce("own_low", "low").alias("low"), F.coalesce("own_high", "high").alias("high"))
+    ways = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col("low").alias("other")), F.struct(F.lit(1).alias("way"), F.col("high").alias("other"))))
+    held = above.select("key", "host", "line").join(told, "key").select("host", "line", ways.alias("x")).select("host", "line", "x.way", "x.other")
+    return _counted(held, ["host", "line", "way"], "other").groupBy("host", "line").agg(F.max("docs").alias("docs")).where(F.col("docs") > max_docs)
 
 
 def quality(
