@@ -106,6 +106,17 @@ def test_pii_bootstrapping_discovers_in_context(spark):
     assert not got[101].spans and all(got[i].spans == got[i].base and any(x.k == 3 for x in got[i].base) for i in range(12))
 
 
+def test_pii_discovers_beside_valid_spans(spark):
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    rows = [(i, f"{word()} {word()} hotline: +44 20 {i:04d} {1000 + i} {word()} {word()}") for i in range(12)]
+    rows += [(100, f"mail a@b.cd hotline: 020-7946-0001 {word()}"), (101, f"1.2.3.4 {word()} room 020-7946-0002 or AB-123456")]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    assert [text[100][x.s : x.e] for x in got[100].spans] == ["a@b.cd", "020-7946-0001"] and len(got[100].base) == 1
+    assert [text[101][x.s : x.e] for x in got[101].spans] == ["1.2.3.4"]
+
+
 def test_pii_redacts(spark, odd, none):
     rows = [(1, "mail a@b.cd or +44 20 7946 0958, 𐍈 1.2.3.4", None), (2, None, 5), (3, "clean", 1)]
     out = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, spans int"))

@@ -38,7 +38,7 @@ PATTERNS = {
 }
 #: What a text must have for a kind's pattern to be tried on it.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-#: Identifier-like tokens: with a digit or an @, not inside a strict match.
+#: Identifier-like tokens: with a digit or an @, not inside a valid strict match.
 CANDIDATE = r"(?<![A-Za-z0-9@._%+/-])(?=[A-Za-z._%+/-]*+[0-9@])[A-Za-z0-9@._%+/-]{5,}+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -125,18 +125,23 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
 
 
 def _candidates(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Identifier-like tokens outside the strict matches, which are blanked
-    out at the same length first."""
-    masked, hits, pieces = unused(df, "_masked", "_m", "_p")
-    strict = "|".join(PATTERNS[k].replace(r"(?:(?<![A-Za-z0-9._%+-])|\G)", "").replace(r"(?:(?<![0-9])|\G)", "") for k in ("email", "phone", "ip", "card"))
+    """Identifier-like tokens outside the valid strict matches, which are
+    blanked out at the same length first; a match that isn't valid stays."""
+    masked, strict = unused(df, "_masked", "_strict")
     some = reduce(lambda a, b: a | b, [F.size(k) > 0 for k in KINDS])
-    df = df.withColumn(hits, F.when(some, F.regexp_extract_all(text, F.lit(strict), F.lit(0)))).withColumn(
-        pieces, F.when(some, F.split(text, strict, -1))
-    )
-    blanked = F.transform(
-        pieces, lambda p, i: F.concat(p, F.coalesce(F.repeat(F.lit("\x01"), F.length(F.get(F.col(hits), i))), F.lit("")))
+    spans = F.sort_array(F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
+    df = df.withColumn(strict, F.when(some, spans))
+    t, zero = F.col(text), F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def step(a: Column, x: Column) -> Column:
+        s, e = F.greatest(a["pos"], x["s"]), F.greatest(a["pos"], x["e"])
+        more = F.array(F.substring(t, a["pos"] + 1, s - a["pos"]), F.repeat(F.lit("\x01"), e - s))
+        return F.struct(e.alias("pos"), F.concat(a["out"], more).alias("out"))
+
+    blanked = F.aggregate(
+        strict, zero, step, lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(t, a["pos"] + 1, F.length(t)))), "")
     )
-    df = df.withColumn(masked, F.when(some, F.array_join(blanked, "")).otherwise(F.col(text))).drop(hits, pieces)
+    df = df.withColumn(masked, F.when(some, blanked).otherwise(t)).drop(strict)
     hint = F.col(masked).rlike("[0-9@]")
     df = _located(df, masked, CANDIDATE, hint, -1, out).drop(masked)
     core = lambda x: F.regexp_replace(x["m"], "[._%+/-]+$", "")
