@@ -269,6 +269,28 @@ def test_secrets_base_and_confirmed(spark, odd, none):
     assert same_ids(secrets.find_secrets(odd)) and secrets.find_secrets(none).count() == 0
 
 
+def test_secrets_over_line_breaks_and_escapes():
+    rnd = random.Random(15)
+    string = lambda b: struct.pack(">I", len(b)) + b
+    keys = {"private_key": tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, b"\x01" + rnd.randbytes(64)) for _ in range(8)))}
+    keys["ssh_key"] = secrets.OPENSSH + string(b"none") * 2 + string(b"") + struct.pack(">I", 1) + string(b"pub" * 20) + string(b"priv" * 40)
+    added = lambda t: [(secrets.KINDS[k], t[s:e]) for s, k, e in secrets.scan(t)[1]]
+    for (kind, data), pad in [(x, p) for x in keys.items() for p in (0, 1, 2)]:
+        if kind == "private_key":
+            data = tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, b"\x01" + rnd.randbytes(64 + (i < pad))) for i in range(8)))
+        lines = re.findall(".{1,64}", base64.b64encode(data).decode())
+        for gap in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    "):
+            body = gap.join(lines)
+            armour = f"-----BEGIN PRIVATE KEY-----{gap}{body}{gap}-----END PRIVATE KEY-----"
+            assert added(f'{{"é": "{armour}{gap}"}}') == [(kind, armour)]
+            named = armour.replace(gap, f"{gap}Comment: my-key{gap}", 1)
+            assert added(named) == [(kind, named)]
+            for before, after in ((f"words{gap}", f"{gap}more words"), ("", ""), (f'"{gap}', f'{gap}"'), (f"-----BEGIN PRIVATE KEY-----{gap}", "")):
+                assert added(before + body + after) == [(kind, body)]
+            assert not added(gap.join(lines[1:])) and not added(gap.join(lines[:-1]))
+        assert added(f'"\\n{"".join(lines)}\\n"') == [(kind, "".join(lines))]
+
+
 SECRET_RE = [(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, 2, 12), (r"AKIA[A-Z0-9]+", 0, 0, 18), (r"[0-9a-f]+", 0, 0, 16)]
 
 

@@ -4,7 +4,10 @@ Base rules are three patterns: assignments, access-key ids and hex strings.
 Beyond them, long base64 and hex runs are only candidates; one is reported
 when it decodes to what it would have to be: a private key whose nested DER
 lengths and fields add up, an OpenSSH key whose length-prefixed strings do,
-or a signed token whose header is JSON that names an algorithm.
+or a signed token whose header is JSON that names an algorithm.  Keys may be
+on several lines, in an armour or without, the line breaks plain or written
+as escapes (\\n, \\r) as in JSON and source texts; without an armour the key's
+own length says with which line it ends.
 
 Defined cases: a null text is empty; repeated rows give repeated results; an
 empty table gives an empty result.  A text is scanned whole, in one task, a
@@ -34,7 +37,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+ARMOUR = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----((?:[^-]|-(?!----))+)-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+#: Line breaks as JSON and source texts write them, headers of an armoured key.
+ESCAPE = re.compile(r"\\+(?:[nrt]|(?=\s))")
+HEADER = re.compile(r"^[\x20\t]*[A-Za-z][A-Za-z0-9-]*:.*$", re.M)
+BODY = re.compile(r"[A-Za-z0-9+/=\s]+")
+#: Runs on lines of their own, the breaks plain or written as escapes.
+BREAK = r"[\x20\t]*(?:[\r\n]|\\+[nr])(?:\s|\\+[nrt])*"
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{{16,}}+(?:{BREAK}[A-Za-z0-9+/]++={{0,2}})+")
+LINE = re.compile(r"(?:\\+[nrt])+|[A-Za-z0-9+/]+={0,2}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
 
@@ -134,6 +145,55 @@ def _confirmed(data: bytes | None) -> str | None:
     return "private_key" if is_private_key(data) else "ssh_key" if is_ssh_key(data) else None
 
 
+def _armoured(body: str) -> bytes | None:
+    """What an armour holds, without its headers and written line breaks."""
+    body = HEADER.sub("", ESCAPE.sub("\n", body).replace("\\/", "/"))
+    return _decoded(body) if BODY.fullmatch(body) else None
+
+
+def _length(run: str) -> int | None:
+    """Bytes of the key that begins with ``run``, by its own lengths; None
+    if none does."""
+    head = _decoded(run[:32]) or b""
+    if head[:1] == b"\x30" and len(head) > 8:
+        k = head[1] & 0x7F if head[1] & 0x80 else 0
+        n = int.from_bytes(head[2 : 2 + k], "big") if k else head[1]
+        return 2 + k + n if k <= 4 and head[2 + k : 4 + k] == b"\x02\x01" else None
+    if not head.startswith(OPENSSH):
+        return None
+    data = _decoded(run[: len(run) // 4 * 4]) or b""
+    at = _strings(data, len(OPENSSH), 3)
+    if at is None or at + 4 > len(data) or not 1 <= (keys := int.from_bytes(data[at : at + 4], "big")) <= 16:
+        return None
+    return _strings(data, at + 4, keys + 1)
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, str, int]]:
+    """(start, kind, end) of keys on several lines without an armour.  A key
+    begins with a line and ends with one, where its own length says."""
+    for m in WRAPPED.finditer(text):
+        start = m.start()
+        # the letter of an escape before the first run isn't part of it
+        if start and text[start - 1] == "\\" and text[start] in "nrt":
+            start += 1
+        lines = [x.span() for x in LINE.finditer(text, start, m.end()) if text[x.start()] != "\\"]
+        joined, at = "".join(text[s:e] for s, e in lines), [0]
+        for s, e in lines:
+            at.append(at[-1] + e - s)
+        ends, after = {x: i for i, x in enumerate(at)}, 0
+        for i, (s, _) in enumerate(lines):
+            if i < after or not (text[s] == "M" or text.startswith("b3Bl", s)):
+                continue
+            n = _length(joined[at[i] :] if text[s] == "b" else joined[at[i] : at[i] + 32])
+            if n is None:
+                continue
+            bare = at[i] + (4 * n + 2) // 3
+            last = next((ends[x] for x in (bare + -n % 3, bare) if x in ends), None)
+            if last is not None and last > i + 1 and (k := _confirmed(_decoded(joined[at[i] : at[last]]))):
+                yield s, k, lines[last - 1][1]
+                after = last
+
+
 def scan(text: str, data: bytes | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, added spans) as (start, index in KINDS, end), sorted."""
     low = (text.encode() if data is None else data).lower()
@@ -146,13 +206,17 @@ def scan(text: str, data: bytes | None = None) -> tuple[list[tuple[int, int, int
     if "eyJ" in text:
         added += [(m.start(), 5, m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     if "-----BEGIN " in text:
-        added += [(m.start(), KINDS.index(k), m.end()) for m in ARMOUR.finditer(text) if (k := _confirmed(_decoded(m[1])))]
+        added += [(m.start(), KINDS.index(k), m.end()) for m in ARMOUR.finditer(text) if (k := _confirmed(_armoured(m[1])))]
     armoured = [(s, e) for s, _, e in added]
     # a DER sequence starts with 0x30 0x8? or a short length, OpenSSH's with its magic: M or b3Bl
     for m in BASE64.finditer(text):
-        if (m[0][0] == "M" or m[0].startswith("b3Bl")) and (k := _confirmed(_decoded(m[0]))):
-            if not any(s <= m.start() and m.end() <= e for s, e in armoured):
-                added.append((m.start(), KINDS.index(k), m.end()))
+        # the letter of an escape before the run isn't part of it
+        at = m.start() + (m.start() > 0 and text[m.start() - 1] == "\\" and m[0][0] in "nrt")
+        run = text[at : m.end()]
+        if (run.startswith(("M", "b3Bl"))) and (k := _confirmed(_decoded(run))):
+            if not any(s <= at and m.end() <= e for s, e in armoured):
+                added.append((at, KINDS.index(k), m.end()))
+    added += [(s, KINDS.index(k), e) for s, k, e in _wrapped(text) if not any(a <= s and e <= z for a, z in armoured)]
     for m in HEX_KEY.finditer(text):
         if m[0][:2] in ("30", "6f", "6F") and len(m[0]) % 2 == 0 and (k := _confirmed(bytes.fromhex(m[0]))):
             added.append((m.start(), KINDS.index(k), m.end()))
