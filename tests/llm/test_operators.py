@@ -564,6 +564,18 @@ def test_chat_examples_and_escapes(spark):
     assert chat.digests(chat.segments(spark.createDataFrame([], CONV))).count() == 0
 
 
+def test_chat_query_reads_replies_by_the_examples_spans(spark, monkeypatch):
+    query, made = Q.op10_prefix_target_chat, chat.examples
+    total = lambda: query(spark, SF001).agg(F.sum("loss_chars")).first()[0]
+    right = total()
+    monkeypatch.setattr(chat, "examples", lambda f: made(f).withColumn("reply_end", F.greatest("reply_start", F.col("reply_end") - 1)))
+    assert total() < right
+    for wrong in ({"context_chars": F.col("context_chars") + 1}, {"chars": F.col("chars") + 1}):
+        monkeypatch.setattr(chat, "examples", lambda f, w=wrong: made(f).withColumns(w))
+        with pytest.raises(Exception, match="fit its segments"):
+            total()
+
+
 def test_chat_one_long_conversation_is_spread(spark):
     n = 20_000
     df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))

@@ -20,6 +20,7 @@ are repeated turns; an empty table gives empty results.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -107,18 +108,28 @@ PIECE = "conv_id long, at long, n_turns long, turns binary, loss_chars long, los
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def digests(formatted: DataFrame) -> DataFrame:
+def digests(formatted: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Per conversation, read back from the formatted segments: turns, their
-    SHA-256, and the characters and SHA-256 of what is under the loss mask.
+    SHA-256, and the characters and SHA-256 of what is under the loss mask:
+    the reply spans of ``targets`` (by default the ``examples``), cut out of
+    the segments.  An example whose context isn't the sum of the segments
+    before it, or whose spans leave its segment, is an error.
 
     A digest runs over a conversation in order.  Tasks hold ranges of
     (conversation, place) and hand on their conversations' bytes in pieces of
     about a megabyte; the pieces of a conversation then stream by in order,
-    so no conversation is ever held whole."""
-    back = parsed(formatted).withColumn("loss", F.when(F.col("reply_start").isNotNull(), F.col("text")))
+    so no conversation is ever held whole.  An example comes right after the
+    segment at which its context ends."""
+    targets = examples(formatted) if targets is None else targets
     body = F.concat("role", F.lit("\n"), "text", F.lit("\n")).cast("binary").alias("body")
-    rows = back.select("conv_id", "at", body, F.length("loss").cast("long").alias("lc"), F.col("loss").cast("binary").alias("loss"), F.length("segment").cast("long").alias("chars"))
-    ranged = rows.repartitionByRange("conv_id", "at").sortWithinPartitions("conv_id", "at")
+    none = F.lit(None).cast("long")
+    turns = parsed(formatted).select("conv_id", "at", body, "segment", none.alias("a"), none.alias("b"), F.length("segment").cast("long").alias("chars"))
+    spans = targets.select(
+        "conv_id", F.col("context_chars").alias("at"), F.lit(None).cast("binary").alias("body"), F.lit(None).cast("string").alias("segment"),
+        F.col("reply_start").alias("a"), F.col("reply_end").alias("b"), "chars",
+    )
+    order = ["conv_id", "at", F.col("a").isNotNull()]
+    ranged = turns.unionByName(spans).repartitionByRange("conv_id", "at").sortWithinPartitions(*order)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list] = []
@@ -130,20 +141,28 @@ def digests(formatted: DataFrame) -> DataFrame:
             cols[3], cols[5] = [b"".join(x) for x in cols[3]], [b"".join(x) for x in cols[5]]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["conv_id", "at", "n_turns", "turns", "loss_chars", "loss", "formatted_chars"])
 
+        last = None
         for b in batches:
-            for conv, at, body, lc, loss, chars in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for conv, at, body, segment, first, end, chars in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if body is None:  # an example of the segment just seen
+                    if last is None or last[:2] != (conv, at) or not at <= first <= end <= chars or chars != at + len(last[2]):
+                        raise ValueError(f"example {at}:{first}:{end}:{chars} of conversation {conv} doesn't fit its segments")
+                    reply = re.sub(r"\\(\\?)", r"\1", last[2][first - at : end - at])
+                    out[-1][4] += len(reply)
+                    out[-1][5].append(reply.encode())
+                    continue
+                last = conv, at, segment
+                # with the segment's example still to come, batches end before a segment
+                if size > 1 << 20:
+                    yield batch()
+                    out, size = [], 0
                 if not out or out[-1][0] != conv:
                     out.append([conv, at, 0, [], 0, [], 0])
                 x = out[-1]
                 x[2] += 1
                 x[3].append(body)
-                x[4] += lc or 0
-                x[5].append(loss or b"")
                 x[6] += chars
                 size += len(body)
-                if size > 1 << 20:
-                    yield batch()
-                    out, size = [], 0
         if out:
             yield batch()
 
@@ -158,11 +177,13 @@ def digests(formatted: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
         for b in batches:
-            for conv, _, n, turns, lc, loss, chars in zip(*(b.column(i).to_pylist() for i in range(7))):
+            for conv, at, n, turns, lc, loss, chars in zip(*(b.column(i).to_pylist() for i in range(7))):
                 if now is None or now[0] != conv:
                     if now:
                         done.append(now)
                     now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                if at != now[5]:
+                    raise ValueError(f"conversation {conv}: {now[5]} characters stand before {at}")
                 now[1] += n
                 now[2].update(turns)
                 now[3] += lc

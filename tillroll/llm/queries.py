@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import chat, decontaminate, pii, quality, rollup, secrets, sharding, simhash, token_files, unigram
-from tillroll.llm.tables import documents, table
+from tillroll.llm.tables import documents, materialize, table
 from tillroll.sources.files import fresh_path
 
 SHARDS = 40
@@ -117,7 +117,9 @@ def op10_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id long, turn long, role string, text string",
     )
-    return chat.digests(chat.segments(turns.unionByName(probe)))
+    formatted = materialize(chat.segments(turns.unionByName(probe)), "segments")
+    targets = materialize(chat.examples(formatted), "examples")
+    return chat.digests(formatted, targets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
