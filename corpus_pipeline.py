@@ -18,16 +18,12 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, pii, quality, simhash, unigram
 from tillroll.llm.queries import vocabulary
-from tillroll.llm.tables import content_key, documents, materialize, table, unused
+from tillroll.llm.tables import documents, materialize, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
-    key = unused(docs, "_key")[0]
-    keyed = docs.withColumn(key, content_key(docs))
-    host = "source" if "source" in docs.columns else key
-    verdict = quality.quality(keyed, host=host, keep=(key,))
-    return keyed.join(verdict.where("kept").select(key).distinct(), key, "left_semi").drop(key).select(*docs.columns)
+    """Rejected documents go, and the common lines of those that stay."""
+    return quality.good(docs, host="source" if "source" in docs.columns else None)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -237,6 +237,22 @@ def test_common_lines_several_shared_and_near_copies(spark):
     assert all(r.n_common_words == (120 if i < 1000 else 0) and r.kept == (i >= 1000) for i, r in got.items())
 
 
+def test_common_lines_are_removed(spark, odd, none):
+    import corpus_pipeline as P
+
+    rnd = random.Random(16)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(n))
+    head, foot, own = prose(6), prose(8), {i: (prose(40), prose(30)) for i in range(30)}
+    rows = [(i, f"  {head.upper()} \n\n{a}\t\n{foot} 1{i}\n {b}\n{head}", "h") for i, (a, b) in own.items()]
+    foot_rows = [(100 + i, f"{prose(4)}\n{head}\n{prose(60)}", "other") for i in range(5)]  # not common there
+    rows += [*foot_rows, foot_rows[0], (200, f"{prose(10)}\n{head}", "h"), (201, None, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = P.good_quality(spark, docs, SF001)
+    want = Counter([(i, f"\n{a}\t\n {b}", "h") for i, (a, b) in own.items()] + [*foot_rows, foot_rows[0]])
+    assert got.columns == docs.columns and Counter(map(tuple, got.collect())) == want
+    assert quality.good(odd).columns == odd.columns and quality.good(odd).count() == quality.good(none).count() == 0
+
+
 # -- secrets ----------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.tables import materialize, no_text, unused
+from tillroll.llm.tables import content_key, materialize, no_text, unused
 
 CONTROL_SPACE = r"[\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -164,10 +164,11 @@ def common_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_HOST) -> DataFra
 
 def quality(
     docs: DataFrame, text: str = "text", host: str = "source", keep: tuple[str, ...] = ("doc_id",),
-    max_docs: int = MAX_DOCS_PER_HOST, min_left_percent: int = MIN_LEFT_PERCENT,
+    max_docs: int = MAX_DOCS_PER_HOST, min_left_percent: int = MIN_LEFT_PERCENT, places: str | None = None,
 ) -> DataFrame:
     """One row for each document: ``keep``, the base counts, ``base_failed``,
-    ``n_common_words`` (words in removed lines) and ``kept``."""
+    ``n_common_words`` (words in removed lines) and ``kept``; ``places`` names
+    a column for the numbers of the removed lines (null: none)."""
     row = F.struct(*[F.col(c) for c in keep], F.col(host), F.md5(no_text(text).cast("binary")))
     key = F.xxhash64(row)
     lines = materialize(hashed_lines(docs, key, text, host), "lines")
@@ -177,7 +178,7 @@ def quality(
     lost = (
         lines.join(common, same, "left_semi")
         .groupBy("key", "pos").agg(F.max("words").alias("words"))
-        .groupBy("key").agg(F.sum("words").alias("n_common_words"))
+        .groupBy("key").agg(F.sum("words").alias("n_common_words"), *([F.sort_array(F.collect_list("pos")).alias("_places")] if places else []))
     )
     names = [f"_k{i}" for i in range(len(keep))]  # whatever the kept columns are called
     measured = text_measures(docs, text, [*[F.col(c).alias(n) for c, n in zip(keep, names)], key.alias("key")])
@@ -191,4 +192,20 @@ def quality(
         *[F.col(n).alias(c) for c, n in zip(keep, names)],
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words",
         (~F.col("base_failed") & (100 * left >= min_left_percent * F.col("n_words"))).alias("kept"),
+        *([F.col("_places").alias(places)] if places else []),
     )
+
+
+def good(docs: DataFrame, text: str = "text", host: str | None = "source") -> DataFrame:
+    """The kept documents, their common lines taken out of ``text``; same
+    columns.  ``host`` None: each document is a host of its own.  Texts
+    without a common line stay as they are, to the byte."""
+    key, kept, places = unused(docs, "_key", "_kept", "_places")
+    keyed = docs.withColumn(key, content_key(docs))
+    verdict = quality(keyed, text, host or key, (key,), places="removed").where("kept").select(F.col(key).alias(kept), F.col("removed").alias(places))
+    # equal rows share a key and a verdict
+    whole = keyed.join(verdict.groupBy(kept).agg(F.first(places).alias(places)), F.col(key) == F.col(kept))
+    lines = F.split(F.col(text), "\n", -1)
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places)), lambda i: F.get(lines, i))
+    less = F.when(F.col(places).isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))
+    return whole.select(*[less.alias(c) if c == text else F.col(c) for c in docs.columns])
