@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, pii, quality, rollup, secrets, sharding, simhash, token_files, unigram
+from tillroll.llm import chat, decontaminate, periodic, pii, quality, rollup, secrets, sharding, simhash, token_files, topk, trie, unigram
 from tillroll.llm.tables import documents, materialize, table
 from tillroll.sources.files import fresh_path
 
@@ -122,11 +122,47 @@ def op10_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(formatted, targets)
 
 
+def op11_sequence_collapse_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents (by the CRC-32 h of the
+    id), the words from number g mod n on repeat with a period, g = h div 10.
+    A document without an id keeps its words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.regexp_replace("text", periodic.BLANKS, " "), " ", -1), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    rows = rows.select("doc_id", "text", "w", F.when(n > 0, a).alias("a"), F.when(n > 0, p).alias("p"))
+    moved = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(moved, " ")).alias("text"))
+
+
+def op12_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.with_runs(with_planted_periods(documents(spark, sf_dir)))
+    best = periodic.strongest("runs")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    all_runs = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(all_runs.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_contextual_pii, op2_covering_simhash, op3_line_frequency_quality, op4_structural_secrets,
         op5_prefix_decontamination, op6_rans_token_files, op7_unigram_pieces, op8_token_rollup,
-        op9_differencing_shards, op10_prefix_target_chat,
+        op9_differencing_shards, op10_prefix_target_chat, op11_sequence_collapse_trie, op12_minimizer_runs, op13_histogram_topk,
     )
     return {f.__name__: f for f in ops}
 
@@ -198,5 +234,47 @@ FROM e GROUP BY conv_id
 """
 
 
+# CRC-32 of a number's digits: each is put in, then eight shifts follow.
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id AS c, conv_id - conv_id % 20 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: [1000 + ascii(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: CASE WHEN x >= 1000 THEN xor(a, x - 1000) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) & 3 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c, 0 AS part, pos, role, text FROM ids JOIN t ON conv_id = b AND pos <= h
+  UNION ALL SELECT c, 1, pos, role, text FROM ids JOIN t ON conv_id = c AND pos > h),
+s AS (SELECT ids.c, coalesce(list(struct_pack(role := role, text := text) ORDER BY part, pos) FILTER (pos IS NOT NULL), []) AS l
+  FROM ids LEFT JOIN r USING (c) GROUP BY ids.c),
+p AS (SELECT c, d, l[1:d] AS k, l FROM (SELECT *, unnest(range(len(l) + 1)) AS d FROM s)),
+n AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(l) = d) AS ends,
+    (count(*) - 1) * CASE d WHEN 0 THEN 0 ELSE len(regexp_extract_all(k[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM p GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+full_n AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, k)),
+up AS (SELECT a AS d, k[1:a] AS k, saved, n_children FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_n)),
+below AS (SELECT d, k, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (n_children = 0))::BIGINT AS n_leaves FROM up GROUP BY d, k)
+SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM full_n x JOIN below USING (d, k) LEFT JOIN n y ON y.d = x.d - 1 AND y.k = x.k[1:x.d - 1]
+"""
+
+OP13_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_frequency_quality": OP3_SQL, "op5_prefix_decontamination": OP5_SQL, "op10_prefix_target_chat": OP10_SQL}
+    return {
+        "op3_line_frequency_quality": OP3_SQL, "op5_prefix_decontamination": OP5_SQL, "op10_prefix_target_chat": OP10_SQL,
+        "op11_sequence_collapse_trie": OP11_SQL, "op13_histogram_topk": OP13_SQL,
+    }
