@@ -213,6 +213,34 @@ FROM (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id)
 PRUNED = _with(SALES) + _Q03_BODY.format(where="WHERE year(invoice_date) IN (1996, 1997)")
 
 
+LEAP = _with(SALES) + _Q03_BODY.format(where="WHERE year(invoice_date) % 4 = 0 AND (year(invoice_date) % 100 <> 0 OR year(invoice_date) % 400 = 0)")
+
+RUNNING = _with(SALES) + """
+SELECT invoice, invoice_date, CAST(total AS DOUBLE) AS total,
+       CAST(sum(total) OVER (ORDER BY invoice_date, invoice ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative_total,
+       CAST(sum(total) OVER (ORDER BY invoice_date, invoice ROWS 2 PRECEDING) AS DOUBLE)
+           / count(*) OVER (ORDER BY invoice_date, invoice ROWS 2 PRECEDING) AS moving_avg_3
+FROM (SELECT invoice, min(invoice_date) AS invoice_date, sum(revenue) AS total FROM sales GROUP BY invoice)"""
+
+CUSTOMER_LISTS = _with(SALES, """
+totals AS (SELECT customer_id, sum(revenue) AS total FROM sales GROUP BY customer_id),
+baseline AS (SELECT CAST(sum(total) AS DOUBLE) / count(total) AS b FROM totals)""") + """
+(SELECT 'top' AS list, customer_id, CAST(total AS DOUBLE) AS total_spend FROM totals ORDER BY total DESC, customer_id LIMIT 10)
+UNION ALL
+SELECT 'above_mean', customer_id, CAST(total AS DOUBLE) FROM totals WHERE CAST(total AS DOUBLE) > (SELECT b FROM baseline)"""
+
+BRANDS = _with(SALES) + """
+SELECT coalesce(p_brand, 'Unknown') AS brand, CAST(sum(revenue) AS DOUBLE) AS revenue, count(*) AS lines
+FROM sales LEFT JOIN part ON stock_code = CAST(p_partkey AS VARCHAR)
+GROUP BY 1"""
+
+LINES = _with(RAW_SALES) + """
+SELECT CASE WHEN invoice NOT LIKE 'C%' THEN 'none'
+            ELSE ['quantity', 'invoice_date', 'price', 'fields'][length(stock_code) % 4 + 1] END AS reason,
+       count(*) AS lines, CAST(sum(quantity * price) FILTER (invoice NOT LIKE 'C%') AS DOUBLE) AS revenue
+FROM raw_sales GROUP BY 1"""
+
+
 def queries() -> dict[str, str]:
     out = {
         "q01_clean_filter": Q01,
@@ -226,7 +254,6 @@ def queries() -> dict[str, str]:
         "q08_region_default_label": Q08_DEFAULT,
         "q09_month_over_month": Q09,
         "q10_rfm_segments": Q10,
-        "q10_rfm_segments_distributed": Q10,
         "q10_segment_summary": Q10_SUMMARY,
         "q10_segment_sizes": Q10_SIZES,
         "q10_top_per_segment": Q10_TOP,
@@ -235,6 +262,15 @@ def queries() -> dict[str, str]:
         "global_ntile": GLOBAL_NTILE,
         "csv_source_roundtrip": Q03,
         "partitioned_write_pruned_read": PRUNED,
+        "q09_clustered_copy": Q09,
+        "calendar_pruned_sales": LEAP,
+        "running_invoice_totals": RUNNING,
+        "kept_summary": Q02,
+        "kept_revenue_by_month": Q03,
+        "kept_revenue_by_region": Q08,
+        "kept_customer_lists": CUSTOMER_LISTS,
+        "revenue_by_brand": BRANDS,
+        "text_lines_split": LINES,
     }
     # The Spark SQL surface answers the same questions as the DataFrame forms.
     for n, key in enumerate(

@@ -3,13 +3,13 @@ star tables in ``sf_dir``.  Each function takes ``(spark, sf_dir)``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import as_double
-from tillroll.operators import aggregates, compare, enrich, ranking, rfm, trend
+from tillroll.operators import aggregates, compare, enrich, kept, ranking, rfm, trend
 from tillroll.operators.cleaning import STAR_END, STAR_START, clean
-from tillroll.sources import files
+from tillroll.sources import calendar, files, lines
 from tillroll.sources import schema as S
 from tillroll.sources.star import region_lookup_from_star, sales_from_star
 
@@ -131,11 +131,6 @@ def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir)
 
 
-def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as Q10, which has one algorithm for every size."""
-    return _segments(spark, sf_dir)
-
-
 def q10_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segment_summary(_segments(spark, sf_dir))
 
@@ -193,7 +188,109 @@ def prepare_sales(spark: SparkSession, sf_dir: str, path: str | None = None) ->
 
 
 def cleaned_from_copy(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Cleaned sale lines from the year-partitioned copy.  A date window
-    implies a year range, so that only its directories are read."""
-    years = range(int(start[:4]), int(end[:4]) + 1) if start and end else None
-    return clean(files.read_sales(spark, path, fmt="parquet", years=years), start=start, end=end)
+    """Cleaned sale lines from the year-partitioned copy.  A date window, also
+    one open on a side, implies a year range, so that only its directories
+    are read."""
+    since, until = (int(d[:4]) if d else None for d in (start, end))
+    return clean(files.read_sales(spark, path, fmt="parquet", since=since, until=until), start=start, end=end)
+
+
+# ---- the same queries by other means --------------------------------------
+
+MONTH_BUCKETS = 16
+
+
+def q09_clustered_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 (unordered) over a copy of the monthly spends that is clustered by
+    customer: a sort-merge join with no exchange."""
+    path = files.fresh_path(spark, "months-by-customer")
+    months = trend.customer_month_spend(cleaned(spark, sf_dir))
+    files.write_clustered(months, path, S.CUSTOMER_ID, MONTH_BUCKETS, ["month_index"])
+    copy = files.read_clustered(spark, path, months.schema, S.CUSTOMER_ID, MONTH_BUCKETS, ["month_index"])
+    return trend.period_over_period(copy, clustered=True)
+
+
+def calendar_pruned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 over the leap years, which a join with the calendar finds while the
+    query runs: other years' directories aren't read."""
+    path = prepare_sales(spark, sf_dir)
+    sales = files.read_sales(spark, path, keep_year=True)
+    leap = calendar.years(spark, 1900, 2100).where("days = 366")
+    return q03_form(clean(calendar.in_years(sales, leap)))
+
+
+def running_invoice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice with its total, in the order of date and invoice, the
+    total so far and the mean of the last three."""
+    per_invoice = cleaned(spark, sf_dir).groupBy(S.INVOICE).agg(F.min(S.INVOICE_DATE).alias(S.INVOICE_DATE), F.sum(S.REVENUE).alias("total"))
+    out = trend.running_stats_by_range(per_invoice, "total", [S.INVOICE_DATE, S.INVOICE], 3, "cumulative_total", "moving_avg_3")
+    return out.select(S.INVOICE, S.INVOICE_DATE, as_double("total").alias("total"), "cumulative_total", "moving_avg_3")
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> str:
+    """Kept tables of a copy, brought up to date."""
+    path = files.fresh_path(spark, "kept")
+    kept.refresh(spark, prepare_sales(spark, sf_dir), path)
+    return path
+
+
+def kept_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 from per-year sums and bitmaps."""
+    return kept.summary(spark, _kept(spark, sf_dir))
+
+
+def kept_revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 from per-year tables."""
+    return kept.revenue_by_month(spark, _kept(spark, sf_dir))
+
+
+def kept_revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 from per-year sums and bitmaps."""
+    return kept.revenue_by_region(spark, _kept(spark, sf_dir), region_lookup_from_star(spark, sf_dir))
+
+
+def kept_customer_lists(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    """Two lists from one kept result: the ``n`` customers with the largest
+    spend, and all above the mean.  The sale lines were read once, for the
+    kept tables."""
+    totals = kept.customer_totals(spark, _kept(spark, sf_dir))
+    top = ranking.top_n(totals, n, [F.desc("total_spend"), F.asc(S.CUSTOMER_ID)]).select(F.lit("top").alias("list"), S.CUSTOMER_ID, as_double("total_spend").alias("total_spend"))
+    above = compare.above_mean(totals).select(F.lit("above_mean").alias("list"), S.CUSTOMER_ID, as_double("total_spend").alias("total_spend"))
+    return top.unionByName(above)
+
+
+def revenue_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue and lines by the product's brand, looked up by stock code in a
+    table that may be too large to broadcast."""
+    brands = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select(F.col("p_partkey").cast("string").alias(S.STOCK_CODE), F.col("p_brand").alias("brand"))
+    sold = cleaned(spark, sf_dir).select(S.STOCK_CODE, S.REVENUE)
+    joined = enrich.hot_lookup_join(sold, brands, S.STOCK_CODE, "brand", default="Unknown")
+    return joined.groupBy("brand").agg(as_double(F.sum(S.REVENUE)).alias("revenue"), F.count(F.lit(1)).alias("lines"))
+
+
+#: Columns made unreadable in damaged lines, by way; the way after them adds fields.
+DAMAGED = (S.QUANTITY, S.INVOICE_DATE, S.PRICE)
+
+
+def _damaged(name: str, way: Column) -> Column:
+    return F.when(way == DAMAGED.index(name), F.lit("?")).otherwise(F.col(name)).alias(name) if name in DAMAGED else F.col(name)
+
+
+def text_lines_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw sale lines as text, those of cancelled invoices damaged in one
+    of four ways, read back: lines and revenue by reason of rejection."""
+    sales = sales_from_star(spark, sf_dir)
+    values = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == S.INVOICE_DATE else F.col(c).cast("string").alias(c) for c in S.SALES_COLUMNS]
+    way = F.when(F.col(S.INVOICE).startswith("C"), F.length(S.STOCK_CODE) % 4).otherwise(-1)
+    line = F.concat(F.to_csv(F.struct(*S.SALES_COLUMNS), {"nullValue": "\\N"}), F.when(F.col("_way") == 3, F.lit(",one,more")).otherwise(""))
+    path = files.fresh_path(spark, "sale-lines")
+    text = sales.select(*values, way.alias("_way")).select(*[_damaged(c, F.col("_way")) for c in S.SALES_COLUMNS], "_way").select(line.alias("value"))
+    text.write.text(path)
+    read = lines.read_lines(spark, path)
+    good, bad = files.fresh_path(spark, "lines-good"), files.fresh_path(spark, "lines-bad")
+    lines.write_split(read, good, bad)
+    kept_lines = spark.read.schema(lines.accepted(read).schema).parquet(good)
+    money = as_double(F.sum(F.col(S.QUANTITY) * F.col(S.PRICE).cast(S.MONEY)))
+    taken = kept_lines.agg(F.lit("none").alias("reason"), F.count(F.lit(1)).alias("lines"), money.alias("revenue"))
+    dropped = spark.read.schema(lines.rejected(read).schema).parquet(bad).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.lit(None).cast("double").alias("revenue"))
+    return taken.unionByName(dropped)

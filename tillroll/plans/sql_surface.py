@@ -2,8 +2,8 @@
 
 ``register_views`` names the raw sale lines ``tillroll_raw``, defines ``tillroll_sales`` as a
 SQL view over it (cleaning predicate + revenue) and names the lookup
-``tillroll_country_region``; each ``sql_qNN`` is one ``spark.sql`` statement over
-them (CTEs, scalar subqueries, window functions, hints).
+``tillroll_country_region``; each ``sql_qNN`` is SQL text over them (CTEs, scalar
+subqueries, window functions, hints): one statement, Q10 two.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.cleaning import STAR_END, STAR_START
+from tillroll.sources import files
 from tillroll.sources.star import region_lookup_from_star, sales_from_star
 
 
@@ -141,27 +142,75 @@ FROM monthly cur JOIN monthly prev
 ORDER BY delta DESC, cur.customer_id, cur.month_index"""
 
 
-def _rfm_base_sql() -> str:
-    return """
+# The three orderings one after another as (ordering, key, customer): every key
+# counts down to the best score's end, so all are ascending.  Dealt by ranges
+# in one exchange, sorted in tasks and written once with each row's place; the
+# first ordering's rows carry the metrics.
+SQL_Q10_DEALT = """
+INSERT OVERWRITE DIRECTORY '{path}' USING parquet
 WITH per_customer AS (
     SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
            sum(revenue) AS monetary
     FROM tillroll_sales GROUP BY customer_id
+),
+rfm AS (
+    SELECT customer_id,
+           datediff(to_date((SELECT max(struct(last_date, frequency, monetary)).last_date FROM per_customer)), to_date(last_date)) AS recency_days,
+           frequency, monetary
+    FROM per_customer
+),
+orderings AS (
+    SELECT /*+ REPARTITION_BY_RANGE(o, k, customer_id) */ o, k, customer_id,
+           if(o = 0, recency_days, NULL) AS recency_days, if(o = 0, frequency, NULL) AS frequency, if(o = 0, monetary, NULL) AS monetary
+    FROM (
+        SELECT *, inline(array(struct(0 AS o, CAST(recency_days AS DECIMAL(38, 2)) AS k),
+                               struct(1 AS o, CAST(-frequency AS DECIMAL(38, 2)) AS k),
+                               struct(2 AS o, CAST(-monetary AS DECIMAL(38, 2)) AS k)))
+        FROM rfm
+    )
+    SORT BY o, k, customer_id
+)
+SELECT *, monotonically_increasing_id() AS place FROM orderings"""
+
+# A task's places are task << 33 | row.  Tile j of an ordering of n rows ends at
+# row j * q + min(j, r) with q = n div 5, r = n mod 5; the rows at those ends
+# are the cuts, and a row's tile is 1 + the number of cuts before it.
+SQL_Q10 = """
+WITH dealt AS (SELECT * FROM tillroll_rfm_dealt),
+sizes AS (SELECT shiftright(place, 33) AS task, count(*) AS n FROM dealt GROUP BY shiftright(place, 33)),
+placed AS (
+    SELECT task, n, sum(n) OVER (ORDER BY task ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to,
+           sum(n) OVER (ORDER BY task ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) DIV 3 AS each
+    FROM sizes
+),
+ends AS (
+    SELECT task, n, up_to, o * each + j * (each DIV 5) + least(j, each % 5) AS rank
+    FROM placed LATERAL VIEW explode(array(0, 1, 2)) AS o LATERAL VIEW explode(array(1, 2, 3, 4)) AS j
+),
+wanted AS (
+    SELECT DISTINCT shiftleft(task, 33) + rank - (up_to - n) - 1 AS place FROM ends WHERE rank <= up_to AND rank > up_to - n
+),
+cuts AS (
+    SELECT collect_list(struct(o, k, customer_id AS t)) AS rows
+    FROM (SELECT /*+ BROADCAST(wanted) */ dealt.* FROM dealt JOIN wanted ON dealt.place = wanted.place)
+),
+tiled AS (
+    SELECT customer_id, recency_days, frequency, monetary, (SELECT rows FROM cuts) AS cut_rows FROM dealt WHERE o = 0
+),
+scored AS (
+    SELECT customer_id, recency_days, frequency, monetary,
+           5 - size(filter(cut_rows, c -> c.o = 0 AND (c.k < recency_days OR c.k = recency_days AND c.t < customer_id))) AS r_score,
+           5 - size(filter(cut_rows, c -> c.o = 1 AND (c.k < -frequency OR c.k = -frequency AND c.t < customer_id))) AS f_score,
+           5 - size(filter(cut_rows, c -> c.o = 2 AND (c.k < -monetary OR c.k = -monetary AND c.t < customer_id))) AS m_score
+    FROM tiled
 )
-SELECT customer_id,
-       datediff(to_date((SELECT max(struct(last_date, frequency, monetary)).last_date FROM per_customer)), to_date(last_date)) AS recency_days,
-       frequency, monetary
-FROM per_customer"""
-
-
-SQL_Q10_SCORE = """
 SELECT customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score,
        CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
             WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Loyal'
             WHEN r_score <= 2 AND f_score >= 3 THEN 'At-Risk'
             WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost'
             ELSE 'Other' END AS segment
-FROM tillroll_rfm_scored"""
+FROM scored"""
 
 
 def _sql(text: str, views: Callable[[SparkSession, str], None] = register_views):
@@ -173,15 +222,13 @@ def _sql(text: str, views: Callable[[SparkSession, str], None] = register_views)
 
 
 def sql_q10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFM scores in SQL.  The three quintile columns come from the
-    distributed ``global_ntile`` operator (registered as the view
-    ``rfm_scored``); the metrics and the segment rules are SQL."""
-    from tillroll.operators.rfm import rfm_scores
-
+    """RFM segments, two statements: the first writes the dealt orderings to
+    the session's shared folder, the second reads them."""
     register_views(spark, sf_dir)
-    rfm = spark.sql(_rfm_base_sql())
-    rfm_scores(rfm).createOrReplaceTempView("tillroll_rfm_scored")
-    return spark.sql(SQL_Q10_SCORE)
+    path = files.fresh_path(spark, "rfm-dealt")
+    spark.sql(SQL_Q10_DEALT.format(path=path))
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW tillroll_rfm_dealt AS SELECT * FROM parquet.`{path}`")
+    return spark.sql(SQL_Q10)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

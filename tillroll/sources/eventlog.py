@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources import files
 from tillroll.sources import schema as S
 
 TASK_END = "SparkListenerTaskEnd"
@@ -48,9 +51,30 @@ def read_job_starts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", "true").schema(S.RUN_METRICS_SCHEMA).csv(path)
+    """The run metrics in ``path`` and in its batches."""
+    return spark.read.option("header", "true").option("recursiveFileLookup", "true").schema(S.RUN_METRICS_SCHEMA).csv(path)
+
+
+def append_run_metrics(df: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Appends rows to the run-metrics table (CSV files with a header each).
+
+    With ``batch``, the rows are a batch of that name and are added once: a
+    batch that has been committed (its folder bears Spark's ``_SUCCESS``
+    mark) adds nothing, one that was broken off is written anew.  The name is
+    escaped, so any text will do.  True if the rows were added."""
+    rows = df.select(*S.RUN_METRICS_SCHEMA.fieldNames())
+    if batch is None:
+        rows.write.mode("append").option("header", "true").csv(path)
+        return True
+    folder = f"{path}/batch-{quote(batch, safe='').replace('.', '%2E')}"
+    if files.exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        return False
+    rows.write.mode("overwrite").option("header", "true").csv(folder)
+    return True
 
 
-def append_run_metrics(df: DataFrame, path: str) -> None:
-    """Append rows to the run-metrics table (CSV with a header per file)."""
-    df.select(*S.RUN_METRICS_SCHEMA.fieldNames()).write.mode("append").option("header", "true").csv(path)
+def export_run_metrics(spark: SparkSession, path: str, out: str) -> None:
+    """The whole table as one CSV file with one header, in the order of
+    query, interface and run (a row for each run of a benchmark)."""
+    rows = read_run_metrics_csv(spark, path).coalesce(1).sortWithinPartitions("query_id", "api", "run_index")
+    rows.write.mode("overwrite").option("header", "true").csv(out)

@@ -54,6 +54,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder; nothing there is fine."""
+    at, fs = _located(spark, path)
+    fs.delete(at, True)
+
+
 def application_folder(spark: SparkSession) -> str:
     """This application's folder under ``shared_dir``.  It is removed when
     the interpreter ends, or earlier by ``release``."""
@@ -132,32 +138,76 @@ def write_by_year(df: DataFrame, path: str, date_col: str = S.INVOICE_DATE) -> N
     out.write.mode("overwrite").partitionBy(YEAR).parquet(path)
 
 
-def read_sales_parquet(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
-    """Read the year-partitioned copy; with ``years``, only those years'
-    directories are listed and read.  The schema is declared."""
+def read_sales_parquet(
+    spark: SparkSession, path: str, years: Iterable[int] | None = None, since: int | None = None, until: int | None = None
+) -> DataFrame:
+    """Read the year-partitioned copy, with its ``year`` column.  With
+    ``years``, only those years' directories are listed and read; ``since``
+    and ``until`` (either or both) are filters on the partition column, so
+    that other years' files aren't read.  The schema is declared."""
     reader = spark.read.schema(T.StructType([*S.SALES_SCHEMA.fields, T.StructField(YEAR, T.IntegerType())]))
     if years is None:
-        return reader.parquet(path)
-    folders = [f for y in sorted({int(y) for y in years}) if exists(spark, f := f"{path}/{YEAR}={y}")]
-    if not folders:
-        return reader.parquet(path).where(F.lit(False))
-    return reader.option("basePath", path).parquet(*folders)
+        df = reader.parquet(path)
+    else:
+        folders = [f for y in sorted({int(y) for y in years}) if exists(spark, f := f"{path}/{YEAR}={y}")]
+        if not folders:
+            return reader.parquet(path).where(F.lit(False))
+        df = reader.option("basePath", path).parquet(*folders)
+    if since is not None:
+        df = df.where(F.col(YEAR) >= int(since))
+    if until is not None:
+        df = df.where(F.col(YEAR) <= int(until))
+    return df
 
 
 def read_sales(
-    spark: SparkSession, path: str, fmt: str = "parquet", years: Iterable[int] | None = None, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str, fmt: str = "parquet", years: Iterable[int] | None = None, mode: str = "PERMISSIVE",
+    since: int | None = None, until: int | None = None, keep_year: bool = False,
 ) -> DataFrame:
-    """Source switch by parameter: the same sale lines from either copy."""
+    """Source switch by parameter: the same sale lines from either copy.
+    ``keep_year`` adds the year, the partition column of the Parquet copy: a
+    filter on it prunes directories, and a join on it with a filtered table
+    that is broadcast prunes them at run time."""
     if fmt == "parquet":
-        return read_sales_parquet(spark, path, years).select(*S.SALES_COLUMNS)
+        df = read_sales_parquet(spark, path, years, since, until)
+        return df if keep_year else df.select(*S.SALES_COLUMNS)
     if fmt == "csv":
-        df = read_sales_csv(spark, path, mode)
+        df = read_sales_csv(spark, path, mode).withColumn(YEAR, F.year(S.INVOICE_DATE))
         if years is not None:
-            df = df.where(F.year(S.INVOICE_DATE).isin([int(y) for y in years]))
-        return df
+            df = df.where(F.col(YEAR).isin([int(y) for y in years]))
+        if since is not None:
+            df = df.where(F.col(YEAR) >= int(since))
+        if until is not None:
+            df = df.where(F.col(YEAR) <= int(until))
+        return df if keep_year else df.select(*S.SALES_COLUMNS)
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def write_clustered(df: DataFrame, path: str, key: str, buckets: int, sort: Iterable[str] = ()) -> None:
+    """Parquet copy in ``buckets`` buckets by ``key``, a file each, sorted by
+    ``key`` and ``sort``.  Joins and aggregates of such copies on the key need
+    no exchange.  A key lies in one file, so ``df`` should be reduced (a few
+    rows for a key) before: a hot key would be a hot file."""
+    name = f"tillroll_write_{uuid.uuid4().hex}"
+    order = [key, *sort]
+    dealt = df.repartition(buckets, key)  # the buckets' own hash: a task writes one bucket
+    dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(*order).option("path", path).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # external: the files stay
+
+
+def read_clustered(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int, sort: Iterable[str] = ()) -> DataFrame:
+    """A copy written by ``write_clustered``, in any session: an external
+    table over its files, named after the path, tells Spark of the buckets."""
+    name = "tillroll_clustered_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    order = ", ".join(f"`{c}`" for c in [key, *sort])
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (path '{path}') "
+        f"CLUSTERED BY (`{key}`) SORTED BY ({order}) INTO {buckets} BUCKETS"
+    )
+    return spark.table(name)
+
+
 def materialize(df: DataFrame, name: str, single_file: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under ``shared_dir`` and read it back.
 
