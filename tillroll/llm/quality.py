@@ -8,18 +8,22 @@ rejected.
 
 Documents, not copies, are counted, in two steps.  First the distinct
 normalised texts that hold a line are counted, so exact copies are one; a
-line that stands in no more texts than the limit is settled.  For the others
-near copies are folded: a document's *own* lines are those that are neither
-above the limit by that count nor share one of their marks (the lowest and
-highest hashes of their three-word windows) with such a line, as a line of
-which a few words were changed does.  Documents are told apart by a sketch of
-their own lines, the lowest and the highest window, each counted by itself
-and the larger count taken.  So pages that share header, navigation and
-footer count one by one as long as anything on them is their own, and a group
-of copies doesn't turn its own prose into boilerplate (which of them stays is
-a matter for de-duplication).  Documents with nothing of their own are told
-apart by the sketch of all their lines: whether those are pages of nothing
-but boilerplate or copies with lines left out can't be seen from lines.
+line that stands in no more texts than the limit is settled.  The others would
+deplete some documents.  Those are looked at again, as near copies deplete one
+another: in the second count a *depleted* document is told apart by a sketch
+instead of its text.  Its *own* lines are those that are neither above the
+limit by the first count nor share one of their marks (the lowest and highest
+hashes of their three-word windows) with such a line of a depleted document, as
+a line of which a few words were changed does.  The sketch is the lowest and
+the highest window of the own lines, each counted by itself and the larger
+count taken.  So pages that share header, navigation and footer count one by
+one as long as anything on them is their own, and a group of copies doesn't
+turn its own prose into boilerplate (which of them stays is a matter for
+de-duplication).  Documents with nothing of their own are told apart by the
+sketch of all their lines: whether those are pages of nothing but boilerplate
+or copies with lines left out can't be seen from lines.  Documents that keep
+enough beside the lines above the limit count one by one in both steps; only
+the depleted ones' windows are hashed.
 
 Defined cases: a null text has no words (and fails the base rule); a null
 host is a host of its own; repeated rows give repeated results; an empty
@@ -32,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.tables import content_key, materialize, no_text, unused
+from tillroll.sources.files import remove
 
 CONTROL_SPACE = r"[\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -107,30 +112,46 @@ def text_measures(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
     )
 
 
-def hashed_lines(docs: DataFrame, key: Column, text: str, host: str) -> DataFrame:
-    """A row for each line with a word: the document's key, the host, the
-    line's place and hash, its words, the hash of the document's whole
-    normalised text, and the line's marks (sorted)."""
+def _normalised(text: str) -> Column:
+    """The text's lines with a word, as (pos, x), normalised: lower case,
+    digits as one 0, blanks as one."""
     # single blanks, which are most, aren't replaced by themselves
     blanks = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
     norm = F.regexp_replace(F.regexp_replace(F.lower(no_text(text)), "[0-9]+", "0"), blanks, " ")
     lines = F.transform(F.split(norm, "\n", -1), lambda x, i: F.struct(i.alias("pos"), F.trim(x).alias("x")))
-    df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), F.filter(lines, lambda x: x["x"] != "").alias("lines"))
-    hashed = F.transform(
-        "lines", lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(F.md5(x["x"].cast("binary"))).alias("line"), F.split(x["x"], " ", -1).alias("w"))
-    )
+    return F.filter(lines, lambda x: x["x"] != "")
 
-    def windows(x: Column) -> Column:
-        w = x["w"]
-        three = F.transform(F.slice(w, 1, F.size(w) - 2), lambda a, i: F.xxhash64(a, w[i + 1], w[i + 2]))
-        return F.when(F.size(w) >= 3, three).otherwise(F.array(x["line"]))
 
-    sized = F.transform(hashed, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), F.size(x["w"]).alias("words"), F.sort_array(windows(x)).alias("h")))
-    ends = lambda h: F.when(F.size(h) > MARKS, F.concat(F.slice(h, 1, MARKS // 2), F.slice(h, -(MARKS // 2), MARKS // 2))).otherwise(h)
-    df = df.select("key", "host", F.transform(sized, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), x["words"].alias("words"), ends(x["h"]).alias("marks"))).alias("lines"))
+def _line_hash(x: Column) -> Column:
+    return F.xxhash64(F.md5(x.cast("binary")))
+
+
+def hashed_lines(docs: DataFrame, key: Column, text: str, host: str) -> DataFrame:
+    """A row for each line with a word: the document's key, the host, the
+    line's place and hash, its words, the words of all lines, and the hash of
+    the document's whole normalised text."""
+    df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), _normalised(text).alias("lines"))
+    words = lambda x: (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1).cast("long")
+    hashed = F.transform("lines", lambda x: F.struct(x["pos"].alias("pos"), _line_hash(x["x"]).alias("line"), words(x["x"]).alias("words")))
+    df = df.select("key", "host", hashed.alias("lines"))
     # outer: the plain form infers a filter on the array, pushed down with all the work on the lines copied into it
-    rows = df.select("key", "host", F.xxhash64("lines.line").alias("body"), F.explode_outer("lines").alias("x"))
-    return rows.where("x is not null").select("key", "host", "x.pos", "x.line", F.col("x.words").cast("long").alias("words"), "body", "x.marks")
+    total = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["words"])
+    rows = df.select("key", "host", F.xxhash64("lines.line").alias("body"), total.alias("total"), F.explode_outer("lines").alias("x"))
+    return rows.where("x is not null").select("key", "host", "x.pos", "x.line", "x.words", "total", "body")
+
+
+def marked_lines(docs: DataFrame, key: Column, text: str, host: str) -> DataFrame:
+    """(key, host, pos, line, marks): the lines with their marks, sorted, for
+    the few documents that need them."""
+
+    def marks(x: Column) -> Column:
+        w = F.split(x, " ", -1)
+        three = F.transform(F.slice(w, 1, F.size(w) - 2), lambda a, i: F.concat_ws(" ", a, F.get(w, i + 1), F.get(w, i + 2)))
+        hashes = F.sort_array(F.transform(F.when(F.size(w) >= 3, three).otherwise(F.array(x)), lambda g: F.md5(g.cast("binary"))))
+        return F.when(F.size(hashes) > MARKS, F.concat(F.slice(hashes, 1, MARKS // 2), F.slice(hashes, -(MARKS // 2), MARKS // 2))).otherwise(hashes)
+
+    df = docs.select(key.alias("key"), F.col(host).cast("string").alias("host"), F.explode_outer(_normalised(text)).alias("x")).where("x is not null")
+    return df.select("key", "host", "x.pos", _line_hash(F.col("x.x")).alias("line"), marks(F.col("x.x")).alias("marks"))
 
 
 def _counted(rows: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -140,26 +161,57 @@ def _counted(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     return rows.groupBy(*by, value).agg(F.lit(1).alias("one")).groupBy(*by).agg(F.count("one").alias("docs"))
 
 
-def common_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_HOST) -> DataFrame:
-    """(host, line) in more than ``max_docs`` distinct documents of a host."""
-    low, high = F.array_min("marks"), F.array_max("marks")
-    many = materialize(_counted(lines, ["host", "line"], "body").where(F.col("docs") > max_docs).select("host", "line"), "many")
-    on = lambda a, b, c: a.host.eqNullSafe(b.host) & (a[c] == b[c])
-    above = materialize(lines.join(many, on(lines, many, "line"), "left_semi").select("key", "host", "line", "body", "marks"), "above")
-    # windows of lines above the limit; their other lines are looked up by each mark
-    known = above.groupBy("host", "line").agg(F.first("marks").alias("marks")).select("host", F.explode("marks").alias("mark")).distinct()
-    holders = above.select(F.col("key").alias("holder")).distinct()
-    theirs = lines.join(holders, F.col("key") == F.col("holder"), "left_semi")
-    rest = theirs.join(many, on(theirs, many, "line"), "left_anti")
+def _on(a: DataFrame, b: DataFrame, column: str) -> Column:
+    return a.host.eqNullSafe(b.host) & (a[column] == b[column])
+
+
+def sketches(docs: DataFrame, keyed: Column, text: str, host: str, depleted: DataFrame, many: DataFrame) -> DataFrame:
+    """(key, low, high) of the documents in ``depleted``."""
+    some = docs.withColumn("_of", keyed).join(depleted.select(F.col("key").alias("_depleted")).distinct(), F.col("_of") == F.col("_depleted"), "left_semi")
+    # equal rows share a key, and lines agree in key and position
+    theirs = materialize(marked_lines(some, F.col("_of"), text, host).dropDuplicates(["key", "pos"]), "marked")
+    known = theirs.join(many, _on(theirs, many, "line"), "left_semi").select("host", F.explode("marks").alias("mark"))
+    known = materialize(known.distinct(), "known")
+    rest = theirs.join(many, _on(theirs, many, "line"), "left_anti")
     marked = rest.select("key", "pos", "host", F.explode("marks").alias("mark"))
-    alike = marked.join(known, on(marked, known, "mark"), "left_semi").select(F.col("key").alias("k"), F.col("pos").alias("p")).distinct()
-    own = rest.join(alike, (F.col("key") == F.col("k")) & (F.col("pos") == F.col("p")), "left_anti")
+    alike = marked.join(known, _on(marked, known, "mark"), "left_semi").select("key", "pos").distinct()
+    own = rest.join(alike, ["key", "pos"], "left_anti")
+    low, high = F.array_min("marks"), F.array_max("marks")
     sketch = lambda rows, a, b: rows.groupBy("key").agg(F.min(low).alias(a), F.max(high).alias(b))
     told = sketch(theirs, "low", "high").join(sketch(own, "own_low", "own_high"), "key", "left")
-    told = told.select("key", F.coalesce("own_low", "low").alias("low"), F.coalesce("own_high", "high").alias("high"))
-    ways = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col("low").alias("other")), F.struct(F.lit(1).alias("way"), F.col("high").alias("other"))))
-    held = above.select("key", "host", "line").join(told, "key").select("host", "line", ways.alias("x")).select("host", "line", "x.way", "x.other")
-    return _counted(held, ["host", "line", "way"], "other").groupBy("host", "line").agg(F.max("docs").alias("docs")).where(F.col("docs") > max_docs)
+    return told.select("key", F.coalesce("own_low", "low").alias("low"), F.coalesce("own_high", "high").alias("high"))
+
+
+def _common(
+    docs: DataFrame, key: Column, text: str, host: str, max_docs: int, min_left_percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """The (host, line) in more than ``max_docs`` distinct documents of a
+    host, and the rows of all lines that the first count holds for such."""
+    lines = materialize(hashed_lines(docs, key, text, host), "lines")
+    many = materialize(_counted(lines, ["host", "line"], "body").where(F.col("docs") > max_docs).select("host", "line"), "many")
+    above = materialize(lines.join(many, _on(lines, many, "line"), "left_semi"), "above")
+    remove(lines)
+    lost = above.groupBy("key", "pos").agg(F.max("words").alias("words"), F.max("total").alias("total"))
+    lost = lost.groupBy("key").agg(F.sum("words").alias("words"), F.max("total").alias("total"))
+    depleted = materialize(lost.where(100 * (F.col("total") - F.col("words")) < min_left_percent * F.col("total")).select("key"), "depleted")
+    # only lines of depleted documents are counted again
+    doubted = materialize(above.join(depleted, "key", "left_semi").select("host", "line").distinct(), "doubted")
+    told = materialize(sketches(docs, key, text, host, depleted, many), "told")
+    again = above.join(doubted, _on(above, doubted, "line"), "left_semi").join(told, "key", "left")
+    body = F.col("body").cast("string")
+    ways = F.array(*[F.struct(F.lit(i).alias("way"), F.coalesce(c, body).alias("other")) for i, c in enumerate(("low", "high"))])
+    held = again.select("host", "line", F.explode(ways).alias("x")).select("host", "line", "x.way", "x.other")
+    counted = _counted(held, ["host", "line", "way"], "other").groupBy("host", "line").agg(F.max("docs").alias("docs"))
+    copies = counted.where(F.col("docs") <= max_docs)
+    return materialize(many.join(copies, _on(many, copies, "line"), "left_anti"), "common"), above
+
+
+def common_lines(
+    docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS_PER_HOST, min_left_percent: int = MIN_LEFT_PERCENT
+) -> DataFrame:
+    """(host, line): hashes of the normalised lines that stand in more than
+    ``max_docs`` distinct documents of a host."""
+    return _common(docs, F.xxhash64(F.col(host), F.md5(no_text(text).cast("binary"))), text, host, max_docs, min_left_percent)[0]
 
 
 def quality(
@@ -171,12 +223,10 @@ def quality(
     a column for the numbers of the removed lines (null: none)."""
     row = F.struct(*[F.col(c) for c in keep], F.col(host), F.md5(no_text(text).cast("binary")))
     key = F.xxhash64(row)
-    lines = materialize(hashed_lines(docs, key, text, host), "lines")
-    common = common_lines(lines, max_docs)
-    same = lines.host.eqNullSafe(common.host) & (lines.line == common.line)
+    common, above = _common(docs, key, text, host, max_docs, min_left_percent)
     # repeated rows agree in key and position, so each line counts once
     lost = (
-        lines.join(common, same, "left_semi")
+        above.join(common, _on(above, common, "line"), "left_semi")
         .groupBy("key", "pos").agg(F.max("words").alias("words"))
         .groupBy("key").agg(F.sum("words").alias("n_common_words"), *([F.sort_array(F.collect_list("pos")).alias("_places")] if places else []))
     )

@@ -179,12 +179,25 @@ base AS (
     len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN rep USING (rid)),
-line AS (SELECT rid, host, x, md5(x) AS m FROM (SELECT rid, host, trim(unnest(string_split(
-    regexp_replace(regexp_replace(lower(t), '[0-9]+', '0', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10)))) AS x FROM d) WHERE x <> ''),
-low AS (SELECT rid, min(m) AS m1 FROM line GROUP BY rid),
-low2 AS (SELECT line.rid, min(m) AS m2 FROM line JOIN low USING (rid) WHERE m <> m1 GROUP BY line.rid),
-held AS (SELECT host, x, coalesce(CASE WHEN m = m1 THEN m2 ELSE m1 END, '') AS other FROM line JOIN low USING (rid) LEFT JOIN low2 USING (rid)),
-many AS (SELECT host, x FROM held GROUP BY host, x HAVING count(DISTINCT other) > 20),
+line AS (SELECT rid, host, x, pos, len(string_split(x, ' ')) AS words FROM (SELECT rid, host, trim(unnest(l)) AS x, unnest(range(len(l))) AS pos
+  FROM (SELECT rid, host, string_split(regexp_replace(regexp_replace(lower(t), '[0-9]+', '0', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10)) AS l FROM d)) WHERE x <> ''),
+body AS (SELECT rid, md5(string_agg(x, chr(10) ORDER BY pos)) AS body, sum(words) AS total FROM line GROUP BY rid),
+first AS (SELECT host, x FROM line JOIN body USING (rid) GROUP BY host, x HAVING count(DISTINCT body) > 20),
+above AS (SELECT line.* FROM line JOIN first ON line.x = first.x AND line.host IS NOT DISTINCT FROM first.host),
+depleted AS (SELECT rid FROM above JOIN body USING (rid) GROUP BY rid, total HAVING 100 * (total - sum(words)) < 30 * total),
+grams3 AS (SELECT rid, host, x, pos, list_sort(list_transform(CASE WHEN words >= 3 THEN list_transform(range(1, words - 1),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) ELSE [x] END, lambda g: md5(g))) AS h
+  FROM (SELECT line.*, string_split(x, ' ') AS w FROM line JOIN depleted USING (rid))),
+marked AS (SELECT rid, host, x, pos, CASE WHEN len(h) > 4 THEN [h[1], h[2], h[-2], h[-1]] ELSE h END AS marks FROM grams3),
+known AS (SELECT DISTINCT marked.host, unnest(marks) AS mark FROM marked JOIN first ON marked.x = first.x AND marked.host IS NOT DISTINCT FROM first.host),
+rest AS (SELECT marked.* FROM marked ANTI JOIN first ON marked.x = first.x AND marked.host IS NOT DISTINCT FROM first.host),
+alike AS (SELECT DISTINCT rid, pos FROM (SELECT rid, pos, host, unnest(marks) AS mark FROM rest) r JOIN known ON r.mark = known.mark AND r.host IS NOT DISTINCT FROM known.host),
+own AS (SELECT rest.* FROM rest ANTI JOIN alike ON rest.rid = alike.rid AND rest.pos = alike.pos),
+told AS (SELECT a.rid, coalesce(b.low, a.low) AS low, coalesce(b.high, a.high) AS high
+  FROM (SELECT rid, min(list_min(marks)) AS low, max(list_max(marks)) AS high FROM marked GROUP BY rid) a
+  LEFT JOIN (SELECT rid, min(list_min(marks)) AS low, max(list_max(marks)) AS high FROM own GROUP BY rid) b USING (rid)),
+many AS (SELECT host, x FROM above JOIN body USING (rid) LEFT JOIN told USING (rid) GROUP BY host, x
+  HAVING greatest(count(DISTINCT coalesce(low, body)), count(DISTINCT coalesce(high, body))) > 20),
 lost AS (SELECT rid, sum(len(string_split(line.x, ' '))) AS n FROM line JOIN many
   ON line.x = many.x AND line.host IS NOT DISTINCT FROM many.host GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
