@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.tables import materialize, no_text, unused
+from tillroll.llm.tables import materialize, no_text, unused, wide_key
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -49,6 +49,9 @@ MIN_SCORE = 0.75
 DAMPING = 0.85
 TURNS = 3
 
+#: Matches of a text that are folded at a time.
+CHUNK = 256
+
 SPAN = "array<struct<s:int,k:int,e:int,m:string,before:string,after:string>>"
 
 
@@ -81,22 +84,43 @@ def _valid(kind: str, m: Column) -> Column:
     return (n >= 9) & (n <= 15)
 
 
+def _chunked(items: Column) -> Column:
+    """The array in arrays of ``CHUNK``, in order; none of an empty or null one.
+
+    An array that grows while another is folded is copied for each element,
+    and a substring is counted from its text's start.  So texts with many
+    matches are folded chunk by chunk, and cut into the chunks' parts first:
+    what is left to copy is a chunk, or a number for each chunk."""
+    n = F.size(items)
+    chunk = lambda j: F.slice(items, j * CHUNK + 1, CHUNK)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")), chunk)).otherwise(F.slice(F.array(items), 1, 0))
+
+
+def _before_each(values: str, plus) -> Column:
+    """For each value what ``plus`` makes of 0 and the values before it, and of all last."""
+    zero = F.struct(F.lit(0).alias("to"), F.array().cast("array<int>").alias("out"))
+    step = lambda a, x: F.struct(plus(a["to"], x).alias("to"), F.concat(a["out"], F.array(a["to"])).alias("out"))
+    return F.aggregate(values, zero, step, lambda a: F.concat(a["out"], F.array(a["to"])))
+
+
 def _located(df: DataFrame, text: str, pattern: str, hint: Column, rank: int, out: str) -> DataFrame:
     """All matches of ``pattern`` with offsets: what lies between matches and
     the matches themselves, their lengths summed up in turn."""
-    pieces, hits = unused(df, "_pieces", "_hits")
+    pieces, hits, steps, chunks, sums, starts = unused(df, "_pieces", "_hits", "_steps", "_chunks", "_sums", "_starts")
     df = df.withColumn(hits, F.when(hint, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).withColumn(
         pieces, F.when(F.size(hits) > 0, F.split(text, pattern, -1))
     )
     p = F.col(pieces)
-    steps = F.transform(
+    found = F.transform(
         hits,
         lambda m, i: F.struct(
             F.length(p[i]).alias("gap"), F.length(m).alias("n"), m.alias("m"),
             F.right(p[i], F.lit(64)).alias("before"), F.left(p[i + 1], F.lit(64)).alias("after"),
         ),
     )
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN).alias("out"))
+    df = df.withColumn(steps, F.when(F.size(pieces) > 0, found)).withColumn(chunks, _chunked(F.col(steps)))
+    df = df.withColumn(sums, F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["gap"] + x["n"])))
+    df = df.withColumn(starts, _before_each(sums, lambda a, x: a + x))
 
     def step(a: Column, x: Column) -> Column:
         s = a["pos"] + x["gap"]
@@ -106,8 +130,37 @@ def _located(df: DataFrame, text: str, pattern: str, hint: Column, rank: int, ou
         )
         return F.struct((s + x["n"]).alias("pos"), F.concat(a["out"], F.array(one)).alias("out"))
 
-    found = F.when(F.size(pieces) > 0, F.aggregate(steps, zero, step, lambda a: a["out"]))
-    return df.withColumn(out, F.coalesce(found, F.array().cast(SPAN))).drop(pieces, hits)
+    def placed(c: Column, j: Column) -> Column:
+        return F.aggregate(c, F.struct(F.get(starts, j).alias("pos"), F.array().cast(SPAN).alias("out")), step, lambda a: a["out"])
+
+    return df.withColumn(out, F.flatten(F.transform(chunks, placed))).drop(pieces, hits, steps, chunks, sums, starts)
+
+
+def _replaced(df: DataFrame, text: str, spans: str, instead, out: str) -> DataFrame:
+    """``df`` with ``out``: the text with each of the sorted spans (s, e, ...)
+    replaced by ``instead(start, end, span)``, where ``start`` is behind the
+    spans before it.  A null or empty array leaves the text as it is."""
+    chunks, ends, starts = unused(df, "_chunks", "_ends", "_starts")
+    df = df.withColumn(chunks, _chunked(F.col(spans)))
+    df = df.withColumn(ends, F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: F.greatest(a, x["e"]))))
+    df = df.withColumn(starts, _before_each(ends, lambda a, x: F.greatest(a, x)))
+    t = F.col(text)
+
+    def part(c: Column, j: Column) -> Column:
+        first, last = F.get(starts, j), F.get(starts, j + 1)
+        zero = F.struct(
+            first.alias("pos"), F.array().cast("array<string>").alias("out"), F.substring(t, first + 1, last - first).alias("part")
+        )
+
+        def step(a: Column, x: Column) -> Column:
+            s, e = F.greatest(a["pos"], x["s"]), F.greatest(a["pos"], x["e"])
+            more = F.array(F.substring(a["part"], a["pos"] - first + 1, s - a["pos"]), instead(s, e, x))
+            return F.struct(e.alias("pos"), F.concat(a["out"], more).alias("out"), a["part"].alias("part"))
+
+        return F.aggregate(c, zero, step, lambda a: F.array_join(a["out"], ""))
+
+    done = F.concat(F.array_join(F.transform(chunks, part), ""), F.substring(t, F.element_at(starts, -1) + 1, F.length(t)))
+    return df.withColumn(out, F.when(F.size(chunks) > 0, done).otherwise(t)).drop(chunks, ends, starts)
 
 
 def base_spans(df: DataFrame, text: str) -> DataFrame:
@@ -131,17 +184,7 @@ def _candidates(df: DataFrame, text: str, out: str) -> DataFrame:
     some = reduce(lambda a, b: a | b, [F.size(k) > 0 for k in KINDS])
     spans = F.sort_array(F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
     df = df.withColumn(strict, F.when(some, spans))
-    t, zero = F.col(text), F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        s, e = F.greatest(a["pos"], x["s"]), F.greatest(a["pos"], x["e"])
-        more = F.array(F.substring(t, a["pos"] + 1, s - a["pos"]), F.repeat(F.lit("\x01"), e - s))
-        return F.struct(e.alias("pos"), F.concat(a["out"], more).alias("out"))
-
-    blanked = F.aggregate(
-        strict, zero, step, lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(t, a["pos"] + 1, F.length(t)))), "")
-    )
-    df = df.withColumn(masked, F.when(some, blanked).otherwise(t)).drop(strict)
+    df = _replaced(df, text, strict, lambda s, e, x: F.repeat(F.lit("\x01"), e - s), masked).drop(strict)
     hint = F.col(masked).rlike("[0-9@]")
     df = _located(df, masked, CANDIDATE, hint, -1, out).drop(masked)
     core = lambda x: F.regexp_replace(x["m"], "[._%+/-]+$", "")
@@ -248,7 +291,7 @@ def find_pii(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     ``body``."""
     names = [f"_k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], no_text(text).alias("body"))
-    keyed = rows.withColumn("key", F.xxhash64(*[F.col(n).cast("string") for n in names], F.md5(F.col("body").cast("binary"))))
+    keyed = rows.withColumn("key", wide_key(*[x for n in names for x in (F.col(n).isNull(), F.col(n).cast("string"))], F.md5(F.col("body").cast("binary"))))
     based = base_spans(keyed, "body")
     found = _candidates(based, "body", "cand").select("key", *KINDS, "cand")
     occ = materialize(_occurrences(found), "pii-occurrences")
@@ -261,30 +304,18 @@ def find_pii(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     base = F.sort_array(F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))) for k in KINDS]))
     narrow = based.select(*names, "key", base.alias("base"), *(["body"] if with_text else []))
     out = narrow.join(added, "key", "left")
-    clear = F.filter("added", lambda a: ~F.exists("base", lambda b: (a["s"] < b["e"]) & (b["s"] < a["e"])))
-    spans = F.when(F.size("added") > 0, F.sort_array(F.concat("base", clear))).otherwise(F.col("base"))
+    # candidates lie outside the base spans, which were blanked out
+    spans = F.when(F.size("added") > 0, F.sort_array(F.concat("base", "added"))).otherwise(F.col("base"))
     return out.select(
         *[F.col(n).alias(c) for c, n in zip(keep, names)], "base", spans.alias("spans"), *(["body"] if with_text else [])
     )
 
 
-def redacted(text: str, spans: str) -> Column:
-    """The text with each span, or union of overlapping spans, replaced by
-    its first kind in brackets."""
+def redacted(df: DataFrame, text: str, spans: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the text with each span, or union of overlapping
+    spans, replaced by its first kind in brackets."""
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    t, zero = F.col(text), F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        fresh = F.array(F.substring(t, a["pos"] + 1, x["s"] - a["pos"]), tags[x["k"]])
-        return F.struct(
-            F.greatest(a["pos"], x["e"]).alias("pos"),
-            F.when(x["s"] >= a["pos"], F.concat(a["out"], fresh)).otherwise(a["out"]).alias("out"),
-        )
-
-    done = F.aggregate(
-        spans, zero, step, lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(t, a["pos"] + 1, F.length(t)))), "")
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(t)
+    return _replaced(df, text, spans, lambda s, e, x: F.when(x["s"] >= s, F.get(tags, x["k"])).otherwise(""), out)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -297,6 +328,6 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     spans, base, body, missing = unused(docs, "spans", "base", "body", "missing")
     # by position, whatever docs' own columns are called
     found = found.toDF(*others, missing, base, spans, body)
-    return found.select(
-        *[F.when(~F.col(missing), redacted(body, spans)).alias(c) if c == text else F.col(c) for c in docs.columns]
-    )
+    clean = unused(found, "_clean")[0]
+    found = redacted(found, body, spans, clean)
+    return found.select(*[F.when(~F.col(missing), F.col(clean)).alias(c) if c == text else F.col(c) for c in docs.columns])

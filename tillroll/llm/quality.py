@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.tables import content_key, materialize, no_text, unused
+from tillroll.llm.tables import content_key, materialize, no_text, unused, wide_key
 from tillroll.sources.files import remove
 
 CONTROL_SPACE = r"[\x09-\x0D]"
@@ -211,7 +211,7 @@ def common_lines(
 ) -> DataFrame:
     """(host, line): hashes of the normalised lines that stand in more than
     ``max_docs`` distinct documents of a host."""
-    return _common(docs, F.xxhash64(F.col(host), F.md5(no_text(text).cast("binary"))), text, host, max_docs, min_left_percent)[0]
+    return _common(docs, wide_key(F.col(host), F.md5(no_text(text).cast("binary"))), text, host, max_docs, min_left_percent)[0]
 
 
 def quality(
@@ -222,7 +222,7 @@ def quality(
     ``n_common_words`` (words in removed lines) and ``kept``; ``places`` names
     a column for the numbers of the removed lines (null: none)."""
     row = F.struct(*[F.col(c) for c in keep], F.col(host), F.md5(no_text(text).cast("binary")))
-    key = F.xxhash64(row)
+    key = wide_key(row)
     common, above = _common(docs, key, text, host, max_docs, min_left_percent)
     # repeated rows agree in key and position, so each line counts once
     lost = (

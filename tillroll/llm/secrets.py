@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.tables import unused
+
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "private_key", "ssh_key", "signed_token")
 
@@ -86,15 +88,29 @@ def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
 INTEGER, BITS, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
 
 
+#: How the identifiers of password-based encryption begin.
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
 def is_private_key(data: bytes) -> bool:
-    """PKCS#1, PKCS#8 or SEC 1 in DER: one sequence, nested lengths exact."""
+    """PKCS#1, PKCS#8 (plain or encrypted), SEC 1 or DSA in DER: one
+    sequence, nested lengths exact."""
     outer = _der(data, 0, len(data))
     if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
     parts = _der(data, *outer[0][1:])
-    if not parts or parts[0][0] != INTEGER or parts[0][2] - parts[0][1] != 1:
+    if not parts:
         return False
     tags = [t for t, _, _ in parts]
+    sizes = [e - s for _, s, e in parts]
+    if tags == [SEQUENCE, OCTETS]:  # how it is encrypted, and the key
+        algorithm = _der(data, *parts[0][1:])
+        return bool(algorithm) and algorithm[0][0] == OID and data[algorithm[0][1] : algorithm[0][2]].startswith(PASSWORD_BASED) and sizes[1] >= 16
+    if tags[0] != INTEGER or sizes[0] != 1:
+        return False
+    if tags == [INTEGER] * 6:  # version, p, q, g, public and private key
+        p, q = sizes[1:3]
+        return data[parts[0][1]] == 0 and p >= 64 and 20 <= q <= 33 and max(sizes[3:5]) <= p + 1 and sizes[5] <= q + 1
     if tags[:9] == [INTEGER] * 9:  # version, n, e, d, p, q and three more
         return True
     if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:
@@ -158,7 +174,7 @@ def _length(run: str) -> int | None:
     if head[:1] == b"\x30" and len(head) > 8:
         k = head[1] & 0x7F if head[1] & 0x80 else 0
         n = int.from_bytes(head[2 : 2 + k], "big") if k else head[1]
-        return 2 + k + n if k <= 4 and head[2 + k : 4 + k] == b"\x02\x01" else None
+        return 2 + k + n if k <= 4 and (head[2 + k : 4 + k] == b"\x02\x01" or head[2 + k] == SEQUENCE) else None
     if not head.startswith(OPENSSH):
         return None
     data = _decoded(run[: len(run) // 4 * 4]) or b""
@@ -225,10 +241,11 @@ def scan(text: str, data: bytes | None = None) -> tuple[list[tuple[int, int, int
 
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of ``docs``, and ``secret_base`` and
-    ``secret_spans``: arrays of (s, k, e), k an index in ``KINDS``."""
-    rest = [c for c in docs.columns if c != text]
+    ``secret_spans``: arrays of (s, k, e), k an index in ``KINDS``.  Columns
+    of ``docs`` called like these give way to them."""
+    rest = [c for c in docs.columns if c != text and c.lower() not in ("secret_base", "secret_spans")]
     span = "array<struct<s:int,k:int,e:int>>"
-    given = docs.select(*rest, F.col(text).cast("binary").alias("secret_body"))
+    given = docs.select(*rest, F.col(text).cast("binary").alias(unused(docs, "secret_body")[0]))
     schema = given.select(*rest, F.lit(None).cast(span).alias("secret_base"), F.lit(None).cast(span).alias("secret_spans")).schema
     kind = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
 

@@ -8,8 +8,8 @@ bytes.  Decoding turns markers to blanks and bytes to characters.
 
 If no piece has the marker after another character (checked on loading),
 no piece spans a word's start, so words are cut on their own and a worker
-keeps the ids of short words it has seen in two generations of about
-``CACHE``, so frequent ones stay.  Long texts go in portions that end where
+keeps the ids of short words it has seen in two generations, each bounded in
+words and bytes, so frequent ones stay.  Long texts go in portions that end where
 words do; the search over a word, however long, keeps a few numbers for each
 of its bytes.  A marker character that the text itself holds is coded by its
 bytes, so decoding gives every text back exactly.
@@ -36,11 +36,16 @@ from tillroll.llm.tables import extended, unused
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
-CACHE = 300_000
+#: Words, and bytes, of a generation.
+CACHE, CACHE_BYTES = 120_000, 24 << 20
+#: Bytes that a kept word takes beside its characters and ids.
+ENTRY = 200
 #: Words of more characters are not kept.
 CACHED_CHARS = 48
 #: Characters of a text encoded, and ids decoded, at a time.
 PORTION = 1 << 18
+#: Bytes of ids that leave a worker at a time, about.
+PORTION_BYTES = 4 << 20
 #: Bytes of a word beyond which the search keeps its state in arrays.
 LONG_WORD = 4096
 NEVER = float("-inf")
@@ -49,7 +54,7 @@ UNKNOWN_PENALTY = 10.0
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 
 
-def double_array(keys: dict[bytes, int]) -> tuple[list[int], list[int], list[int]]:
+def double_array(keys: dict[bytes, int]) -> tuple[array, array, array]:
     """(base, check, value) of a trie: from state s byte c leads to
     t = base[s] + c + 1 if check[t] == s; value[t] is the key's number or -1.
     State 0 is the root."""
@@ -96,7 +101,7 @@ def double_array(keys: dict[bytes, int]) -> tuple[list[int], list[int], list[int
         at = b + np.array(labels) + 1
         check[at] = state
         todo += [(children[node][c], t) for c, t in zip(labels, at.tolist())]
-    return base.tolist(), check.tolist(), value.tolist()
+    return tuple(array("q", x.tobytes()) for x in (base, check, value))
 
 
 class Model:
@@ -132,6 +137,7 @@ class Codec:
         self.dtype = "u2" if self.code == "H" else "u4"
         self.seen: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of seen
         self.raw = [
             bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() if t in (NORMAL, USER_DEFINED, UNUSED) else b""
             for p, t in zip(model.pieces, model.types)
@@ -206,8 +212,8 @@ class Codec:
 
     def _encode(self, text: str) -> bytes:
         units = self.unit.findall(text)
-        if len(self.seen) > CACHE:
-            self.old, self.seen = self.seen, {}
+        if len(self.seen) > CACHE or self.held > CACHE_BYTES:
+            self.old, self.seen, self.held = self.seen, {}, 0
         seen, old = self.seen, self.old
         parts = list(map(seen.get, units))
         if None in parts:
@@ -217,6 +223,7 @@ class Codec:
                     p = parts[i] = seen.get(w) or old.get(w) or self._word(w)
                     if len(w) <= CACHED_CHARS:
                         seen[w] = p
+                        self.held += ENTRY + len(w) + len(p)
         return b"".join(parts)
 
     def decode(self, ids) -> str:
@@ -266,6 +273,48 @@ def encode(docs: DataFrame, shared, text: str = "text", out: str = "piece_ids")
     return given.mapInArrow(work, schema)
 
 
+def round_trip(docs: DataFrame, shared, text: str = "text", out: str = "piece_ids", exact: str = "exact", crc: str = "decoded_crc32") -> DataFrame:
+    """``encode``, and in the same worker the ids are decoded again: ``exact``
+    says whether that gives the text (empty for null), ``crc`` is the CRC-32
+    of what it gives.  Columns called like the results give way to them."""
+    rest = [c for c in docs.columns if c != text and c.lower() not in (out.lower(), exact.lower(), crc.lower())]
+    body = unused(docs, "_body")[0]
+    given = docs.select(*rest, F.col(text).cast("binary").alias(body))
+    schema = extended(given.select(*rest), {out: T.ArrayType(T.IntegerType()), exact: T.BooleanType(), crc: T.LongType()})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        import numpy as np
+
+        codec = _codec(shared)
+        size = np.dtype(codec.dtype).itemsize
+        for b in batches:
+            texts, first = b.column(b.num_columns - 1), 0
+            while first < b.num_rows:  # a portion's ids at a time
+                coded, same, crcs, held, at = [], [], [], 0, first
+                while at < b.num_rows and held < PORTION_BYTES:
+                    text_ = (texts[at].as_py() or b"").decode("utf-8", "replace")
+                    ids = codec.encode(text_)
+                    back = codec.decode(np.frombuffer(ids, codec.dtype))
+                    coded.append(ids)
+                    same.append(back == text_)
+                    crcs.append(zlib.crc32(back.encode()))
+                    held, at = held + len(ids), at + 1
+                flat = np.frombuffer(b"".join(coded), codec.dtype).astype("int32")
+                ends = np.cumsum([0, *map(len, coded)]) // size
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[c.slice(first, at - first) for c in b.columns[:-1]],
+                        pa.ListArray.from_arrays(pa.array(ends.astype("int32")), pa.array(flat)), pa.array(same), pa.array(crcs, pa.int64()),
+                    ],
+                    names=[*rest, out, exact, crc],
+                )
+                first = at
+
+    return given.mapInArrow(work, schema)
+
+
 def decode(encoded: DataFrame, shared, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with ``out``, the text of ``ids``, last."""
     rest = [c for c in encoded.columns if c.lower() != out.lower()]
