@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tillroll.llm import decontaminate, pii, quality, simhash, unigram
 from tillroll.llm.queries import vocabulary
 from tillroll.llm.tables import documents, materialize, table
+from tillroll.sources.files import remove
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +45,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become piece ids; ``exact`` says that they decode to the text."""
     model = unigram.load(spark, vocabulary("piece_bpe_32k.model"))
-    given = docs.select("doc_id", "text", F.coalesce("text", F.lit("")).alias("original"))
-    back = unigram.decode(unigram.encode(given, model), model)
-    return back.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), (F.col("decoded") == F.col("original")).alias("exact"))
+    back = unigram.round_trip(docs.select("doc_id", "text"), model)
+    return back.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "exact")
 
 
 STAGES = [
@@ -62,7 +62,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, written = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs, before = materialize(stage(spark, docs, sf_dir), name), written
+        if before is not None:
+            remove(before)  # read for the last time
+        written = docs
     return docs
