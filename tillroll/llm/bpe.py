@@ -15,11 +15,17 @@ import json
 import os
 import re
 
-CACHE = 600_000
+CACHE = 250_000
 #: Unicode white space, as the tokenizer's own pattern understands it.
 BLANK = "\t-\r \x85\xa0  -     　"
 BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{BLANK}]", c))
-UNIT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+#: A pre-token ends where ASCII letters, digits and signs meet, too -- but for
+#: an apostrophe, which may begin a contraction, and beside other characters,
+#: whose class isn't known here: such a run is one unit up to its blank.
+UNIT = re.compile(
+    r" ?(?:[A-Za-z]++(?=[\x00-\x7f]|\Z)|[0-9]++(?=[\x00-\x7f]|\Z)|[!-&(-/:-@\[-`{-~]++(?=[\x00-\x26\x28-\x7f]|\Z)"
+    f"|[^{BLANK}]+)|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+)
 
 
 class Encoder:
@@ -65,8 +71,6 @@ class Encoder:
         return [ids[s:e] for s, e in zip([0, *cuts], cuts)]
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.seen) > CACHE:
-            self.seen, self.older = {}, self.seen
         older = self.older
         known = [u for u in new if u in older]
         self.seen.update(zip(known, map(older.__getitem__, known)))
@@ -78,17 +82,21 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [not self.by_unit or any(a in t for a in self.added) for t in texts]
-        units = [[] if w else UNIT.findall(t) for t, w in zip(texts, whole)]
-        need: set[str] = set()
-        for us in units:
-            need.update(us)
-        new = need.difference(self.seen)
-        if new:
-            if len(self.seen) > CACHE:
-                new = need  # a new generation
-            self._learn(new)
-        get = self.seen.__getitem__
-        return [self._ids([t])[0] if w else b"".join(map(get, us)) for t, us, w in zip(texts, units, whole)]
+        units, ends = [], [0]
+        for t, w in zip(texts, whole):
+            if not w:
+                units += UNIT.findall(t)
+            ends.append(len(units))
+        if len(self.seen) > CACHE:
+            self.seen, self.older = {}, self.seen  # a new generation
+        ids = list(map(self.seen.get, units))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            self._learn({units[i] for i in missing})
+            get = self.seen.__getitem__
+            for i in missing:
+                ids[i] = get(units[i])
+        return [self._ids([t])[0] if w else b"".join(ids[s:e]) for t, w, s, e in zip(texts, whole, ends, ends[1:])]
 
 
 _loaded: dict[str, Encoder] = {}
