@@ -64,9 +64,11 @@ class Encoder:
             self.lengths = np.zeros(self.vocab, "int64")
             for token, i in self.lib.get_vocab().items():
                 self.lengths[i] = len(token)
-        (ids,) = self._ids(["".join(units)])
+        joined = "".join(units)
+        (ids,) = self._ids([joined])
         sizes = np.cumsum(self.lengths[np.frombuffer(ids, self.dtype)])
-        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), "int64", len(units)))
+        size = map(len, units) if joined.isascii() else (len(u.encode()) for u in units)
+        ends = np.cumsum(np.fromiter(size, "int64", len(units)))
         cuts = ((np.searchsorted(sizes, ends) + 1) * np.dtype(self.dtype).itemsize).tolist()
         return [ids[s:e] for s, e in zip([0, *cuts], cuts)]
 
@@ -76,7 +78,8 @@ class Encoder:
         self.seen.update(zip(known, map(older.__getitem__, known)))
         new.difference_update(known)
         join = [u for u in new if len(u) > 1 and u[0] == " " and u[1] not in BLANKS]
-        self.seen.update(zip(join, self._joined_ids(join) if join else ()))
+        for some in ([u for u in join if u.isascii()], [u for u in join if not u.isascii()]):
+            self.seen.update(zip(some, self._joined_ids(some) if some else ()))
         alone = list(new.difference(join))
         self.seen.update(zip(alone, self._ids(alone)))
 
