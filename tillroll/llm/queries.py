@@ -90,17 +90,23 @@ def op7_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three commits: all documents are inserted, the same batch
-    comes a second time, and copies (all but the smallest id of a text) are
-    deleted."""
-    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text")
-    store = rollup.Rollup(spark, fresh_path(spark, "rollup"), {"byte_bpe_50k": vocabulary("byte_bpe_50k.json")})
-    store.commit("load", rollup.signed(docs, 1))
-    store.commit("load", rollup.signed(docs, 1))
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("key", F.md5(text.cast("binary")))
-    first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    store.commit("copies", rollup.signed(keyed.join(first, "key").where("doc_id <> first"), -1))
+    """Totals after four commits: all documents are inserted without their
+    sources, the same batch comes a second time, a revision of every row
+    gives them their sources, and copies are deleted: of a text's rows the
+    one with the smallest id stays (a null id is the largest; then the
+    smallest source and language).  Texts are tokenised once."""
+    vocabularies = {"byte_bpe_50k": vocabulary("byte_bpe_50k.json")}
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"))
+    rows = materialize(rollup.counted(docs, vocabularies), "counted")
+    store = rollup.Rollup(spark, fresh_path(spark, "rollup"), vocabularies)
+    early = rows.withColumn("source", F.lit(None).cast("string"))
+    store.commit("load", rollup.signed_counts(early, 1))
+    store.commit("load", rollup.signed_counts(early, 1))
+    store.commit("sources", rollup.revised(early, rows, rollup.signed_counts))
+    # all go and the first ones come back; a text that stands once cancels out
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "source", "lang", "tokens")).alias("x")
+    first = rows.groupBy("key").agg(least).select("x.source", "x.lang", "x.tokens")
+    store.commit("copies", rollup.revised(rows, first, rollup.signed_counts))
     return store.totals()
 
 
