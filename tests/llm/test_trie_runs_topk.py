@@ -73,8 +73,9 @@ def random_turns(seed, convs):
 SCHEMA = "conv_id long, turn long, role string, text string, depth int, k1 string, words int, conv string"
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_trie_brute(spark, seed):
+@pytest.mark.parametrize(("seed", "hot_part"), [(1, 1000), (2, 4)])
+def test_trie_brute(spark, monkeypatch, seed, hot_part):
+    monkeypatch.setattr(trie, "HOT_PART", hot_part)  # 4: most parents go by the join
     turns = random_turns(seed, [*range(-45, -35), *range(0, 90), *range(110, 118), None])
     df = spark.createDataFrame([(*t, 1, "k", 2, "c") for t in turns], SCHEMA)  # clashing names
     assert trie_got(trie.trie(trie.rebuilt(df))) == trie_brute(turns)

@@ -8,14 +8,15 @@ An example's context is a prefix of its conversation, so the formatted
 conversation is stored once, a segment for each turn with its place, and the
 examples as spans over it: (end of context, reply span, end).  Written out,
 the contexts of a conversation of n turns would take n^2/2 turns;
-``expanded`` does that where it is wanted.
+``expanded`` does that where it is wanted, ``pieces`` a turn at a time.
 
 Turns are placed by ranges of (conversation, turn): a conversation holding
 most rows is spread over tasks, which number their own turns.
 
 Defined cases: null texts and roles are empty; a null conversation is one
 conversation; turns of the same number go by role, then text; repeated rows
-are repeated turns; an empty table gives empty results.
+are repeated turns; an empty table gives empty results; ids and turn numbers
+count as longs, and such as don't are an error.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def examples(formatted: DataFrame) -> DataFrame:
 
 def expanded(formatted: DataFrame) -> DataFrame:
     """Examples as texts of their own.  For conversations of ordinary length:
-    an example's turns are gathered in one row."""
+    an example's turns are gathered in one row (``pieces`` gathers nothing)."""
     ex = examples(formatted).alias("e")
     before = formatted.select("conv_id", "at", "segment").alias("s")
     joined = ex.join(before, F.col("e.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("s.at") <= F.col("e.context_chars")))
@@ -92,6 +93,23 @@ def expanded(formatted: DataFrame) -> DataFrame:
     )
 
 
+def pieces(formatted: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """The examples written out, each as ordered pieces of a turn each:
+    (conv_id, target_turn, target_at, at, segment, trained).  An example's text
+    is its segments in the order of ``at``; only the last, its reply, is
+    trained.  Nothing is gathered in a row.
+
+    An example has all turns before it, so a conversation of n turns gives up
+    to n^2/2 pieces: ``targets`` (rows of ``examples``) chooses which examples
+    are written out; by default all are."""
+    chosen = (examples(formatted) if targets is None else targets).select(
+        F.col("conv_id").alias("_conv"), "target_turn", F.col("context_chars").alias("target_at")
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("at") <= F.col("target_at"))
+    joined = chosen.join(formatted.select("conv_id", "at", "segment"), same)
+    return joined.select("conv_id", "target_turn", "target_at", "at", "segment", (F.col("at") == F.col("target_at")).alias("trained"))
+
+
 def parsed(formatted: DataFrame) -> DataFrame:
     """Role and text of each segment, read back from its marks."""
     seg = F.col("segment")

@@ -8,12 +8,15 @@ are probed with their occurrences of prefix words; an occurrence at p of a
 word at offset j in a window can only mean a window from p - j (position)
 that ends inside the text (length), and that is verified word by word.
 
-The benchmark is the query set.  It is dealt by window hash into blocks of a
-bounded size (``BLOCK_BYTES``), and each block is broadcast and run against
-all documents; however large the benchmark, no more than a block is held
-anywhere.  Items are joined to documents by Spark through classes of windows
-with the same items, so neither a window in many items nor a document with
-many windows is expanded in pairs.
+The benchmark is the query set.  Up to ``BLOCK_BYTES`` of window text it is
+broadcast and run against all documents.  A larger one is joined instead: the
+texts are read once more, each occurrence of a prefix word (told by a Bloom
+filter of fixed size) goes with the words around it to the windows of that
+word, by an equi-join on the word, and is verified there.  Either way the
+documents are read twice -- for the word counts, and for the probing -- and
+nothing that grows with the benchmark is held in a task.  Items are joined to
+documents by Spark through classes of windows with the same items, so neither
+a window in many items nor a document with many windows is expanded in pairs.
 
 Defined cases: null texts have no words and no windows; a null item id
 reads as an empty string; repeated rows give repeated results (repeated
@@ -27,12 +30,18 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.llm.tables import materialize, no_text
+from tillroll.llm.tables import materialize, no_text, wide_key
+from tillroll.operators.enrich import hot_lookup_join
 
 WINDOW = 10
-#: Bytes of window text in a block, on average; a broadcast holds about one.
+#: Bytes of window text that are broadcast at most; more are joined.
 BLOCK_BYTES = 16 << 20
+#: Bits of the Bloom filter of prefix words, a power of two.
+FILTER_BITS = 1 << 26
+#: Words whose place in the filter a worker remembers.
+REMEMBERED = 200_000
 #: Candidate windows verified at once.
 CHUNK = 1 << 19
 
@@ -112,7 +121,7 @@ class _Block:
 
 def _probe(docs: DataFrame, block) -> DataFrame:
     """(key, n_words, runs, classes) of each document against one block."""
-    schema = "key long, n_words long, runs array<struct<s:int,e:int>>, classes array<long>"
+    schema = "key string, n_words long, runs array<struct<s:int,e:int>>, classes array<long>"
     runs_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +148,88 @@ def _probe(docs: DataFrame, block) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
+def _prefixes(wins: DataFrame, counts: DataFrame) -> DataFrame:
+    """The windows with their rarest word (``word``) and its offset (``at``)."""
+    words = hot_lookup_join(wins.select("win", "cls", F.posexplode("win").alias("at", "word")), counts, "word", "n")
+    rare = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("x")
+    return words.groupBy("win", "cls").agg(rare).select("win", "cls", "x.word", "x.at")
+
+
+def _bloom(words: DataFrame):
+    """Bits set at two places of each word's hash: FILTER_BITS in all."""
+    import numpy as np
+
+    h = F.xxhash64("word")
+    places = words.select(F.explode(F.array(h.bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned(h, 32).bitwiseAND(FILTER_BITS - 1))).alias("bit"))
+    place = F.col("bit") + 1  # Spark's buckets of 32768 begin at 1
+    rows = places.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((FILTER_BITS // 32768, 4096), "uint8")
+    for r in rows.collect():
+        out[r["bucket"] - 1] = np.frombuffer(r["bits"], "uint8")
+    return np.unpackbits(out.ravel(), bitorder="little").astype(bool)
+
+
+def _joined_hits(rows: DataFrame, names: list[str], wins: DataFrame, corpus: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(names, key, n_words) of every document, and (key, s, e, cls) of its
+    hits, for a benchmark of any size."""
+    own = wins.select(F.explode("win").alias("word")).distinct()
+    counts = corpus.groupBy("word").agg(F.count(F.lit(1)).alias("n")).join(own, "word", "left_semi")
+    prefix = materialize(_prefixes(wins, materialize(counts, "word-counts")), "prefixes")
+    bits = rows.sparkSession.sparkContext.broadcast(_bloom(prefix.select("word").distinct()))
+    schema = T.StructType([
+        *rows.select(*names, "key").schema.fields, T.StructField("n_words", T.LongType()), T.StructField("p", T.IntegerType()),
+        T.StructField("c", T.IntegerType()), T.StructField("word", T.StringType()), T.StructField("around", T.ArrayType(T.StringType())),
+    ])
+    kept = [*names, "key"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import xxhash
+
+        filled, seen = bits.value, {}
+
+        def known(w: bytes) -> bool:
+            x = seen.get(w)
+            if x is None:
+                h = xxhash.xxh64_intdigest(w, 42)
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                x = seen[w] = bool(filled[h & (FILTER_BITS - 1)] and filled[(h >> 32) & (FILTER_BITS - 1)])
+            return x
+
+        tail = pa.schema([("n_words", pa.int64()), ("p", pa.int32()), ("c", pa.int32()), ("word", pa.string()), ("around", pa.list_(pa.string()))])
+
+        def out(b, which, cells):
+            head = b.select(kept).take(pa.array(which, pa.int32()))
+            columns = [pa.array(x, f.type) for x, f in zip(zip(*cells), tail)]
+            return pa.RecordBatch.from_arrays([*head.columns, *columns], names=[*kept, *tail.names])
+
+        for b in batches:
+            body = b.column(b.schema.get_field_index("body"))
+            which, cells = [], []
+            for i in range(b.num_rows):
+                words = (body[i].as_py() or b"").translate(FOLD).split()
+                which.append(i)
+                cells.append((len(words), -1, None, None, None))
+                for p in np.flatnonzero(np.fromiter(map(known, words), bool, len(words))).tolist():
+                    first = max(p - window + 1, 0)
+                    which.append(i)
+                    cells.append((None, p, p - first, words[p].decode("utf-8", "replace"), [w.decode("utf-8", "replace") for w in words[first : p + window]]))
+                    if len(cells) >= 1 << 14:
+                        yield out(b, which, cells)
+                        which, cells = [], []
+            if cells:
+                yield out(b, which, cells)
+
+    probed = materialize(rows.mapInArrow(work, schema), "probed")
+    n = F.size("win")
+    start = F.col("c") - F.col("at")
+    inside = (start >= 0) & (start + n <= F.size("around"))  # position and length
+    found = probed.where("p >= 0").select("key", "p", "c", "word", "around").join(prefix, "word").where(inside & (F.slice("around", F.greatest(start, F.lit(0)) + 1, n) == F.col("win")))
+    hits = found.select("key", (F.col("p") - F.col("at")).alias("s"), (F.col("p") - F.col("at") + n).alias("e"), "cls")
+    return probed.where("p < 0").select(*kept, "n_words"), hits
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
@@ -154,41 +245,36 @@ def contamination(
     wins = materialize(wins, "classes")
     rep = wins.groupBy("cls").agg(F.min("win").alias("win"))
     class_items = pairs.join(rep, "win").select("cls", "item")
-
     size = wins.agg(F.sum(F.octet_length(F.array_join("win", " ")))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    slot = F.pmod(F.xxhash64(F.array_join("win", " ")), F.lit(n_blocks))
 
     names = [f"_k{i}" for i in range(len(keep))]
-    key = F.xxhash64(*[F.col(c).cast("string") for c in keep], F.md5(no_text(text).cast("binary"))).alias("key")
-    bodies = docs.select(key, F.col(text).cast("binary").alias("body"))
+    values = [x for c in keep for x in (F.col(c).isNull(), F.col(c).cast("string"))]
+    key = wide_key(*values, F.md5(no_text(text).cast("binary"))).alias("key")
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], key, F.col(text).cast("binary").alias("body"))
     corpus = docs.select(F.explode(words_of(text)).alias("word"))
-    passes, shared = [], []
-    for i in range(n_blocks):
-        own = wins.where(slot == i)
-        # rarity: each block word's count over the whole corpus; a block is a
-        # broadcast's size, and so are its words, one row each, with the counts
-        block_words = own.select(F.explode("win").alias("word")).distinct()
-        counts = corpus.join(F.broadcast(block_words), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    if size <= block_bytes:
+        # rarity: each word's count over the whole corpus; the windows are a
+        # broadcast's size, and so are their words, one row each, with the counts
+        own = wins.select(F.explode("win").alias("word")).distinct()
+        counts = corpus.join(F.broadcast(own), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         rare = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("x")
         prefix = (
-            own.select("win", "cls", F.posexplode("win").alias("at", "word")).join(F.broadcast(counts), "word", "left")
+            wins.select("win", "cls", F.posexplode("win").alias("at", "word")).join(F.broadcast(counts), "word", "left")
             .groupBy("win", "cls").agg(rare).select("win", "cls", "x.word", "x.at")
         )
-        shared.append(spark.sparkContext.broadcast(_Block(prefix.toLocalIterator(), window)))
-        probed = _probe(bodies, shared[-1])
-        passes.append(materialize(probed, "hits") if n_blocks > 1 else probed)
-        if n_blocks > 1:
-            shared[-1].unpersist()
-    hits = passes[0]
-    for p in passes[1:]:
-        hits = hits.union(p)
-    # sets: repeated rows, however many, add the same runs and classes
-    per_key = hits.groupBy("key").agg(
-        F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_set("runs"))).alias("runs"),
-        F.array_distinct(F.flatten(F.collect_set("classes"))).alias("classes"),
-    )
-    per_key = materialize(per_key, "per-document")
+        shared = spark.sparkContext.broadcast(_Block(prefix.toLocalIterator(), window))
+        # sets: repeated rows, however many, add the same runs and classes
+        per_key = _probe(rows.select("key", "body"), shared).groupBy("key").agg(
+            F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_set("runs"))).alias("runs"),
+            F.array_distinct(F.flatten(F.collect_set("classes"))).alias("classes"),
+        )
+        per_key = materialize(per_key, "per-document")
+        every = rows.select(*names, "key").join(per_key.select("key", "n_words"), "key")
+    else:
+        every, hits = _joined_hits(rows, names, wins, corpus, window)
+        per_key = materialize(
+            hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("runs"), F.collect_set("cls").alias("classes")), "per-document"
+        )
     found = (
         per_key.select("key", F.explode("classes").alias("cls")).join(class_items, "cls")
         .groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
@@ -202,11 +288,10 @@ def contamination(
         ),
         lambda a: a["n"],
     )
-    per_key = per_key.select("key", "n_words", union.alias("n_hit")).join(found, "key", "left")
     return (
-        docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], key).join(per_key, "key")
+        every.join(per_key.select("key", union.alias("n_hit")), "key", "left").join(found, "key", "left")
         .select(
-            *[F.col(n).alias(c) for c, n in zip(keep, names)], "n_words", "n_hit",
+            *[F.col(n).alias(c) for c, n in zip(keep, names)], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
     )

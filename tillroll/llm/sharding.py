@@ -113,13 +113,14 @@ def balanced(groups: DataFrame, shards: int, fan: int = FAN) -> DataFrame:
 
 
 def sharded(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_id", fan: int = FAN) -> DataFrame:
-    """``docs`` without ``text``, with size, text_crc32, shard and slot."""
+    """``docs`` without ``text``, with size, text_crc32, shard and slot;
+    columns of ``docs`` called like these give way."""
     body, group = unused(docs, "_body", "_group")
     rest = [c for c in docs.columns if c != text and c.lower() not in ("size", "text_crc32", "shard", "slot")]
     sized = docs.select(
         *rest, (F.octet_length(no_text(text)) + 16).cast("long").alias("size"),
         F.crc32(no_text(text).cast("binary")).alias("text_crc32"),
-        # texts are told apart by 64 + 32 bits and their length
+        # one 64-bit hash: two texts that share it merely go together
         F.xxhash64(F.xxhash64(no_text(text)), F.crc32(no_text(text).cast("binary")), F.octet_length(no_text(text))).alias(group),
     )
     sized = materialize(sized, "sized")

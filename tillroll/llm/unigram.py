@@ -316,7 +316,8 @@ def round_trip(docs: DataFrame, shared, text: str = "text", out: str = "piece_id
 
 
 def decode(encoded: DataFrame, shared, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with ``out``, the text of ``ids``, last."""
+    """``encoded`` with ``out``, the text of ``ids``, last.  A column called
+    like it gives way."""
     rest = [c for c in encoded.columns if c.lower() != out.lower()]
     place = rest.index(ids)
     schema = extended(encoded.select(*rest), {out: T.StringType()})
