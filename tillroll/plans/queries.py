@@ -131,6 +131,11 @@ def q10_rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir)
 
 
+def q10_rfm_segments_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as Q10, which has one algorithm for every size."""
+    return _segments(spark, sf_dir)
+
+
 def q10_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segment_summary(_segments(spark, sf_dir))
 
@@ -188,11 +193,12 @@ def prepare_sales(spark: SparkSession, sf_dir: str, path: str | None = None) ->
 
 
 def cleaned_from_copy(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Cleaned sale lines from the year-partitioned copy.  A date window, also
-    one open on a side, implies a year range, so that only its directories
-    are read."""
+    """Cleaned sale lines from the year-partitioned copy.  A date window
+    implies a year range: closed, its directories alone are listed; open on a
+    side, it is a filter on the partition column."""
     since, until = (int(d[:4]) if d else None for d in (start, end))
-    return clean(files.read_sales(spark, path, fmt="parquet", since=since, until=until), start=start, end=end)
+    years = range(since, until + 1) if start and end else None
+    return clean(files.read_sales(spark, path, fmt="parquet", years=years, since=since, until=until), start=start, end=end)
 
 
 # ---- the same queries by other means --------------------------------------

@@ -142,22 +142,26 @@ FROM monthly cur JOIN monthly prev
 ORDER BY delta DESC, cur.customer_id, cur.month_index"""
 
 
+def _rfm_base_sql() -> str:
+    return """
+WITH per_customer AS (
+    SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
+           sum(revenue) AS monetary
+    FROM tillroll_sales GROUP BY customer_id
+)
+SELECT customer_id,
+       datediff(to_date((SELECT max(struct(last_date, frequency, monetary)).last_date FROM per_customer)), to_date(last_date)) AS recency_days,
+       frequency, monetary
+FROM per_customer"""
+
+
 # The three orderings one after another as (ordering, key, customer): every key
 # counts down to the best score's end, so all are ascending.  Dealt by ranges
 # in one exchange, sorted in tasks and written once with each row's place; the
 # first ordering's rows carry the metrics.
 SQL_Q10_DEALT = """
 INSERT OVERWRITE DIRECTORY '{path}' USING parquet
-WITH per_customer AS (
-    SELECT customer_id, max(invoice_date) AS last_date, count(DISTINCT invoice) AS frequency,
-           sum(revenue) AS monetary
-    FROM tillroll_sales GROUP BY customer_id
-),
-rfm AS (
-    SELECT customer_id,
-           datediff(to_date((SELECT max(struct(last_date, frequency, monetary)).last_date FROM per_customer)), to_date(last_date)) AS recency_days,
-           frequency, monetary
-    FROM per_customer
+WITH rfm AS (""" + _rfm_base_sql() + """
 ),
 orderings AS (
     SELECT /*+ REPARTITION_BY_RANGE(o, k, customer_id) */ o, k, customer_id,
