@@ -37,7 +37,7 @@ from tillroll.llm.tables import extended, unused
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 #: Words, and bytes, of a generation.
-CACHE, CACHE_BYTES = 120_000, 24 << 20
+CACHE, CACHE_BYTES = 300_000, 48 << 20
 #: Bytes that a kept word takes beside its characters and ids.
 ENTRY = 200
 #: Words of more characters are not kept.
@@ -54,7 +54,7 @@ UNKNOWN_PENALTY = 10.0
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 
 
-def double_array(keys: dict[bytes, int]) -> tuple[array, array, array]:
+def double_array(keys: dict[bytes, int]) -> tuple[list[int], list[int], list[int]]:
     """(base, check, value) of a trie: from state s byte c leads to
     t = base[s] + c + 1 if check[t] == s; value[t] is the key's number or -1.
     State 0 is the root."""
@@ -101,7 +101,7 @@ def double_array(keys: dict[bytes, int]) -> tuple[array, array, array]:
         at = b + np.array(labels) + 1
         check[at] = state
         todo += [(children[node][c], t) for c, t in zip(labels, at.tolist())]
-    return tuple(array("q", x.tobytes()) for x in (base, check, value))
+    return base.tolist(), check.tolist(), value.tolist()
 
 
 class Model:
