@@ -63,15 +63,17 @@ def _whole(invoice: str) -> Column:
     return F.when(number.cast("string") == F.col(invoice), number)
 
 
-def partials(lines: DataFrame) -> dict[str, DataFrame]:
-    """The kept tables of cleaned sale lines with their year.  The first
-    reduces the lines to a row for each year, invoice and customer, month and
-    country; the others read only that."""
-    invoices = lines.groupBy(YEAR, F.month(S.INVOICE_DATE).alias("month"), S.COUNTRY, S.INVOICE, S.CUSTOMER_ID).agg(
+def by_invoice(lines: DataFrame) -> DataFrame:
+    """Cleaned sale lines with their year, reduced to a row for each year,
+    invoice and customer, month and country."""
+    return lines.groupBy(YEAR, F.month(S.INVOICE_DATE).alias("month"), S.COUNTRY, S.INVOICE, S.CUSTOMER_ID).agg(
         F.sum(S.REVENUE).alias("rev"), F.count(F.lit(1)).alias("n"), F.max(S.REVENUE).alias("max_rev"),
         F.min(S.INVOICE_DATE).alias("first"), F.max(S.INVOICE_DATE).alias("last"),
     )
-    invoices = files.materialize(invoices, "invoices")
+
+
+def partials(invoices: DataFrame) -> dict[str, DataFrame]:
+    """The kept tables, from ``by_invoice``'s rows."""
     spend = invoices.groupBy(YEAR, S.COUNTRY, S.CUSTOMER_ID).agg(
         F.sum("rev").cast(REVENUE_SUM).alias("spend"), F.sum("n").alias("lines"), F.max("max_rev").cast(REVENUE_SUM).alias("max_revenue"),
         F.min("first").alias("first_date"), F.max("last").alias("last_date"),
@@ -108,10 +110,12 @@ def refresh(spark: SparkSession, copy: str, kept: str) -> list[int]:
     changed, gone = sorted(y for y in now if now[y] != old.get(y)), sorted(set(old) - set(now))
     if changed:
         lines = clean(files.read_sales(spark, copy, years=changed, keep_year=True))
-        for name, df in partials(lines).items():
+        invoices = files.materialize(by_invoice(lines), "invoices")  # the lines are read once
+        for name, df in partials(invoices).items():
             _drop_years(spark, f"{kept}/{name}", changed)  # a year may have no row now
             out = df.select(*[c for c in df.columns if c != YEAR], YEAR).hint("rebalance", YEAR)
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(f"{kept}/{name}")
+        files.remove(invoices)
     for name in _KEPT:
         _drop_years(spark, f"{kept}/{name}", gone)
     if changed or gone:

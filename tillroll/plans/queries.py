@@ -203,16 +203,14 @@ def cleaned_from_copy(spark: SparkSession, path: str, start: str | None = None,
 
 # ---- the same queries by other means --------------------------------------
 
-MONTH_BUCKETS = 16
-
-
 def q09_clustered_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9 (unordered) over a copy of the monthly spends that is clustered by
-    customer: a sort-merge join with no exchange."""
-    path = files.fresh_path(spark, "months-by-customer")
+    customer, in as many buckets as shuffles have partitions: a sort-merge join
+    with no exchange."""
+    path, buckets = files.fresh_path(spark, "months-by-customer"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     months = trend.customer_month_spend(cleaned(spark, sf_dir))
-    files.write_clustered(months, path, S.CUSTOMER_ID, MONTH_BUCKETS, ["month_index"])
-    copy = files.read_clustered(spark, path, months.schema, S.CUSTOMER_ID, MONTH_BUCKETS, ["month_index"])
+    files.write_clustered(months, path, S.CUSTOMER_ID, buckets, ["month_index"])
+    copy = files.read_clustered(spark, path, months.schema, S.CUSTOMER_ID, buckets, ["month_index"])
     return trend.period_over_period(copy, clustered=True)
 
 
