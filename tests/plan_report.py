@@ -1,6 +1,6 @@
 """Write PLANS.md: compact physical plans of the registered queries with
 automatic broadcasting switched off (the shape a very large input gets;
-only explicit, size-checked or one-row broadcasts remain)."""
+only explicit, bounded or one-row broadcasts remain)."""
 
 from __future__ import annotations
 
@@ -31,16 +31,27 @@ NOTES = {
     "before the shuffle on country.",
     "q07_above_mean_customers": STAR + ". The mean is a scalar subquery over the per-customer shuffle, which "
     "the main query reuses; the final sort is a distributed range sort.",
-    "q08_region_lookup_join": STAR + ". The lookup is broadcast after a row-count check; distinct customers "
+    "q08_region_lookup_join": STAR + ". The lookup is joined by its measured size; distinct customers "
     "shuffle on (region, customer).",
     "q09_month_over_month": STAR + ". The current side keeps the aggregate's partitioning; only the shifted "
     "side is shuffled again for the sort-merge join.",
-    "q10_rfm_segments": "Small input here (size-checked), so one task computes the quintiles; see "
-    "q10_rfm_segments_distributed for the large-input plan.",
-    "q10_rfm_segments_distributed": "The per-customer table was written once; the rows are only scanned and "
-    "projected against the cut rows (scalar subqueries over O(m)-row side tables: windows only over the "
-    "<= k-1 pieces that hold a tile boundary).",
-    "global_ntile": "As q10_rfm_segments_distributed, one ordering.",
+    "q10_rfm_segments": "The three orderings were dealt by one range exchange and written once, which carries the "
+    "rows; the result scans and projects that table against the cut rows (a scalar subquery over the tasks' row "
+    "counts and at most k-1 rows an ordering).",
+    "q10_rfm_segments_distributed": "As q10_rfm_segments.",
+    "global_ntile": "As q10_rfm_segments, one ordering.",
+    "sql_q10": "The second of its two statements: a scan of the dealt orderings and the cut rows' subquery.",
+    "q09_clustered_copy": "Both sides are scans of the same buckets: no exchange.",
+    "calendar_pruned_sales": "dynamicpruning in PartitionFilters: the calendar's years decide which folders are read.",
+    "running_invoice_totals": "Dealt by ranges and written before; the windows are over a task's range and its halo. "
+    "Task totals (a row each) come from the driver.",
+    "kept_summary": "Scans of the kept tables only; bitmaps are or-ed by bucket.",
+    "kept_revenue_by_month": "A scan of the kept months.",
+    "kept_revenue_by_region": "Scans of the kept tables only; bitmaps are or-ed by region and bucket.",
+    "kept_customer_lists": "Two consumers of the kept spends; no sale line is read.",
+    "revenue_by_brand": "Keys with over a thousandth of the lines are broadcast with their lookup rows, the others "
+    "are shuffled.",
+    "text_lines_split": "Scans of the accepted and the rejected lines, written from one text.",
     "customer_totals": STAR + ". One partial-aggregate shuffle on the customer.",
     "invoice_totals_mean": STAR + ". One partial-aggregate shuffle on the invoice, then a one-row aggregate.",
     "csv_source_roundtrip": "Reads the written CSV copy: one table, no join.",
@@ -74,26 +85,21 @@ def main() -> None:
     import __spark_entry__ as E
     from tillroll.session import local_session
 
-    from tillroll.sources import star
 
     spark = local_session(8)
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    # As at 100 TB: only sides of at most 100 rows pass the broadcast check
-    # (nation, the region lookup); customer, orders and part are joined by
-    # sort-merge joins.
-    star.MAX_BROADCAST_ROWS = 100
-    star._checked.clear()
+    # as at 100 TB: customer, orders and part are joined by sort-merge joins
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
     sf = "/root/testdata/sf0.01"
-    names = [n for n in E.queries() if not n.startswith("sql_")] + ["sql_q02", "sql_q07", "sql_q09"]
+    names = [n for n in E.queries() if not n.startswith(("sql_", "op")) and n != "pipeline"] + ["sql_q02", "sql_q07", "sql_q09", "sql_q10"]
     lines = ["# Physical plans at scale", "",
-             "Generated by `python tests/plan_report.py` (sf0.01 inputs; automatic broadcast off and the",
-             "star-join broadcast bound lowered to 100 rows, so every side larger than nation is joined the",
-             "way it is at 100 TB: by a shuffle join). Expression ids removed.",
+             "Generated by `python tests/plan_report.py` (sf0.01 inputs; automatic broadcast off, so",
+             "every side larger than nation is joined the way it is at 100 TB: by a shuffle join). Expression",
+             "ids removed.",
              "These are plans before execution: a branch that reads the same shuffle as another appears twice",
              "here and runs once (`ReusedExchange` at run time, asserted in tests/test_queries.py). For the",
              "distributed quintiles the side tables are already written, so only the final stage shows.",
-             "At sf0.01 `q10_*` take the size-checked single-task quintile path (1,369 customers, bound",
-             "1,000,000); `q10_rfm_segments_distributed` and `global_ntile` show the large-input path.", ""]
+             "Operators that write tables first show what is planned over those.", ""]
     for n in names:
         df = E.queries()[n](spark, sf)
         buf = io.StringIO()
