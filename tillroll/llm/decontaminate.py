@@ -12,9 +12,10 @@ The benchmark is the query set.  Up to ``BLOCK_BYTES`` of window text it is
 broadcast and run against all documents.  A larger one is joined instead: the
 texts are read once more, each occurrence of a prefix word (told by a Bloom
 filter of fixed size) goes with the words around it to the windows of that
-word, by an equi-join on the word, and is verified there.  Either way the
-documents are read twice -- for the word counts, and for the probing -- and
-nothing that grows with the benchmark is held in a task.  Items are joined to
+word, by an equi-join on the word, and is verified there.  However large the
+benchmark, the documents are read a fixed number of times -- for the word
+counts, for the probing, and if that was by broadcast once more for their own
+columns -- and nothing that grows with the benchmark is held in a task.  Items are joined to
 documents by Spark through classes of windows with the same items, so neither
 a window in many items nor a document with many windows is expanded in pairs.
 
