@@ -263,6 +263,26 @@ def test_every_line_is_accepted_or_rejected(spark, tmp_path):
     assert spark.read.parquet(a).count() == 4 and spark.read.parquet(b).count() == len(bad)
 
 
+def test_a_line_is_parsed_once(spark, tmp_path):
+    texts = ["1,a,x,2,1996-01-02 03:04:05,2.50,7,UK", "1,a,x,two,1996-01-02 03:04:05,2.50,7,UK", "too few"]
+    (tmp_path / "lines.csv").write_text("\n".join(texts) + "\n")
+    read = lines.read_lines(spark, str(tmp_path))
+    for part in (lines.accepted(read), lines.rejected(read)):  # a filter on the reason would repeat the parser
+        assert plan_text(part, "simple").count("from_csv(") == 1
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    a, b = files.fresh_path(spark, "a"), files.fresh_path(spark, "b")
+    lines.write_split(read.mapInArrow(counted, read.schema), a, b)
+    assert seen.value == len(texts)  # both tables from one pass
+    assert spark.read.parquet(a).count() == 1
+    assert sorted(rows(spark.read.parquet(b))) == [("1,a,x,two,1996-01-02 03:04:05,2.50,7,UK", "quantity"), ("too few", "fields")]
+
+
 def test_lines_agree_with_the_csv_reader(spark):
     path = files.fresh_path(spark, "lines-csv")
     files.write_sales_csv(sales_from_star(spark, SF001), path)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.sources import schema as S
+from tillroll.sources.files import materialize, remove
 
 LINE, REASON = "line", "reason"
 _BROKEN = "_broken"
@@ -44,7 +45,7 @@ def read_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
     text = spark.read.text(path).select(F.col("value").alias(LINE)).where(~F.col(LINE).isin(headers))
     options = {k: S.CSV_OPTIONS[k] for k in ("escape", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace", "emptyValue", "nullValue")}
     given = F.from_csv(LINE, _TEXT.simpleString()[7:-1].replace(":", " "), {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
-    rows = text.withColumn("_given", given)
+    rows = text.select(LINE, F.explode(F.array(given)).alias("_given"))  # no filter is pushed into it: a line is parsed once
     typed = rows.select(LINE, "_given", *[_typed(n).alias(n) for n in names])
     reason = F.when(F.col(f"_given.{_BROKEN}").isNotNull() | F.col("_given").isNull(), "fields")
     for n in names:
@@ -63,6 +64,11 @@ def rejected(lines: DataFrame) -> DataFrame:
 
 
 def write_split(lines: DataFrame, good: str, bad: str) -> None:
-    """Both outputs as tables of their own."""
-    accepted(lines).write.mode("overwrite").parquet(good)
-    rejected(lines).write.mode("overwrite").parquet(bad)
+    """Both outputs as tables of their own.  The lines are read and parsed in
+    one pass, into a table that has a sale line's columns or else its text."""
+    taken = F.col(REASON).isNull()
+    parts = [F.when(taken, F.col(c)).alias(c) for c in S.SALES_COLUMNS]
+    once = materialize(lines.select(*parts, F.when(~taken, F.col(LINE)).alias(LINE), REASON), "lines-read")
+    accepted(once).write.mode("overwrite").parquet(good)
+    rejected(once).write.mode("overwrite").parquet(bad)
+    remove(once)
