@@ -283,6 +283,17 @@ def test_a_line_is_parsed_once(spark, tmp_path):
     assert sorted(rows(spark.read.parquet(b))) == [("1,a,x,two,1996-01-02 03:04:05,2.50,7,UK", "quantity"), ("too few", "fields")]
 
 
+def test_one_tasks_lines_go_to_several_csv_files(spark):
+    n, path = 1_100_000, files.fresh_path(spark, "one-task")
+    given = {S.INVOICE: F.col("id").cast("string"), S.DESCRIPTION: F.lit("two\nlines"), S.QUANTITY: F.lit(1)}
+    df = spark.range(n).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.SALES_SCHEMA]).coalesce(1)
+    files.write_sales_csv(df, path)
+    back = files.read_sales_csv(spark, path)
+    by_file = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert sum(by_file) == n and max(by_file) <= 500_000
+    assert back.agg(F.countDistinct(S.INVOICE)).first()[0] == n
+
+
 def test_lines_agree_with_the_csv_reader(spark):
     path = files.fresh_path(spark, "lines-csv")
     files.write_sales_csv(sales_from_star(spark, SF001), path)
