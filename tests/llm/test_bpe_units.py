@@ -17,3 +17,13 @@ def test_units_end_where_pre_tokens_end(monkeypatch, cache):
     enc, rng = bpe.Encoder(str(public_tokenizers.path("byte_bpe_50k.json"))), random.Random(cache)
     texts = ["".join(rng.choices(LETTERS + OTHERS, k=rng.randrange(1, 40))) for _ in range(8000)]
     assert [x for i in range(0, len(texts), 500) for x in enc.encode(texts[i : i + 500])] == enc._ids(texts)
+
+
+def test_words_of_more_letters_are_units_without_their_signs():
+    enc, rng = bpe.Encoder(str(public_tokenizers.path("byte_bpe_50k.json"))), random.Random(3)
+    assert bpe.UNIT.findall("él, ¡ñandú! señor's 12ª ǅaž7") == ["él", ",", " ¡ñandú!", " señor", "'s", " 12ª", " ǅaž", "7"]
+    some = [*"aZé ßñüžÀɏɐ×÷ªµº5.,!'\n-", "ĳ", "ǅ", "́", " ", "'s", "٣"]
+    texts = ["".join(rng.choices(some, k=rng.randrange(1, 40))) for _ in range(8000)]
+    assert enc.encode(texts) == enc._ids(texts)
+    texts = ["".join(rng.choices(some, k=rng.randrange(1, 40))) for _ in range(50)]  # mostly known units
+    assert enc.encode(texts) == enc._ids(texts)

@@ -4,8 +4,8 @@ A byte-level tokenizer never merges across the borders of its pre-tokens, so
 a text is cut at blanks into units that can be encoded on their own.  A
 worker keeps the ids of units it has seen -- two generations of at most
 ``CACHE`` each, so frequent ones stay -- and hands the library only new
-ones, joined to one text where each starts with a blank and so with a border
-of its own.  Texts that hold one of the vocabulary's
+ones: those that are one pre-token straight to the library's model, all at
+once, the others as texts.  Texts that hold one of the vocabulary's
 added tokens, and vocabularies of any other make, are encoded whole.
 """
 
@@ -16,16 +16,29 @@ import os
 import re
 
 CACHE = 250_000
+#: Words the library holds at a time, of each a good deal more than its ids.
+WORDS = 4096
 #: Unicode white space, as the tokenizer's own pattern understands it.
 BLANK = "\t-\r \x85\xa0  -     　"
-BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{BLANK}]", c))
-#: A pre-token ends where ASCII letters, digits and signs meet, too -- but for
-#: an apostrophe, which may begin a contraction, and beside other characters,
+#: Letters by any version of Unicode.
+LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+SIGN = r"!-&(-/:-@\[-`{-~"
+#: A pre-token ends where these letters, ASCII digits and signs meet, too -- but
+#: for an apostrophe, which may begin a contraction, and beside other characters,
 #: whose class isn't known here: such a run is one unit up to its blank.
 UNIT = re.compile(
-    r" ?(?:[A-Za-z]++(?=[\x00-\x7f]|\Z)|[0-9]++(?=[\x00-\x7f]|\Z)|[!-&(-/:-@\[-`{-~]++(?=[\x00-\x26\x28-\x7f]|\Z)"
+    f" ?(?:[{LETTER}]++(?=[\x00-\x7f]|\\Z)|[0-9]++(?=[\x00-\x7f{LETTER}]|\\Z)|[{SIGN}]++(?=[\x00-\x26\x28-\x7f{LETTER}]|\\Z)"
     f"|[^{BLANK}]+)|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 )
+#: A unit that is one pre-token.
+SINGLE = re.compile(f" ?(?:[{LETTER}]+|[0-9]+|[{SIGN}]+)")
+
+
+def byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class Encoder:
@@ -48,28 +61,33 @@ class Encoder:
         self.dtype = "<u2" if self.vocab <= 1 << 16 else "<u4"
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.lengths = None
+        if self.by_unit:
+            import numpy as np
+
+            # the model without the pre-tokenizer and the added tokens, neither of which single pre-tokens need
+            self.model = Tokenizer(self.lib.model)
+            self.shown = {b: c for b, c in byte_characters().items() if b != 0x0A}
+            self.lengths = np.zeros(self.vocab, "int64")  # a token's characters stand for bytes, one each
+            for token, i in self.lib.get_vocab().items():
+                self.lengths[i] = len(token)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, self.dtype).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined_ids(self, units: list[str]) -> list[bytes]:
-        """Ids of units that each start with a blank before another
-        character: encoded as one text and cut where their bytes end."""
+    def _single_ids(self, units: list[str]) -> list[bytes]:
+        """Ids of units that are one pre-token each, which hold no line break:
+        their bytes' characters go to the model as words and the ids are cut
+        where a word's bytes end."""
         import numpy as np
 
-        if self.lengths is None:  # a token's characters stand for bytes, one each
-            self.lengths = np.zeros(self.vocab, "int64")
-            for token, i in self.lib.get_vocab().items():
-                self.lengths[i] = len(token)
-        joined = "".join(units)
-        (ids,) = self._ids([joined])
-        sizes = np.cumsum(self.lengths[np.frombuffer(ids, self.dtype)])
-        size = map(len, units) if joined.isascii() else (len(u.encode()) for u in units)
-        ends = np.cumsum(np.fromiter(size, "int64", len(units)))
-        cuts = ((np.searchsorted(sizes, ends) + 1) * np.dtype(self.dtype).itemsize).tolist()
+        words = "\n".join(units).encode().decode("latin-1").translate(self.shown).split("\n")
+        some = [words[i : i + WORDS] for i in range(0, len(words), WORDS)]
+        ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.model.encode_batch_fast(some, is_pretokenized=True, add_special_tokens=False)])
+        ends = np.cumsum(np.fromiter(map(len, words), "int64", len(words)))
+        cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * ids.itemsize).tolist()
+        ids = ids.tobytes()
         return [ids[s:e] for s, e in zip([0, *cuts], cuts)]
 
     def _learn(self, new: set[str]) -> None:
@@ -77,10 +95,9 @@ class Encoder:
         known = [u for u in new if u in older]
         self.seen.update(zip(known, map(older.__getitem__, known)))
         new.difference_update(known)
-        join = [u for u in new if len(u) > 1 and u[0] == " " and u[1] not in BLANKS]
-        for some in ([u for u in join if u.isascii()], [u for u in join if not u.isascii()]):
-            self.seen.update(zip(some, self._joined_ids(some) if some else ()))
-        alone = list(new.difference(join))
+        single = list(filter(SINGLE.fullmatch, new))
+        self.seen.update(zip(single, self._single_ids(single) if single else ()))
+        alone = list(new.difference(single))
         self.seen.update(zip(alone, self._ids(alone)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -92,13 +109,8 @@ class Encoder:
             ends.append(len(units))
         if len(self.seen) > CACHE:
             self.seen, self.older = {}, self.seen  # a new generation
-        ids = list(map(self.seen.get, units))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        if missing:
-            self._learn({units[i] for i in missing})
-            get = self.seen.__getitem__
-            for i in missing:
-                ids[i] = get(units[i])
+        self._learn(set(units).difference(self.seen))
+        ids = list(map(self.seen.__getitem__, units))
         return [self._ids([t])[0] if w else b"".join(ids[s:e]) for t, w, s, e in zip(texts, whole, ends, ends[1:])]
 
 
